@@ -31,7 +31,8 @@ def extract_pages(pages: DataFrame, *, with_links: bool = False) -> DataFrame:
 
 def dedup_by_normalized_url(ext: DataFrame) -> DataFrame:
     """I3 applied to the archive in page_id order: one row per normalized URL;
-    page_id and url of the first row, content of the last.
+    page_id and url of the first row, content of the last (`source_id` names
+    the archive row the content came from).
 
     Duplicates are found on narrow columns; only the (normally tiny) set of
     duplicated ids is joined back, broadcast when its counted size allows, so
@@ -45,6 +46,7 @@ def dedup_by_normalized_url(ext: DataFrame) -> DataFrame:
                .select("page_id", (F.col("page_id") == F.col("last_id")).alias("keep"),
                        "first_id", "first_url"))
     dup_ids, n = broadcast_if_small(dup_ids)
+    ext = ext.withColumn("source_id", F.col("page_id"))
     if n == 0:
         return ext
     return (ext.join(dup_ids, "page_id", "left")

@@ -20,7 +20,7 @@ from trawl.sources.pages import read_table
 # Fixed query strings of the search queries (chosen from words that occur in
 # the generated pages at every scale factor).
 QUERY_MAIN = "attion thanedble"
-QUERY_PHRASE = "the that"
+QUERY_PHRASE = "heed the"
 QUERY_RELEVANCE = "ciónque des"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,83 @@ QUERIES: dict[str, Query] = {
     "search_phrase": q_search_phrase,
     "search_topk": q_search_topk,
 }
+
+
+# ------------------------------------------------------------------ crawl
+from trawl.operators import crawl as C  # noqa: E402
+from trawl.plans import derived  # noqa: E402
+
+BOUNDED_CAPACITY = 100
+BACK_PRESSURE_CAPACITY = 64
+DEQUEUE_N = 10
+
+
+def q_crawl_bfs(spark, sf):
+    r = derived.run_crawl(spark, sf)
+    return r.discovered.select("normalized_url", "url", "job_id", F.col("depth").cast("long").alias("depth"),
+                               "discovered_from_url", "state", "page_id")
+
+
+def q_crawl_multi_origin(spark, sf):
+    r = derived.run_crawl(spark, sf)
+    return (r.discovered.groupBy("job_id", F.col("depth").cast("long").alias("depth"))
+            .agg(F.count(F.lit(1)).alias("urls")))
+
+
+def q_crawl_lineage(spark, sf):
+    r = derived.run_crawl(spark, sf)
+    return C.lineage_paths(r.discovered, derived.CRAWL_DEPTH).select(
+        "normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "path")
+
+
+def q_crawl_back_pressure(spark, sf):
+    r = derived.run_crawl(spark, sf, capacity=BACK_PRESSURE_CAPACITY)
+    return r.discovered.select("normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "state")
+
+
+def q_frontier_admit(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=1)
+    return (r.discovered.filter(F.col("depth") == 1)
+            .select("normalized_url", "url", "job_id", F.col("depth").cast("long").alias("depth"),
+                    "discovered_from_url", "parent_page_id", "pos"))
+
+
+def q_frontier_bounded(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=1, capacity=BOUNDED_CAPACITY)
+    return r.discovered.select("normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "state")
+
+
+def q_frontier_dequeue(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=1)
+    return C.dequeue(r.discovered, DEQUEUE_N).select("normalized_url", "job_id",
+                                                     F.col("depth").cast("long").alias("depth"))
+
+
+def _paused(spark, sf):
+    """A crawl paused after fetching level 1: level 2 is admitted, not fetched."""
+    return derived.run_crawl(spark, sf, depth=2, stop_after=1)
+
+
+def q_frontier_pending(spark, sf):
+    r = _paused(spark, sf)
+    pend = C.frontier_of(r.discovered, derived.jobs(spark, sf, 2))
+    return pend.select("normalized_url", "url", "job_id", "origin_url", F.col("depth").cast("long").alias("depth"),
+                       "discovered_from_url")
+
+
+def q_frontier_stats(spark, sf):
+    r = _paused(spark, sf)
+    return C.frontier_stats(C.frontier_of(r.discovered))
+
+
+QUERIES.update({
+    "crawl_bfs": q_crawl_bfs,
+    "crawl_multi_origin": q_crawl_multi_origin,
+    "crawl_lineage": q_crawl_lineage,
+    "crawl_back_pressure": q_crawl_back_pressure,
+    "frontier_admit": q_frontier_admit,
+    "frontier_bounded": q_frontier_bounded,
+    "frontier_dequeue": q_frontier_dequeue,
+    "frontier_pending": q_frontier_pending,
+    "frontier_stats": q_frontier_stats,
+})

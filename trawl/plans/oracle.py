@@ -134,4 +134,107 @@ def build() -> dict[str, str]:
     q["search_weighted"] = _weighted(catalog.QUERY_MAIN)
     q["search_phrase"] = _weighted(catalog.QUERY_PHRASE)
     q["search_topk"] = _weighted(catalog.QUERY_MAIN, top_k=20)
+    build_crawl(q)
     return q
+
+
+# ------------------------------------------------------------------ crawl
+
+def _crawl_base_ctes() -> list[tuple[str, str]]:
+    """docs (+source_id), normalized pages, closure edges, jobs, seeds."""
+    ctes = _docs_ctes()
+    # content row of each URL: the last archive row
+    ctes.append(("src_rows", "SELECT max(page_id) AS source_id, min(page_id) AS src_page_id, normalized_url AS src_url "
+                             "FROM dn_6 WHERE normalized_url IS NOT NULL GROUP BY normalized_url"))
+    ctes += P.url_ctes("pages", "url", "normalized_url", None, "an_")
+    ctes.append(("npages", "SELECT CAST(page_id AS BIGINT) AS page_id, url, normalized_url FROM an_6"))
+    ctes.append(("el0", f"SELECT s.src_url, s.src_page_id, s.source_id, {P.links('p.html')} AS l "
+                        f"FROM src_rows s JOIN pages p ON p.page_id = s.source_id"))
+    ctes.append(("el1", "SELECT src_url, src_page_id, source_id, unnest(l) AS href, "
+                        "CAST(unnest(generate_series(0, len(l) - 1)) AS BIGINT) AS pos FROM el0 WHERE len(l) > 0"))
+    ctes.append(("edges", "SELECT e.src_url, e.src_page_id, e.pos, e.href, t.normalized_url AS dst_url, "
+                          "t.url AS stored_url FROM el1 e JOIN npages t ON t.page_id = "
+                          "(CAST(('0x' || substr(md5(CAST(e.source_id AS VARCHAR) || '|' || e.href), 1, 6)) AS BIGINT) "
+                          "% (SELECT count(*) FROM pages)) WHERE t.normalized_url IS NOT NULL"))
+    host = P.url_facts("url")["host"]
+    ctes.append(("jobs", f"SELECT CAST(min(page_id) AS BIGINT) AS job_id, arg_min(url, page_id) AS origin_url "
+                         f"FROM npages WHERE normalized_url IS NOT NULL GROUP BY {host}"))
+    ctes.append(("seeds", "SELECT min(j.job_id) AS job_id, p.normalized_url FROM jobs j "
+                          "JOIN npages p ON p.page_id = j.job_id GROUP BY p.normalized_url"))
+    return ctes
+
+
+def _crawl_ctes(k: int) -> list[tuple[str, str]]:
+    """Owner (min depth, then min job) and parent (min parent page_id, pos)
+    of every URL reachable within k levels: the result of the BFS."""
+    ctes = _crawl_base_ctes()
+    ctes.append(("walk", f"SELECT job_id, normalized_url AS node, 0 AS depth FROM seeds "
+                         f"UNION ALL SELECT w.job_id, e.dst_url, w.depth + 1 FROM walk w "
+                         f"JOIN edges e ON e.src_url = w.node WHERE w.depth < {k}"))
+    ctes.append(("dist", "SELECT node, job_id, min(depth) AS d FROM walk GROUP BY node, job_id"))
+    ctes.append(("own", "SELECT node, min(job_id) AS job_id, d FROM (SELECT *, min(d) OVER (PARTITION BY node) AS md "
+                        "FROM dist) WHERE d = md GROUP BY node, d"))
+    ctes.append(("par", "SELECT o.node, min({'pid': e.src_page_id, 'pos': e.pos, 'src': e.src_url, "
+                        "'stored': e.stored_url}) AS w FROM own o JOIN edges e ON e.dst_url = o.node "
+                        "JOIN own s ON s.node = e.src_url AND s.job_id = o.job_id AND s.d = o.d - 1 "
+                        "WHERE o.d > 0 GROUP BY o.node"))
+    ctes.append(("disc", "SELECT o.node AS normalized_url, CASE WHEN o.d = 0 THEN j.origin_url ELSE p.w.stored END AS url, "
+                         "o.job_id, j.origin_url, CAST(o.d AS BIGINT) AS depth, p.w.src AS discovered_from_url, "
+                         "p.w.pid AS parent_page_id, p.w.pos AS pos, "
+                         "CASE WHEN d.page_id IS NULL THEN 'failed' ELSE 'processed' END AS state, d.page_id "
+                         "FROM own o JOIN jobs j ON j.job_id = o.job_id LEFT JOIN par p ON p.node = o.node "
+                         "LEFT JOIN docs d ON d.normalized_url = o.node"))
+    ctes.append(("pdisc", "SELECT DISTINCT page_id, job_id, origin_url, depth FROM disc "
+                          "WHERE state = 'processed' AND page_id IS NOT NULL"))
+    return ctes
+
+
+def _bounded_ctes(cap: int) -> list[tuple[str, str]]:
+    """k = 1 crawl with a frontier of `cap` URLs at each level."""
+    ctes = _crawl_base_ctes()
+    ctes.append(("l0", f"SELECT s.*, row_number() OVER (ORDER BY job_id, normalized_url) <= {cap} AS kept FROM seeds s"))
+    ctes.append(("c1", "SELECT e.dst_url AS normalized_url, min({'job_id': l0.job_id, 'pid': e.src_page_id, "
+                       "'pos': e.pos, 'src': e.src_url}) AS w FROM l0 JOIN edges e ON e.src_url = l0.normalized_url "
+                       "WHERE l0.kept GROUP BY e.dst_url"))
+    ctes.append(("n1", "SELECT * FROM c1 WHERE normalized_url NOT IN (SELECT normalized_url FROM l0)"))
+    ctes.append(("l1", f"SELECT normalized_url, w, row_number() OVER (ORDER BY w.job_id, w.pid, w.pos, normalized_url) "
+                       f"<= {cap} AS kept FROM n1"))
+    ctes.append(("bounded", "SELECT normalized_url, job_id, CAST(0 AS BIGINT) AS depth, "
+                            "CASE WHEN kept THEN 'processed' ELSE 'skipped' END AS state FROM l0 "
+                            "UNION ALL SELECT normalized_url, w.job_id, CAST(1 AS BIGINT), "
+                            "CASE WHEN kept THEN 'processed' ELSE 'skipped' END FROM l1"))
+    return ctes
+
+
+def build_crawl(q: dict[str, str]) -> None:
+    from trawl.plans import derived
+    k = derived.CRAWL_DEPTH
+    c = _crawl_ctes(k)
+    q["crawl_bfs"] = P.with_ctes(c, "SELECT normalized_url, url, job_id, depth, discovered_from_url, state, page_id "
+                                    "FROM disc")
+    q["crawl_multi_origin"] = P.with_ctes(c, "SELECT job_id, depth, CAST(count(*) AS BIGINT) AS urls FROM disc "
+                                             "GROUP BY job_id, depth")
+    q["crawl_lineage"] = P.with_ctes(
+        c + [("paths", "SELECT normalized_url, job_id, depth, discovered_from_url AS anc, normalized_url AS path "
+                       "FROM disc UNION ALL SELECT p.normalized_url, p.job_id, p.depth, d.discovered_from_url, "
+                       "d.normalized_url || ' > ' || p.path FROM paths p JOIN disc d ON d.normalized_url = p.anc")],
+        "SELECT normalized_url, job_id, depth, path FROM paths WHERE anc IS NULL")
+    c1 = _crawl_ctes(1)
+    q["frontier_admit"] = P.with_ctes(c1, "SELECT normalized_url, url, job_id, depth, discovered_from_url, "
+                                          "parent_page_id, pos FROM disc WHERE depth = 1")
+    q["frontier_bounded"] = P.with_ctes(_bounded_ctes(catalog_bounded_cap()),
+                                        "SELECT normalized_url, job_id, depth, state FROM bounded")
+    q["frontier_dequeue"] = P.with_ctes(c1, "SELECT normalized_url, job_id, depth FROM disc ORDER BY depth, job_id, "
+                                            "parent_page_id NULLS FIRST, pos NULLS FIRST, normalized_url "
+                                            f"LIMIT {catalog.DEQUEUE_N}")
+    c2 = _crawl_ctes(2)
+    q["frontier_pending"] = P.with_ctes(
+        c2, "SELECT d.normalized_url, d.url, d.job_id, j.origin_url, d.depth, d.discovered_from_url "
+            "FROM disc d JOIN jobs j USING (job_id) WHERE d.depth = 2")
+    q["frontier_stats"] = P.with_ctes(
+        c2, f"SELECT CAST(count(*) AS BIGINT) AS size, CAST(10000 AS BIGINT) AS capacity, "
+            f"count(*) >= 10000 AS saturated FROM disc WHERE depth = 2")
+
+
+def catalog_bounded_cap() -> int:
+    return catalog.BOUNDED_CAPACITY

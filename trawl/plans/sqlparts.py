@@ -185,4 +185,8 @@ def skip_ext(url: str) -> str:
 
 
 def with_ctes(ctes: list[tuple[str, str]], final: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + final
+    import re
+
+    recursive = any(re.search(rf"\b(FROM|JOIN) {n}\b", q) for n, q in ctes)
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + final
