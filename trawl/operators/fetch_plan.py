@@ -1,0 +1,54 @@
+"""Polite fetch plan (C10): the reference throttles live requests with a
+per-host delay and a global token bucket; as a data job this becomes, for a
+list of URLs in fetch order, the earliest start offset of each request.
+
+    host slot   = (rank of the URL within its host) * per_host_delay_ms
+    global slot = floor(global rank / rps) * 1000
+    start_ms    = greatest(host slot, global slot)
+
+Both ranks are computed without a single-partition window: the rows are range
+partitioned and sorted on the order key, numbered inside each partition, and
+shifted by the running total of the partition sizes (one small aggregate).
+A host's rank is its global rank in (host, key) order minus the rank of the
+host's first row, so a host with a third of all URLs still spans many tasks.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from trawl.operators._util import broadcast_if_small
+
+# Fixed values of the reference (defaults).
+GLOBAL_RPS = 20
+PER_HOST_DELAY_MS = 1000
+
+
+def global_rank(df: DataFrame, order: list[Column], out: str, partitions: int | None = None) -> DataFrame:
+    """Dense 0-based rank of each row in `order` (which must be a total order)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
+    local = ranged.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn(
+        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)))
+    offsets, _ = broadcast_if_small(offsets.select("_pid", "_off"))
+    return (local.join(offsets, "_pid").withColumn(out, (F.col("_local") + F.col("_off")).cast("long"))
+            .drop("_pid", "_local", "_off"))
+
+
+def fetch_plan(urls: DataFrame, order: list[str], host_col: str = "host",
+               rps: int = GLOBAL_RPS, delay_ms: int = PER_HOST_DELAY_MS) -> DataFrame:
+    """Adds global_rank, host_rank and start_ms to `urls` (one row per URL)."""
+    keys = [F.col(c) for c in order]
+    g = global_rank(urls, keys, "global_rank")
+    h = global_rank(g, [F.col(host_col)] + keys, "_hg")
+    first = h.groupBy(host_col).agg(F.min("_hg").alias("_h0"))
+    first, _ = broadcast_if_small(first)
+    out = h.join(first, host_col).withColumn("host_rank", F.col("_hg") - F.col("_h0")).drop("_hg", "_h0")
+    return out.withColumn("start_ms", F.greatest(
+        F.col("host_rank") * delay_ms, F.floor(F.col("global_rank") / rps).cast("long") * 1000))

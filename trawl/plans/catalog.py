@@ -232,3 +232,265 @@ QUERIES.update({
     "frontier_pending": q_frontier_pending,
     "frontier_stats": q_frontier_stats,
 })
+
+
+# ------------------------------------------------------- search over a crawl
+QUERY_BATCH_WORDS = 2       # batch queries: first words of each page title
+
+
+def _crawled(spark, sf):
+    d = derived.docs(spark, sf)
+    r = derived.run_crawl(spark, sf)
+    return d, r
+
+
+def q_search_triples(spark, sf):
+    d, r = _crawled(spark, sf)
+    post = index.postings_for_terms(d, search.tokenize_py(QUERY_MAIN))
+    return search.weighted_search(post, d, r.page_discoveries, QUERY_MAIN)
+
+
+def batch_queries(spark, sf):
+    """One query per page: the first words of its title (grows with the table)."""
+    p = _pages(spark, sf).select("page_id", extract_title("html").alias("title"))
+    words = F.slice(F.split(F.trim(F.col("title")), " "), 1, QUERY_BATCH_WORDS)
+    return p.select(F.col("page_id").alias("query_id"), F.array_join(words, " ").alias("query"))
+
+
+def q_search_batch(spark, sf):
+    d, r = _crawled(spark, sf)
+    post = index.inverted_index(d)
+    return search.batch_search(post, d, r.page_discoveries, batch_queries(spark, sf),
+                               top_k=search.CLI_TOP_K)
+
+
+def _relevance(spark, sf, sort_by="relevance", page=1, limit=None):
+    d, r = _crawled(spark, sf)
+    post = index.postings_for_terms(d, search.tokenize_py(QUERY_RELEVANCE))
+    return search.relevance_search(post, d, r.page_discoveries, QUERY_RELEVANCE, sort_by=sort_by,
+                                   page=page, limit=limit)
+
+
+def q_search_relevance(spark, sf):
+    return _relevance(spark, sf).drop("terms")
+
+
+def q_search_relevance_terms(spark, sf):
+    g = _relevance(spark, sf)
+    return g.select("url", "origin_url", "depth", F.posexplode("terms").alias("term_rank", "t")).select(
+        "url", "origin_url", "depth", F.col("term_rank").cast("long").alias("term_rank"),
+        "t.term", "t.field", "t.frequency")
+
+
+def q_search_by_frequency(spark, sf):
+    return _relevance(spark, sf, sort_by="frequency", limit=search.DEFAULT_LIMIT).drop("terms")
+
+
+def q_search_page2(spark, sf):
+    return _relevance(spark, sf, sort_by="relevance", page=2, limit=search.DEFAULT_LIMIT).drop("terms")
+
+
+# ------------------------------------------------------------ index upkeep
+def q_index_replace(spark, sf):
+    """Index built from the first fetch of every URL, then the postings of
+    re-fetched URLs replaced by those of their latest fetch."""
+    ext = extract.extract_pages(_pages(spark, sf))
+    first = (ext.groupBy("normalized_url")
+             .agg(F.min_by(F.struct("page_id", "url", "title", "body_text"), "page_id").alias("d"))
+             .select("normalized_url", "d.*"))
+    old = index.inverted_index(first)
+    docs = derived.docs(spark, sf)
+    refetched = (ext.groupBy("normalized_url").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+                 .select("normalized_url"))
+    new = index.inverted_index(docs.join(refetched, "normalized_url", "left_semi"))
+    return index.replace_postings(old, new).select("page_id", "field", "term", "frequency", "letter")
+
+
+def q_discovery_dedup(spark, sf):
+    """I4: discoveries of a depth-1 crawl, then insert-or-ignore those of the
+    full crawl."""
+    r1 = derived.run_crawl(spark, sf, depth=1)
+    r3 = derived.run_crawl(spark, sf)
+    return index.add_discoveries(r1.page_discoveries, r3.page_discoveries).select(
+        "page_id", "job_id", "origin_url", F.col("depth").cast("long").alias("depth"))
+
+
+def q_response_accept(spark, sf):
+    from trawl.sources.pages import accept_responses
+    resp = derived.responses(spark, sf)
+    acc = accept_responses(resp).select("page_id", F.length("html").cast("long").alias("html_length"))
+    return (resp.select("page_id", "content_type", "content_length").join(acc, "page_id", "left")
+            .select("page_id", "content_type", "content_length", F.col("html_length").isNotNull().alias("accepted"),
+                    "html_length"))
+
+
+# ---------------------------------------------------------------- reports
+from trawl.operators import reports as R  # noqa: E402
+
+
+def _real(spark, sf):
+    """Crawl over the pages' own links (no re-targeting): level 1 URLs are
+    not in the archive and fail."""
+    return derived.run_real_crawl(spark, sf)
+
+
+def q_url_outcomes(spark, sf):
+    r = _real(spark, sf)
+    return r.discovered.select("normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "state",
+                               "error_message")
+
+
+def _status_jobs(spark, sf, r, depth=derived.CRAWL_DEPTH):
+    return R.job_status(r.jobs, r.discovered)
+
+
+def q_job_counters(spark, sf):
+    r = _real(spark, sf)
+    return R.job_counters(r.jobs, r.discovered)
+
+
+def q_job_list(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=2, stop_after=1)
+    return R.job_list(_status_jobs(spark, sf, r)).select(
+        "job_id", "origin_url", F.col("max_depth").cast("long").alias("max_depth"), "status")
+
+
+def q_jobs_active(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=2, stop_after=1)
+    return R.active_jobs(_status_jobs(spark, sf, r)).select("job_id", "origin_url", "status")
+
+
+def q_job_summary(spark, sf):
+    r = _real(spark, sf)
+    return R.job_summary(_status_jobs(spark, sf, r), r.discovered).select(
+        "job_id", "origin_url", F.col("max_depth").cast("long").alias("max_depth"), "status",
+        "discovered_count", "processed_count", "indexed_count", "error_count", "queued_count")
+
+
+def q_url_state_stats(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=1, capacity=BOUNDED_CAPACITY)
+    return R.url_state_stats(r.discovered)
+
+
+def q_recent_errors(spark, sf):
+    r = _real(spark, sf)
+    return R.recent_errors(r.discovered, R.RECENT_ERRORS_STATUS).select(
+        "normalized_url", "error_message", F.col("depth").cast("long").alias("depth"), "job_id")
+
+
+def q_status_row(spark, sf):
+    r = derived.run_crawl(spark, sf, depth=1, capacity=BOUNDED_CAPACITY)
+    return R.status_row(_status_jobs(spark, sf, r), r.discovered, capacity=BOUNDED_CAPACITY)
+
+
+def _purged(spark, sf):
+    d, r = _crawled(spark, sf)
+    first_job = r.jobs.agg(F.min("job_id")).first()[0]
+    return R.purge_job(first_job, r.jobs, r.discovered, r.page_discoveries, d, index.inverted_index(d))
+
+
+def q_purge_job_pages(spark, sf):
+    return _purged(spark, sf)["page_docs"].select("page_id", "normalized_url")
+
+
+def q_purge_job_terms(spark, sf):
+    return _purged(spark, sf)["page_terms"].select("page_id", "field", "term", "frequency")
+
+
+# ------------------------------------------------------------------ export
+from trawl.operators import export as X  # noqa: E402
+from trawl.session import checkpoint_dir  # noqa: E402
+from trawl.streaming import incremental as ST  # noqa: E402
+
+LOOKUP_TERM = "attion"
+
+
+def q_export_letters(spark, sf):
+    d, r = _crawled(spark, sf)
+    return X.export_rows(index.inverted_index(d), d, r.page_discoveries)
+
+
+def q_export_lookup(spark, sf):
+    d, r = _crawled(spark, sf)
+    path = ST.fresh_dir(checkpoint_dir(spark), "letter-index")
+    X.write_letter_index(X.export_rows(index.inverted_index(d), d, r.page_discoveries), path)
+    return X.lookup(X.read_letter_index(spark, path), LOOKUP_TERM).select(
+        "term", "url", "origin_url", "depth", "frequency")
+
+
+# ------------------------------------------------------- robots, fetch plan
+from trawl.operators import fetch_plan as FP  # noqa: E402
+from trawl.operators import robots as RB  # noqa: E402
+
+
+def q_robots_rules(spark, sf):
+    return RB.parse_rules(derived.robots(spark, sf)).select("host", "line", "path", "allow", "rank")
+
+
+def q_robots_allowed(spark, sf):
+    urls = derived.docs(spark, sf).select("page_id", "normalized_url")
+    return RB.allowed(urls, RB.parse_rules(derived.robots(spark, sf))).select("page_id", "normalized_url", "allowed")
+
+
+def q_fetch_plan(spark, sf):
+    r = derived.run_crawl(spark, sf)
+    from trawl.functions.urls import hostname
+    u = (r.discovered.filter(F.col("state") == "processed")
+         .select("normalized_url", "depth", "job_id", "parent_page_id", "pos",
+                 hostname(F.col("normalized_url")).alias("host")))
+    plan = FP.fetch_plan(u, ["depth", "job_id", "parent_page_id", "pos", "normalized_url"])
+    return plan.select("normalized_url", "host", "global_rank", "host_rank", "start_ms")
+
+
+# --------------------------------------------------------------- streaming
+def _stream_dirs(spark, name):
+    base = checkpoint_dir(spark)
+    return ST.fresh_dir(base, f"{name}-sink"), ST.fresh_dir(base, f"{name}-ckpt")
+
+
+def q_stream_index(spark, sf):
+    sink, ck = _stream_dirs(spark, "stream-index")
+    ST.run_index_stream(spark, f"{sf}/pages.parquet", sink, ck, max_files_per_trigger=1)
+    return ST.read_postings(spark, sink).select("page_id", "field", "term", "frequency", "letter")
+
+
+def q_stream_dedup(spark, sf):
+    sink, ck = _stream_dirs(spark, "stream-dedup")
+    ST.run_index_stream(spark, f"{sf}/pages.parquet", sink, ck, max_files_per_trigger=1)
+    return ST.read_registry(spark, sink).select("normalized_url", "page_id")
+
+
+def q_stream_counts(spark, sf):
+    sink, ck = _stream_dirs(spark, "stream-counts")
+    return ST.run_host_counts(spark, f"{sf}/pages.parquet", ck, sink).select("host", "pages")
+
+
+QUERIES.update({
+    "search_triples": q_search_triples,
+    "search_batch": q_search_batch,
+    "search_relevance": q_search_relevance,
+    "search_relevance_terms": q_search_relevance_terms,
+    "search_by_frequency": q_search_by_frequency,
+    "search_page2": q_search_page2,
+    "index_replace": q_index_replace,
+    "discovery_dedup": q_discovery_dedup,
+    "response_accept": q_response_accept,
+    "url_outcomes": q_url_outcomes,
+    "job_counters": q_job_counters,
+    "job_list": q_job_list,
+    "jobs_active": q_jobs_active,
+    "job_summary": q_job_summary,
+    "url_state_stats": q_url_state_stats,
+    "recent_errors": q_recent_errors,
+    "status_row": q_status_row,
+    "purge_job_pages": q_purge_job_pages,
+    "purge_job_terms": q_purge_job_terms,
+    "export_letters": q_export_letters,
+    "export_lookup": q_export_lookup,
+    "robots_rules": q_robots_rules,
+    "robots_allowed": q_robots_allowed,
+    "fetch_plan": q_fetch_plan,
+    "stream_index": q_stream_index,
+    "stream_dedup": q_stream_dedup,
+    "stream_counts": q_stream_counts,
+})

@@ -70,5 +70,54 @@ def jobs(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> DataFrame:
 def run_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY,
               stop_after=None) -> C.CrawlResult:
     d = docs(spark, sf)
-    return C.crawl(C.prepare_archive(d), closure_edges(spark, sf), jobs(spark, sf, depth),
-                   capacity=capacity, stop_after=stop_after)
+    fetched = pages(spark, sf).select(normalize_url(F.col("url")).alias("normalized_url"),
+                                      F.lit(None).cast("int").alias("http_status"),
+                                      F.lit(None).cast("string").alias("content_type"))
+    return C.crawl(C.prepare_archive(d, fetched.filter(F.col("normalized_url").isNotNull())),
+                   closure_edges(spark, sf), jobs(spark, sf, depth), capacity=capacity, stop_after=stop_after)
+
+
+def real_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages' own links, resolved against the page URL (C1), from the
+    archive row that provides each URL's content."""
+    rows = archive_rows(spark, sf).select(F.col("source_id").alias("src_page_id"))
+    links = extract.page_links(pages(spark, sf))
+    return links.join(rows, "src_page_id", "left_semi").select("src_url", "pos", "href", "dst_url", "stored_url")
+
+
+def run_real_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH,
+                   capacity=C.DEFAULT_CAPACITY) -> C.CrawlResult:
+    d = docs(spark, sf)
+    return C.crawl(C.prepare_archive(d), real_edges(spark, sf), jobs(spark, sf, depth), capacity=capacity)
+
+
+def page_lang(html: str = "html"):
+    return F.regexp_extract(F.col(html), r'<html lang="([a-z]+)"', 1)
+
+
+def responses(spark: SparkSession, sf: str) -> DataFrame:
+    """Response headers derived from each page (the driver table has none):
+    German pages are served as XHTML, French ones as JSON, pages with a query
+    string with an upper-case HTML type; length = UTF-8 bytes of the html."""
+    p = pages(spark, sf)
+    lang = page_lang()
+    ct = (F.when(lang == "de", "application/xhtml+xml").when(lang == "fr", "application/json")
+          .when(F.col("url").contains("?"), "TEXT/HTML; charset=UTF-8").otherwise("text/html"))
+    return p.select("page_id", "url", "html", ct.alias("content_type"),
+                    F.octet_length("html").cast("long").alias("content_length"),
+                    F.lit(200).alias("http_status"))
+
+
+def robots(spark: SparkSession, sf: str) -> DataFrame:
+    """One robots.txt per host, built from the host's first page: its language
+    folder is disallowed except the first page itself; an upper-case path with
+    an inline comment; a second agent group that does not apply."""
+    p = pages(spark, sf).select("page_id", "url", hostname(F.col("url")).alias("host"))
+    first = (p.filter(F.col("host").isNotNull()).groupBy("host")
+             .agg(F.min_by("url", "page_id").alias("url")))
+    seg = F.regexp_extract(F.col("url"), r"^https?://[^/]+/([^/?#]+)/([^/?#]+)", 1)
+    pid = F.regexp_extract(F.col("url"), r"^https?://[^/]+/([^/?#]+)/([^/?#]+)", 2)
+    text = F.concat_ws("\n", F.lit("User-agent: *"), F.concat(F.lit("Disallow: /"), seg, F.lit("/")),
+                       F.concat(F.lit("  Allow: /"), seg, F.lit("/"), pid), F.lit("Disallow: /Private # keep out"),
+                       F.lit("User-agent: OtherBot"), F.lit("Disallow: /"))
+    return first.select("host", text.alias("text"))

@@ -135,6 +135,7 @@ def build() -> dict[str, str]:
     q["search_phrase"] = _weighted(catalog.QUERY_PHRASE)
     q["search_topk"] = _weighted(catalog.QUERY_MAIN, top_k=20)
     build_crawl(q)
+    build_more(q)
     return q
 
 
@@ -238,3 +239,228 @@ def build_crawl(q: dict[str, str]) -> None:
 
 def catalog_bounded_cap() -> int:
     return catalog.BOUNDED_CAPACITY
+
+
+# ------------------------------------------------------- search over a crawl
+
+def _search_crawl_ctes(terms=None) -> list[tuple[str, str]]:
+    from trawl.plans import derived
+    return _crawl_ctes(derived.CRAWL_DEPTH) + _postings_ctes(terms)
+
+
+def _relevance_ctes() -> list[tuple[str, str]]:
+    toks = tokenize_py(catalog.QUERY_RELEVANCE.strip().lower())
+    ctes = _search_crawl_ctes(toks)
+    ctes.append(("rows", "SELECT p.page_id, p.term, p.field, p.frequency, d.url, d.title, x.origin_url, x.depth "
+                         "FROM post p JOIN docs d USING (page_id) JOIN pdisc x USING (page_id)"))
+    ctes.append(("grp", f"SELECT url, origin_url, depth, arg_min(title, page_id) AS title, "
+                        f"CAST(sum(frequency) AS BIGINT) AS frequency, bool_or(term IN ({_in_list(toks)})) AS exact_match "
+                        f"FROM rows GROUP BY url, origin_url, depth"))
+    ctes.append(("rel", "SELECT url, origin_url, depth, title, frequency, "
+                        "CAST(10 * frequency + CASE WHEN exact_match THEN 1000 ELSE 0 END - 5 * depth AS BIGINT) "
+                        "AS relevance_score, exact_match FROM grp"))
+    return ctes
+
+
+def build_more(q: dict[str, str]) -> None:
+    from trawl.plans import derived
+
+    # Q6/Q7: triples with discovery origin/depth
+    toks = tokenize_py(catalog.QUERY_MAIN)
+    phrase = catalog.QUERY_MAIN.strip().lower()
+    c = _search_crawl_ctes(toks)
+    c.append(("m", "SELECT page_id, sum(CASE field WHEN 'title' THEN 5 * frequency WHEN 'url' THEN 2 * frequency "
+                   "ELSE 0 END) AS i, sum(CASE WHEN field = 'body' THEN ln(1 + frequency) ELSE 0 END) AS l "
+                   "FROM post GROUP BY page_id"))
+    c.append(("s", f"SELECT m.page_id, d.url, d.title, floor((CAST(i AS DOUBLE) + l "
+                   f"+ CASE WHEN contains(lower(d.title), {_lit(phrase)}) THEN 10 ELSE 0 END "
+                   f"+ CASE WHEN contains(lower(d.body_text), {_lit(phrase)}) THEN 3 ELSE 0 END) * 100 + 0.5) / 100 "
+                   f"AS score FROM m JOIN docs d USING (page_id)"))
+    q["search_triples"] = P.with_ctes(
+        c, "SELECT s.page_id, s.url AS relevant_url, coalesce(x.origin_url, s.url) AS origin_url, "
+           "coalesce(x.depth, 0) AS depth, s.score, s.title FROM s LEFT JOIN pdisc x USING (page_id) "
+           "WHERE s.score > 0")
+
+    # Q15: batch of queries = first two words of each page title
+    n = catalog.QUERY_BATCH_WORDS
+    c = _search_crawl_ctes()
+    c.append(("qs0", f"SELECT CAST(page_id AS BIGINT) AS query_id, array_to_string(list_slice(string_split(trim("
+                     f"{P.title('html')}), ' '), 1, {n}), ' ') AS query FROM pages"))
+    c.append(("qs", "SELECT query_id, trim(query) AS query, trim(lower(query)) AS phrase FROM qs0 "
+                    "WHERE query IS NOT NULL AND trim(query) <> ''"))
+    c.append(("qt", f"SELECT DISTINCT query_id, unnest({P.tokens('query')}) AS term FROM qs"))
+    c.append(("bm", "SELECT qt.query_id, p.page_id, sum(CASE p.field WHEN 'title' THEN 5 * p.frequency "
+                    "WHEN 'url' THEN 2 * p.frequency ELSE 0 END) AS i, sum(CASE WHEN p.field = 'body' "
+                    "THEN ln(1 + p.frequency) ELSE 0 END) AS l FROM post p JOIN qt USING (term) "
+                    "GROUP BY qt.query_id, p.page_id"))
+    c.append(("bs", "SELECT bm.query_id, bm.page_id, d.url, d.title, floor((CAST(i AS DOUBLE) + l "
+                    "+ CASE WHEN contains(lower(d.title), qs.phrase) THEN 10 ELSE 0 END "
+                    "+ CASE WHEN contains(lower(d.body_text), qs.phrase) THEN 3 ELSE 0 END) * 100 + 0.5) / 100 "
+                    "AS score FROM bm JOIN docs d USING (page_id) JOIN qs USING (query_id)"))
+    c.append(("bt", "SELECT bs.query_id, bs.page_id, bs.url AS relevant_url, coalesce(x.origin_url, bs.url) "
+                    "AS origin_url, coalesce(x.depth, 0) AS depth, bs.score, bs.title FROM bs "
+                    "LEFT JOIN pdisc x USING (page_id) WHERE bs.score > 0"))
+    c.append(("br", "SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, page_id, "
+                    "origin_url, depth) AS BIGINT) AS rank FROM bt"))
+    q["search_batch"] = P.with_ctes(c, f"SELECT * FROM br WHERE rank <= {20}")
+
+    # Q9-Q13
+    rc = _relevance_ctes()
+    q["search_relevance"] = P.with_ctes(rc, "SELECT * FROM rel")
+    q["search_relevance_terms"] = P.with_ctes(
+        rc, "SELECT url, origin_url, depth, CAST(row_number() OVER (PARTITION BY url, origin_url, depth "
+            "ORDER BY frequency DESC, term, field) - 1 AS BIGINT) AS term_rank, term, field, frequency FROM rows")
+    q["search_by_frequency"] = P.with_ctes(
+        rc, "SELECT * FROM rel ORDER BY frequency DESC, url, origin_url, depth LIMIT 20")
+    q["search_page2"] = P.with_ctes(
+        rc, "SELECT * FROM rel ORDER BY relevance_score DESC, url, origin_url, depth LIMIT 20 OFFSET 20")
+
+    # I2 (result equals the index of the current documents), I4
+    q["index_replace"] = q["inverted_index"]
+    q["discovery_dedup"] = P.with_ctes(
+        _crawl_ctes(derived.CRAWL_DEPTH),
+        "SELECT page_id, job_id, origin_url, depth FROM pdisc WHERE depth <= 1 "
+        "UNION SELECT page_id, job_id, origin_url, depth FROM pdisc")
+
+    # S2
+    q["response_accept"] = (
+        "WITH r AS (SELECT page_id, html, CASE regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) "
+        "WHEN 'de' THEN 'application/xhtml+xml' WHEN 'fr' THEN 'application/json' ELSE CASE WHEN contains(url, '?') "
+        "THEN 'TEXT/HTML; charset=UTF-8' ELSE 'text/html' END END AS content_type, "
+        "CAST(strlen(html) AS BIGINT) AS content_length FROM pages), "
+        "a AS (SELECT *, (contains(lower(coalesce(content_type, '')), 'text/html') OR "
+        "contains(lower(coalesce(content_type, '')), 'application/xhtml+xml')) AND coalesce(content_length, 0) "
+        f"<= {MAX_BODY_SIZE} AND html IS NOT NULL AND html <> '' AS accepted FROM r) "
+        f"SELECT page_id, content_type, content_length, accepted, CASE WHEN accepted THEN "
+        f"CAST(length(left(html, {MAX_BODY_SIZE})) AS BIGINT) END AS html_length FROM a")
+
+    # C11 + reports over the crawl of the pages' own links
+    real = _crawl_base_ctes() + [
+        ("rl0", f"SELECT s.src_url, s.src_page_id, {P.links('p.html')} AS l FROM src_rows s "
+                f"JOIN pages p ON p.page_id = s.source_id"),
+        ("rl1", "SELECT src_url, src_page_id, unnest(l) AS href, CAST(unnest(generate_series(0, len(l) - 1)) "
+                "AS BIGINT) AS pos FROM rl0 WHERE len(l) > 0")]
+    real += P.url_ctes("rl1", "href", "dst_url", "src_url", "rn_")
+    real += [
+        ("redges", f"SELECT * FROM rn_6 WHERE dst_url IS NOT NULL AND NOT {P.skip_ext('dst_url')}"),
+        ("r0", "SELECT s.normalized_url, s.job_id, CAST(0 AS BIGINT) AS depth, NULL::BIGINT AS parent_page_id, "
+               "NULL::BIGINT AS pos, d.page_id FROM seeds s LEFT JOIN docs d USING (normalized_url)"),
+        ("r1c", "SELECT e.dst_url AS normalized_url, min({'job_id': r0.job_id, 'pid': r0.page_id, 'pos': e.pos}) AS w "
+                "FROM r0 JOIN redges e ON e.src_url = r0.normalized_url WHERE r0.page_id IS NOT NULL "
+                "GROUP BY e.dst_url"),
+        ("r1", "SELECT c.normalized_url, c.w.job_id AS job_id, CAST(1 AS BIGINT) AS depth, c.w.pid AS parent_page_id, "
+               "c.w.pos AS pos, d.page_id FROM r1c c LEFT JOIN docs d USING (normalized_url) "
+               "WHERE c.normalized_url NOT IN (SELECT normalized_url FROM r0)"),
+        ("rdisc", "SELECT *, CASE WHEN page_id IS NULL THEN 'failed' ELSE 'processed' END AS state, "
+                  "CASE WHEN page_id IS NULL THEN 'not in archive' END AS error_message FROM "
+                  "(SELECT * FROM r0 UNION ALL SELECT * FROM r1)"),
+        ("rcnt", "SELECT j.job_id, CAST(count_if(d.state IS NOT NULL AND d.state <> 'skipped') AS BIGINT) AS discovered_count, "
+                 "CAST(count_if(d.state IN ('processed', 'failed')) AS BIGINT) AS processed_count, "
+                 "CAST(count_if(d.state = 'processed' AND d.page_id IS NOT NULL) AS BIGINT) AS indexed_count, "
+                 "CAST(count_if(d.state = 'failed') AS BIGINT) AS error_count FROM jobs j "
+                 "LEFT JOIN rdisc d USING (job_id) GROUP BY j.job_id"),
+        ("rc", "SELECT *, greatest(0, discovered_count - processed_count) AS queued_count FROM rcnt"),
+    ]
+    q["url_outcomes"] = P.with_ctes(real, "SELECT normalized_url, job_id, depth, state, error_message FROM rdisc")
+    q["job_counters"] = P.with_ctes(real, "SELECT * FROM rc")
+    q["job_summary"] = P.with_ctes(
+        real, f"SELECT j.job_id, j.origin_url, CAST({derived.CRAWL_DEPTH} AS BIGINT) AS max_depth, "
+              f"'completed' AS status, rc.* EXCLUDE (job_id) FROM jobs j JOIN rc USING (job_id)")
+    q["recent_errors"] = P.with_ctes(
+        real, "SELECT normalized_url, error_message, depth, job_id FROM rdisc WHERE state = 'failed' "
+              "ORDER BY depth DESC, job_id DESC, parent_page_id DESC NULLS LAST, pos DESC NULLS LAST, "
+              "normalized_url DESC LIMIT 5")
+
+    # J2/J3 over the paused crawl (level 2 admitted, not fetched)
+    c2 = _crawl_ctes(2) + [("js", "SELECT j.job_id, j.origin_url, CAST(2 AS BIGINT) AS max_depth, "
+                                  "CASE WHEN count_if(d.depth = 2) > 0 THEN 'running' ELSE 'completed' END AS status "
+                                  "FROM jobs j LEFT JOIN disc d USING (job_id) GROUP BY ALL")]
+    q["job_list"] = P.with_ctes(c2, "SELECT * FROM js")
+    q["jobs_active"] = P.with_ctes(c2, "SELECT job_id, origin_url, status FROM js WHERE status IN ('queued', 'running')")
+
+    # J5/J8 over the bounded depth-1 crawl
+    cap = catalog.BOUNDED_CAPACITY
+    b = _bounded_ctes(cap)
+    q["url_state_stats"] = P.with_ctes(b, "SELECT state, CAST(count(*) AS BIGINT) AS count FROM bounded GROUP BY state")
+    q["status_row"] = P.with_ctes(
+        b, "SELECT CAST(count_if(b.state = 'processed') AS BIGINT) AS processed_count, "
+           "CAST(count_if(b.state = 'failed') AS BIGINT) AS error_count, "
+           "CAST(count_if(b.state = 'skipped') AS BIGINT) AS skipped_count, "
+           "CAST(count(DISTINCT CASE WHEN b.state = 'processed' THEN d.page_id END) AS BIGINT) AS indexed_count, "
+           "CAST(0 AS BIGINT) AS active_jobs, CAST(count_if(b.state = 'queued') AS BIGINT) AS queue_depth, "
+           f"CAST({cap} AS BIGINT) AS max_queue_depth, count_if(b.state = 'queued') >= {cap} AS queue_saturated, "
+           "CAST(count_if(b.state = 'skipped') AS BIGINT) AS dropped_urls "
+           "FROM bounded b LEFT JOIN docs d USING (normalized_url)")
+
+    # Purge the first job
+    pc = _crawl_ctes(derived.CRAWL_DEPTH) + _postings_ctes() + [
+        ("excl", "SELECT DISTINCT page_id FROM pdisc WHERE job_id = (SELECT min(job_id) FROM jobs) "
+                 "AND page_id NOT IN (SELECT page_id FROM pdisc WHERE job_id <> (SELECT min(job_id) FROM jobs))")]
+    q["purge_job_pages"] = P.with_ctes(pc, "SELECT page_id, normalized_url FROM docs "
+                                           "WHERE page_id NOT IN (SELECT page_id FROM excl)")
+    q["purge_job_terms"] = P.with_ctes(pc, "SELECT page_id, field, term, frequency FROM post "
+                                           "WHERE page_id NOT IN (SELECT page_id FROM excl)")
+
+    # E1-E3, S5
+    ec = _search_crawl_ctes() + [
+        ("ex_rows", "SELECT p.term, d.url, x.origin_url, x.depth, p.frequency, p.letter FROM post p "
+                    "JOIN docs d USING (page_id) JOIN pdisc x USING (page_id)")]
+    q["export_letters"] = P.with_ctes(ec, "SELECT * FROM ex_rows")
+    q["export_lookup"] = P.with_ctes(ec, "SELECT term, url, origin_url, depth, frequency FROM ex_rows "
+                                         f"WHERE term = {_lit(catalog.LOOKUP_TERM)}")
+
+    # C8/C9
+    host = P.url_facts("url")["host"]
+    rb = _pages_norm_ctes() + [
+        ("rh", f"SELECT {host} AS host, arg_min(url, page_id) AS url FROM pn_6 WHERE normalized_url IS NOT NULL "
+               f"GROUP BY {host}"),
+        ("rt", "SELECT host, concat_ws(chr(10), 'User-agent: *', 'Disallow: /' || regexp_extract(url, "
+               "'^https?://[^/]+/([^/?#]+)/([^/?#]+)', 1) || '/', '  Allow: /' || regexp_extract(url, "
+               "'^https?://[^/]+/([^/?#]+)/([^/?#]+)', 1) || '/' || regexp_extract(url, "
+               "'^https?://[^/]+/([^/?#]+)/([^/?#]+)', 2), 'Disallow: /Private # keep out', "
+               "'User-agent: OtherBot', 'Disallow: /') AS text FROM rh"),
+        ("rl", "SELECT host, unnest(string_split(text, chr(10))) AS raw, "
+               "CAST(unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS BIGINT) AS line FROM rt"),
+        ("rlt", f"SELECT host, line, lower({P.trim_js('raw')}) AS t FROM rl"),
+        ("rla", "SELECT *, CASE WHEN starts_with(t, 'user-agent:') THEN (trim(substr(t, 12)) = '*' "
+                "OR contains(trim(substr(t, 12)), 'trawl')) END AS agent_flag FROM rlt"),
+        ("rlr", "SELECT *, coalesce(last_value(agent_flag IGNORE NULLS) OVER (PARTITION BY host ORDER BY line "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS relevant FROM rla"),
+        ("rules0", "SELECT host, line, CASE WHEN starts_with(t, 'disallow:') THEN trim(substr(t, 10)) "
+                   "WHEN starts_with(t, 'allow:') THEN trim(substr(t, 7)) END AS path, starts_with(t, 'allow:') AS allow "
+                   "FROM rlr WHERE relevant"),
+        ("rules", "SELECT *, CAST(row_number() OVER (PARTITION BY host ORDER BY length(path) DESC, line) AS BIGINT) "
+                  "AS rank FROM rules0 WHERE path IS NOT NULL AND path <> ''"),
+    ]
+    q["robots_rules"] = P.with_ctes(rb, "SELECT host, line, path, allow, rank FROM rules")
+    f = P.url_facts("d.normalized_url")
+    q["robots_allowed"] = P.with_ctes(
+        _docs_ctes() + rb,
+        f"SELECT d.page_id, d.normalized_url, coalesce((SELECT arg_min(r.allow, r.rank) FROM rules r "
+        f"WHERE r.host = {f['host']} AND starts_with({f['path']}, r.path)), true) AS allowed FROM docs d")
+
+    # C10
+    fh = P.url_facts("normalized_url")["host"]
+    order = "depth, job_id, parent_page_id NULLS FIRST, pos NULLS FIRST, normalized_url"
+    q["fetch_plan"] = P.with_ctes(
+        _crawl_ctes(derived.CRAWL_DEPTH) + [
+            ("fp", f"SELECT normalized_url, {fh} AS host, CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) "
+                   f"AS global_rank, CAST(row_number() OVER (PARTITION BY {fh} ORDER BY {order}) - 1 AS BIGINT) "
+                   f"AS host_rank FROM disc WHERE state = 'processed'")],
+        "SELECT *, greatest(host_rank * 1000, CAST(floor(global_rank / 20) AS BIGINT) * 1000) AS start_ms FROM fp")
+
+    # ST1-ST6: first fetch of each URL wins
+    sc = _docs_first_ctes()
+    q["stream_index"] = P.with_ctes(sc + _postings_ctes(), "SELECT page_id, field, term, frequency, letter FROM post")
+    q["stream_dedup"] = P.with_ctes(sc, "SELECT normalized_url, page_id FROM docs")
+    q["stream_counts"] = P.with_ctes(
+        _pages_norm_ctes(), f"SELECT CASE WHEN normalized_url IS NULL THEN NULL ELSE {host} END AS host, "
+                            f"CAST(count(*) AS BIGINT) AS pages FROM pn_6 GROUP BY 1")
+
+
+def _docs_first_ctes() -> list[tuple[str, str]]:
+    ctes = _docs_ctes()[:-1]
+    ctes.append(("docs", "SELECT min(page_id) AS page_id, normalized_url, arg_min(url, page_id) AS url, "
+                         "arg_min(title, page_id) AS title, arg_min(body_text, page_id) AS body_text "
+                         "FROM dn_6 WHERE normalized_url IS NOT NULL GROUP BY normalized_url"))
+    return ctes
