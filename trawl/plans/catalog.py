@@ -450,19 +450,19 @@ def _stream_dirs(spark, name):
 
 def q_stream_index(spark, sf):
     sink, ck = _stream_dirs(spark, "stream-index")
-    ST.run_index_stream(spark, f"{sf}/pages.parquet", sink, ck, max_files_per_trigger=1)
+    ST.run_index_stream(spark, sf, sink, ck, max_files_per_trigger=1, glob="pages*.parquet")
     return ST.read_postings(spark, sink).select("page_id", "field", "term", "frequency", "letter")
 
 
 def q_stream_dedup(spark, sf):
     sink, ck = _stream_dirs(spark, "stream-dedup")
-    ST.run_index_stream(spark, f"{sf}/pages.parquet", sink, ck, max_files_per_trigger=1)
+    ST.run_index_stream(spark, sf, sink, ck, max_files_per_trigger=1, glob="pages*.parquet")
     return ST.read_registry(spark, sink).select("normalized_url", "page_id")
 
 
 def q_stream_counts(spark, sf):
     sink, ck = _stream_dirs(spark, "stream-counts")
-    return ST.run_host_counts(spark, f"{sf}/pages.parquet", ck, sink).select("host", "pages")
+    return ST.run_host_counts(spark, sf, ck, sink, glob="pages*.parquet").select("host", "pages")
 
 
 QUERIES.update({

@@ -29,9 +29,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def page_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """ST1 source: parquet files of fetched pages, schema given, never inferred."""
+def page_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
+                glob: str | None = None) -> DataFrame:
+    """ST1 source: parquet files of fetched pages in `source_dir` (optionally
+    only names matching `glob`), schema given, never inferred."""
     r = spark.readStream.schema(PAGE_STREAM_SCHEMA)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(source_dir)
@@ -58,9 +62,9 @@ def index_batch(spark: SparkSession, batch: DataFrame, sink: str) -> None:
 
 
 def run_index_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None, glob: str | None = None) -> None:
     """Run the incremental index over everything available now, then stop."""
-    q = (page_stream(spark, source_dir, max_files_per_trigger).writeStream
+    q = (page_stream(spark, source_dir, max_files_per_trigger, glob).writeStream
          .foreachBatch(lambda df, _id: index_batch(spark, df, sink))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
@@ -77,11 +81,12 @@ def read_registry(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(f"{sink}/registry")
 
 
-def run_host_counts(spark: SparkSession, source_dir: str, checkpoint: str, sink: str) -> DataFrame:
+def run_host_counts(spark: SparkSession, source_dir: str, checkpoint: str, sink: str,
+                    glob: str | None = None) -> DataFrame:
     """ST5: running page counts per host: a stateful streaming aggregation
     (state store, update mode); each batch's changed counts are merged into
     the parquet table at `sink` (latest count per host wins)."""
-    s = page_stream(spark, source_dir).select(hostname(F.col("url")).alias("host"))
+    s = page_stream(spark, source_dir, glob=glob).select(hostname(F.col("url")).alias("host"))
 
     def merge(df, batch_id):
         df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
