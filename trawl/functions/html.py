@@ -5,7 +5,7 @@ next to the parquet reader; no Python touches the html.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for identical output.
@@ -32,6 +32,10 @@ NAMED_ENTITIES = [
     ("&apos;", "'"),
 ]
 NBSP_ENTITY = ("&nbsp;", " ")
+# The same whitespace as a plain character set (for btrim / translate).
+JS_WS_CHARS = ("\t\n\x0b\x0c\r \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+               + "\u2028\u2029\u202f\u205f\u3000\ufeff")
+_NON_ASCII_WS = JS_WS_CHARS[6:]
 
 
 def _col(c) -> Column:
@@ -40,7 +44,14 @@ def _col(c) -> Column:
 
 def js_trim(c) -> Column:
     """String.prototype.trim: strip JS whitespace at both ends."""
-    return F.regexp_replace(_col(c), rf"^{JS_WS}+|{JS_WS}+$", "")
+    return F.btrim(_col(c), F.lit(JS_WS_CHARS))
+
+
+def collapse_ws(c) -> Column:
+    """`replace(/\\s+/g, ' ')` with JS whitespace: map the non-ASCII spaces to
+    ' ' (a character map), then collapse ASCII whitespace runs."""
+    spaced = F.translate(_col(c), _NON_ASCII_WS, " " * len(_NON_ASCII_WS))
+    return F.regexp_replace(spaced, r"[\t-\r ]+", " ")
 
 
 def _utf16_char(code: Column) -> Column:
@@ -71,15 +82,29 @@ def _hex_code(x: Column) -> Column:
     return F.conv(F.right(F.lpad(digits, 4, "0"), F.lit(4)), 16, 10).cast("int")
 
 
-def decode_entities(c) -> Column:
-    """H4: the reference's decode passes, in order, each one global pass:
-    six named entities, decimal, hex, then &nbsp; (names are case-sensitive)."""
+def decode_named(c) -> Column:
+    """H4, first part: the six named entities, in order."""
     out = _col(c)
     for ent, ch in NAMED_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    out = _numeric_pass(out, r"&#[0-9]+;", _decimal_code)
-    out = _numeric_pass(out, r"&#x[0-9a-fA-F]+;", _hex_code)
-    return F.replace(out, F.lit(NBSP_ENTITY[0]), F.lit(NBSP_ENTITY[1]))
+    return out
+
+
+def decode_rest(c, guarded: bool = False) -> Column:
+    """H4, second part: decimal pass, hex pass, then &nbsp;. With `guarded`,
+    the numeric passes only run when the text has a '&#' (use it only on a
+    materialized column: the guard reads the input twice)."""
+    out = _col(c)
+    numeric = _numeric_pass(_numeric_pass(out, r"&#[0-9]+;", _decimal_code), r"&#x[0-9a-fA-F]+;", _hex_code)
+    if guarded:
+        numeric = F.when(F.instr(out, "&#") > 0, numeric).otherwise(out)
+    return F.replace(numeric, F.lit(NBSP_ENTITY[0]), F.lit(NBSP_ENTITY[1]))
+
+
+def decode_entities(c) -> Column:
+    """H4: the reference's decode passes, in order, each one global pass:
+    six named entities, decimal, hex, then &nbsp; (names are case-sensitive)."""
+    return decode_rest(decode_named(c))
 
 
 def extract_title(html) -> Column:
@@ -95,11 +120,40 @@ def extract_links(html) -> Column:
     return F.array_distinct(F.filter(trimmed, lambda h: h != ""))
 
 
-def extract_text(html) -> Column:
-    """H3: drop script/style/noscript/comments/tags, decode, collapse spaces, cut."""
+def strip_markup(html) -> Column:
+    """H3, first part: script/style/noscript blocks, comments, then every tag,
+    each replaced by a space; named entities decoded."""
     t = F.coalesce(_col(html), F.lit(""))
     for pattern in (SCRIPT_RE, STYLE_RE, NOSCRIPT_RE, COMMENT_RE, TAG_RE):
         t = F.regexp_replace(t, pattern, " ")
-    t = decode_entities(t)
-    t = js_trim(F.regexp_replace(t, JS_WS + "+", " "))
-    return F.left(t, F.lit(TEXT_MAX_CHARS))
+    return decode_named(t)
+
+
+def finish_text(stripped, guarded: bool = False) -> Column:
+    """H3, second part: numeric entities, collapse whitespace, trim, cut."""
+    return F.left(js_trim(collapse_ws(decode_rest(stripped, guarded))), F.lit(TEXT_MAX_CHARS))
+
+
+def extract_text(html) -> Column:
+    """H3: drop script/style/noscript/comments/tags, decode, collapse spaces, cut."""
+    return finish_text(strip_markup(html))
+
+
+def with_page_fields(df: DataFrame, html: str = "html", *, title: str | None = "title",
+                     text: str | None = "body_text", links: str | None = None) -> DataFrame:
+    """H1-H3 as two projections: markup stripped (and named entities decoded)
+    first, so the numeric-entity passes run only on the pages that have one."""
+    pre = {}
+    if text:
+        pre["_pre_text"] = strip_markup(html)
+    if title:
+        pre["_pre_title"] = decode_named(F.regexp_extract(F.coalesce(_col(html), F.lit("")), TITLE_RE, 1))
+    out = df.withColumns(pre)
+    post = {}
+    if title:
+        post[title] = F.left(js_trim(decode_rest("_pre_title", guarded=True)), F.lit(TITLE_MAX_CHARS))
+    if text:
+        post[text] = finish_text("_pre_text", guarded=True)
+    if links:
+        post[links] = extract_links(html)
+    return out.withColumns(post).drop(*pre)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.html import extract_links, extract_text, extract_title
+from trawl.functions.html import with_page_fields
 from trawl.functions.urls import with_normalized_url, with_url_facts
 from trawl.operators._util import broadcast_if_small
 from trawl.sources.pages import accept_responses
@@ -19,12 +19,9 @@ def extract_pages(pages: DataFrame, *, with_links: bool = False) -> DataFrame:
     """Per archive row: page_id, url, normalized_url, title, body_text,
     content_length (and the raw href list when asked). Rows whose URL does not
     normalize, or whose response is not accepted (S2), are dropped."""
-    acc = accept_responses(pages)
-    cols = [F.col("page_id").cast("long").alias("page_id"), "url",
-            extract_title("html").alias("title"), extract_text("html").alias("body_text")]
-    if with_links:
-        cols.append(extract_links("html").alias("links"))
-    out = acc.select(*cols)
+    acc = accept_responses(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    out = with_page_fields(acc, "html", title="title", text="body_text",
+                           links="links" if with_links else None).drop("html")
     out = with_normalized_url(out, "url", "normalized_url").filter(F.col("normalized_url").isNotNull())
     return out.withColumn("content_length", F.length("body_text").cast("long"))
 

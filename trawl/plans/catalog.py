@@ -239,9 +239,8 @@ QUERY_BATCH_WORDS = 2       # batch queries: first words of each page title
 
 
 def _crawled(spark, sf):
-    d = derived.docs(spark, sf)
-    r = derived.run_crawl(spark, sf)
-    return d, r
+    c = derived.Corpus(spark, sf)
+    return c.docs(), c.crawl()
 
 
 def q_search_triples(spark, sf):
@@ -299,7 +298,7 @@ def q_index_replace(spark, sf):
              .agg(F.min_by(F.struct("page_id", "url", "title", "body_text"), "page_id").alias("d"))
              .select("normalized_url", "d.*"))
     old = index.inverted_index(first)
-    docs = derived.docs(spark, sf)
+    docs = extract.dedup_by_normalized_url(ext)
     refetched = (ext.groupBy("normalized_url").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
                  .select("normalized_url"))
     new = index.inverted_index(docs.join(refetched, "normalized_url", "left_semi"))
@@ -309,8 +308,9 @@ def q_index_replace(spark, sf):
 def q_discovery_dedup(spark, sf):
     """I4: discoveries of a depth-1 crawl, then insert-or-ignore those of the
     full crawl."""
-    r1 = derived.run_crawl(spark, sf, depth=1)
-    r3 = derived.run_crawl(spark, sf)
+    c = derived.Corpus(spark, sf)
+    r1 = c.crawl(depth=1)
+    r3 = c.crawl()
     return index.add_discoveries(r1.page_discoveries, r3.page_discoveries).select(
         "page_id", "job_id", "origin_url", F.col("depth").cast("long").alias("depth"))
 
@@ -428,7 +428,7 @@ def q_robots_rules(spark, sf):
 
 
 def q_robots_allowed(spark, sf):
-    urls = derived.docs(spark, sf).select("page_id", "normalized_url")
+    urls = docs_of(spark, sf).select("page_id", "normalized_url")
     return RB.allowed(urls, RB.parse_rules(derived.robots(spark, sf))).select("page_id", "normalized_url", "allowed")
 
 

@@ -15,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.html import extract_links
-from trawl.functions.urls import hostname, normalize_url
+from trawl.functions.urls import hostname, normalize_url, skip_by_extension
 from trawl.operators import crawl as C
 from trawl.operators import extract
-from trawl.sources.pages import accept_responses, read_table
+from trawl.session import cut_lineage
+from trawl.sources.pages import read_table
 
 CRAWL_DEPTH = 3
 EDGE_HEX_DIGITS = 6
@@ -29,34 +29,71 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "pages")
 
 
-def archive_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Extracted, de-duplicated archive rows incl. `source_id`."""
-    return extract.dedup_by_normalized_url(extract.extract_pages(pages(spark, sf)))
+class Corpus:
+    """The archive of one scale factor, extracted and de-duplicated once per
+    query (html parsed a single time), written to the checkpoint folder and
+    shared by the documents, the link graph and the crawl."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+        self._rows: DataFrame | None = None
+
+    @property
+    def rows(self) -> DataFrame:
+        if self._rows is None:
+            ext = extract.extract_pages(pages(self.spark, self.sf), with_links=True)
+            self._rows = cut_lineage(extract.dedup_by_normalized_url(ext))
+        return self._rows
+
+    def docs(self) -> DataFrame:
+        return self.rows.select("page_id", "normalized_url", "url", "title", "body_text", "content_length")
+
+    def closure_edges(self) -> DataFrame:
+        """(src_url, pos, href, dst_url, stored_url, src_page_id, dst_page_id);
+        links of the row that provides each URL's content."""
+        p = pages(self.spark, self.sf)
+        n = p.count()
+        raw = self.rows.select("source_id", F.col("normalized_url").alias("src_url"),
+                               F.col("page_id").alias("src_page_id"),
+                               F.posexplode("links").alias("pos", "href"))
+        target = (F.conv(F.substring(F.md5(F.concat(F.col("source_id").cast("string"), F.lit("|"),
+                                                    F.col("href"))), 1, EDGE_HEX_DIGITS), 16, 10)
+                  .cast("long") % F.lit(n))
+        tgt = p.select(F.col("page_id").alias("dst_page_id"), F.col("url").alias("stored_url"),
+                       normalize_url(F.col("url")).alias("dst_url"))
+        return (raw.withColumn("dst_page_id", target).join(tgt, "dst_page_id")
+                .select("src_url", F.col("pos").cast("long").alias("pos"), "href", "dst_url", "stored_url",
+                        "src_page_id", "dst_page_id"))
+
+    def real_edges(self) -> DataFrame:
+        """The pages' own links resolved against the page URL."""
+        links = self.rows.select(F.col("normalized_url").alias("src_url"),
+                                 F.posexplode("links").alias("pos", "href"))
+        links = links.withColumn("dst_url", normalize_url(F.col("href"), F.col("src_url")))
+        links = links.withColumn("stored_url", F.when(F.col("href").rlike(r"(?i)^https?://"), F.col("href"))
+                                 .otherwise(F.col("dst_url")))
+        links = links.filter(F.col("dst_url").isNotNull() & ~skip_by_extension(F.col("dst_url")))
+        return links.select("src_url", F.col("pos").cast("long").alias("pos"), "href", "dst_url", "stored_url")
+
+    def jobs(self, depth: int = CRAWL_DEPTH) -> DataFrame:
+        return jobs(self.spark, self.sf, depth)
+
+    def archive(self) -> DataFrame:
+        fetched = pages(self.spark, self.sf).select(
+            normalize_url(F.col("url")).alias("normalized_url"),
+            F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("string").alias("content_type"))
+        return C.prepare_archive(self.docs(), fetched.filter(F.col("normalized_url").isNotNull()))
+
+    def crawl(self, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY, stop_after=None) -> C.CrawlResult:
+        return C.crawl(self.archive(), self.closure_edges(), self.jobs(depth), capacity=capacity,
+                       stop_after=stop_after)
+
+    def real_crawl(self, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY) -> C.CrawlResult:
+        return C.crawl(C.prepare_archive(self.docs()), self.real_edges(), self.jobs(depth), capacity=capacity)
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return archive_rows(spark, sf).select("page_id", "normalized_url", "url", "title", "body_text",
-                                          "content_length")
-
-
-def closure_edges(spark: SparkSession, sf: str) -> DataFrame:
-    """(src_url, pos, href, dst_url, stored_url, src_page_id, dst_page_id).
-
-    Links are taken from the archive row that provides each URL's content."""
-    p = pages(spark, sf)
-    n = p.count()
-    rows = archive_rows(spark, sf).select("source_id", F.col("normalized_url").alias("src_url"),
-                                          F.col("page_id").alias("src_page_id"))
-    raw = (accept_responses(p).select(F.col("page_id").alias("source_id"),
-                                      F.posexplode(extract_links("html")).alias("pos", "href"))
-           .join(rows, "source_id"))
-    target = (F.conv(F.substring(F.md5(F.concat(F.col("source_id").cast("string"), F.lit("|"), F.col("href"))),
-                                 1, EDGE_HEX_DIGITS), 16, 10).cast("long") % F.lit(n))
-    tgt = p.select(F.col("page_id").alias("dst_page_id"), F.col("url").alias("stored_url"),
-                   normalize_url(F.col("url")).alias("dst_url"))
-    return (raw.withColumn("dst_page_id", target).join(tgt, "dst_page_id")
-            .select("src_url", F.col("pos").cast("long").alias("pos"), "href", "dst_url", "stored_url",
-                    "src_page_id", "dst_page_id"))
+    return extract.page_docs(pages(spark, sf))
 
 
 def jobs(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> DataFrame:
@@ -69,26 +106,12 @@ def jobs(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> DataFrame:
 
 def run_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY,
               stop_after=None) -> C.CrawlResult:
-    d = docs(spark, sf)
-    fetched = pages(spark, sf).select(normalize_url(F.col("url")).alias("normalized_url"),
-                                      F.lit(None).cast("int").alias("http_status"),
-                                      F.lit(None).cast("string").alias("content_type"))
-    return C.crawl(C.prepare_archive(d, fetched.filter(F.col("normalized_url").isNotNull())),
-                   closure_edges(spark, sf), jobs(spark, sf, depth), capacity=capacity, stop_after=stop_after)
-
-
-def real_edges(spark: SparkSession, sf: str) -> DataFrame:
-    """The pages' own links, resolved against the page URL (C1), from the
-    archive row that provides each URL's content."""
-    rows = archive_rows(spark, sf).select(F.col("source_id").alias("src_page_id"))
-    links = extract.page_links(pages(spark, sf))
-    return links.join(rows, "src_page_id", "left_semi").select("src_url", "pos", "href", "dst_url", "stored_url")
+    return Corpus(spark, sf).crawl(depth, capacity, stop_after)
 
 
 def run_real_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH,
                    capacity=C.DEFAULT_CAPACITY) -> C.CrawlResult:
-    d = docs(spark, sf)
-    return C.crawl(C.prepare_archive(d), real_edges(spark, sf), jobs(spark, sf, depth), capacity=capacity)
+    return Corpus(spark, sf).real_crawl(depth, capacity)
 
 
 def page_lang(html: str = "html"):

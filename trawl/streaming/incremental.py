@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from trawl import schemas
 from trawl.functions.urls import hostname
 from trawl.operators import extract, index
+from trawl.session import cut_lineage
 
 PAGE_STREAM_SCHEMA = T.StructType(schemas.ARCHIVE.fields[:3])   # page_id, url, html
 
@@ -41,31 +42,37 @@ def page_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
     return r.parquet(source_dir)
 
 
-def index_batch(spark: SparkSession, batch: DataFrame, sink: str) -> None:
+def index_batch(spark: SparkSession, batch: DataFrame, sink: str, batch_id: int = 0) -> None:
     """One micro-batch: extract, keep the first row per new normalized URL,
-    append postings and the URL registry."""
+    write postings and the URL registry under `batch_id=<id>`.
+
+    Writes replace only this batch's partitions (dynamic overwrite) and the
+    de-duplication reads only earlier batches, so a batch that is run again
+    after a failure (foreachBatch is at-least-once) yields the same output."""
     ext = extract.extract_pages(batch)
     first = (ext.groupBy("normalized_url")
              .agg(F.min_by(F.struct("page_id", "url", "title", "body_text", "content_length"), "page_id").alias("d"))
              .select("normalized_url", "d.*"))
     registry_path = f"{sink}/registry"
     if _exists(spark, registry_path):
-        seen = spark.read.parquet(registry_path).select("normalized_url")
+        seen = (spark.read.parquet(registry_path).filter(F.col("batch_id") < F.lit(batch_id))
+                .select("normalized_url"))
         first = first.join(seen, "normalized_url", "left_anti")
-    first = first.persist()
-    try:
-        first.select("normalized_url", "page_id").write.mode("append").parquet(registry_path)
-        (index.inverted_index(first.select("page_id", "normalized_url", "title", "body_text"))
-         .write.mode("append").partitionBy("letter").parquet(f"{sink}/postings"))
-    finally:
-        first.unpersist()
+    first = cut_lineage(first.withColumn("batch_id", F.lit(batch_id).cast("long")))
+    (index.inverted_index(first.select("page_id", "normalized_url", "title", "body_text"))
+     .withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id", "letter").parquet(f"{sink}/postings"))
+    (first.select("normalized_url", "page_id", "batch_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(registry_path))
 
 
 def run_index_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
                      max_files_per_trigger: int | None = None, glob: str | None = None) -> None:
     """Run the incremental index over everything available now, then stop."""
     q = (page_stream(spark, source_dir, max_files_per_trigger, glob).writeStream
-         .foreachBatch(lambda df, _id: index_batch(spark, df, sink))
+         .foreachBatch(lambda df, batch_id: index_batch(spark, df, sink, batch_id))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
