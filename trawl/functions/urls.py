@@ -316,6 +316,12 @@ def is_crawlable(url) -> Column:
     return _with_parts(url_parts(F.coalesce(_col(url), F.lit(""))), body)
 
 
+def url_token_text(url) -> Column:
+    """T4 input: host + path + query of a URL joined by spaces; null if unparsable."""
+    return _with_parts(url_parts(url), lambda g: F.when(
+        g["valid"], F.concat_ws(" ", g["host"], g["path"], g["query"])))
+
+
 def url_tokens(url) -> Column:
     """T4: tokens of host + path + query of a URL; unparsable -> []."""
     return _with_parts(url_parts(url), lambda g: F.when(

@@ -95,7 +95,7 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
                      F.col("w.origin_url").alias("url"), F.lit(0).alias("depth"),
                      F.lit(None).cast("string").alias("discovered_from_url"),
                      F.lit(None).cast("long").alias("parent_page_id"), F.lit(None).cast("long").alias("pos")))
-    level = _admit(first, [], capacity, spark, parts)
+    level = _admit(first, [], capacity, arch, parts)
     done: list[DataFrame] = []
     metrics = []
     depth = 0
@@ -103,19 +103,15 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
         kept, dropped, n_new, n_kept = level
         metrics.append({"depth": depth, "admitted": n_new, "frontier": n_kept, "dropped": n_new - n_kept})
         if stop_after is not None and depth > stop_after:
-            done.append(kept.withColumns({
+            kept = kept.withColumns({
                 "page_id": F.lit(None).cast("long"), "indexed": F.lit(False),
-                "state": F.lit("queued"), "error_message": F.lit(None).cast("string")}))
-            if dropped is not None:
-                done.append(dropped)
-            break
-        fetched = _fetch(kept, arch)
-        done.append(fetched)
+                "state": F.lit("queued"), "error_message": F.lit(None).cast("string")})
+        done.append(kept)
         if dropped is not None:
             done.append(dropped)
-        if n_kept == 0:
+        if n_kept == 0 or (stop_after is not None and depth > stop_after):
             break
-        expand = fetched.filter(F.col("indexed") & (F.col("depth") < F.col("max_depth")))
+        expand = kept.filter(F.col("indexed") & (F.col("depth") < F.col("max_depth")))
         cand = (expand.select("normalized_url", "job_id", "origin_url", "max_depth", "depth",
                               F.col("page_id").alias("parent_page_id"))
                 .join(out_edges, "normalized_url")
@@ -126,7 +122,7 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
                                  (F.col("depth") + 1).alias("depth")).alias("c")))
         best = (cand.groupBy("normalized_url").agg(F.min("c").alias("c"))
                 .select("normalized_url", "c.*"))
-        level = _admit(best, done, capacity, spark, parts)
+        level = _admit(best, done, capacity, arch, parts)
         depth += 1
 
     discovered = done[0]
@@ -142,35 +138,33 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
     return CrawlResult(discovered, page_disc, metrics, status)
 
 
-def _admit(cands: DataFrame, seen: list[DataFrame], capacity, spark, parts):
-    """C2 + C3: drop URLs seen at any earlier level, then cap the frontier."""
+def _admit(cands: DataFrame, seen: list[DataFrame], capacity, arch: DataFrame, parts: int):
+    """C2 + C3 + C11 for one level: drop URLs seen at any earlier level, look
+    the rest up in the archive (fetch outcome), write the level once, and cap
+    it to the frontier capacity (the rest is `skipped`)."""
     new = cands
     for lvl in seen:
         new = new.join(lvl.select("normalized_url"), "normalized_url", "left_anti")
-    new = cut_lineage(new.repartition(parts, "normalized_url"))
-    n_new = new.count()
+    level = cut_lineage(_fetch(new, arch).repartition(parts, "normalized_url"))
+    n_new = level.count()
     if capacity is None or n_new <= capacity:
-        return new, None, n_new, n_new
+        return level, None, n_new, n_new
     order = [F.col("job_id"), F.col("parent_page_id").asc_nulls_first(), F.col("pos").asc_nulls_first(),
              F.col("normalized_url")]
-    kept = cut_lineage(new.orderBy(*order).limit(int(capacity)).repartition(parts, "normalized_url"))
-    dropped = (new.join(kept.select("normalized_url"), "normalized_url", "left_anti")
-               .withColumn("state", F.lit("skipped"))
-               .withColumn("page_id", F.lit(None).cast("long"))
-               .withColumn("indexed", F.lit(False))
-               .withColumn("error_message", F.lit(None).cast("string")))
-    dropped = cut_lineage(dropped)
+    kept = cut_lineage(level.orderBy(*order).limit(int(capacity)).repartition(parts, "normalized_url"))
+    dropped = cut_lineage(
+        level.join(kept.select("normalized_url"), "normalized_url", "left_anti")
+        .withColumns({"state": F.lit("skipped"), "page_id": F.lit(None).cast("long"),
+                      "indexed": F.lit(False), "error_message": F.lit(None).cast("string")}))
     return kept, dropped, n_new, int(capacity)
 
 
 def _fetch(frontier: DataFrame, arch: DataFrame) -> DataFrame:
     """C11: outcome of fetching each frontier URL from the archive."""
     f = frontier.join(arch, "normalized_url", "left")
-    return cut_lineage(f.select(
-        "*",
-        F.when(F.col("indexed").isNull(), "failed").otherwise("processed").alias("state"),
-        F.when(F.col("indexed").isNull(), F.lit("not in archive")).alias("error_message"))
-        .withColumn("indexed", F.coalesce(F.col("indexed"), F.lit(False))))
+    return (f.withColumn("state", F.when(F.col("indexed").isNull(), "failed").otherwise("processed"))
+            .withColumn("error_message", F.when(F.col("indexed").isNull(), F.lit("not in archive")))
+            .withColumn("indexed", F.coalesce(F.col("indexed"), F.lit(False))))
 
 
 # ---------------------------------------------------------------- frontier ops

@@ -1,17 +1,18 @@
 """Inverted index build and maintenance.
 
-Postings are produced by one explode of a struct array (title, body, url
-tokens together) and one aggregate keyed by (page_id, field, term). A page's
-rows all sit in one input partition, so the map-side partial aggregate already
-collapses them; the shuffle carries distinct postings only, never text.
+Postings come from two explodes (one row per field, then one per token), a
+filter, and one aggregate keyed by (page_id, field, term), all inside
+whole-stage code generation. A page's rows sit in one input partition, so
+the map-side partial aggregate already collapses them; the shuffle carries
+distinct postings only, never text.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import tokenize, tokenize_matching
-from trawl.functions.urls import with_url_facts
+from trawl.functions.text import SPLIT_RE, keep_token
+from trawl.functions.urls import url_token_text
 
 FIELDS = ("title", "body", "url")
 
@@ -22,43 +23,48 @@ def letter_of(term: Column) -> Column:
     return F.when(first.rlike("^[a-z0-9]$"), first).otherwise(F.lit("_"))
 
 
-def _tagged(tokens: Column, field: str) -> Column:
-    return F.transform(tokens, lambda t: F.struct(F.lit(field).alias("field"), t.alias("term")))
+def _field_texts(docs: DataFrame) -> DataFrame:
+    """(page_id, field, text): one row per field; the url field's text is
+    host + path + query of the normalized URL (T4)."""
+    d = docs.select("page_id", "title", "body_text", url_token_text(F.col("normalized_url")).alias("_url_text"))
+    return d.select("page_id", F.explode(F.array(
+        F.struct(F.lit("title").alias("field"), F.col("title").alias("text")),
+        F.struct(F.lit("body").alias("field"), F.col("body_text").alias("text")),
+        F.struct(F.lit("url").alias("field"), F.col("_url_text").alias("text")))).alias("f")
+    ).select("page_id", "f.field", "f.text")
 
 
-def _postings(docs: DataFrame, title_tok, body_tok, url_tok) -> DataFrame:
-    d = with_url_facts(docs.select("page_id", "title", "body_text", "normalized_url"),
-                       "normalized_url", tokens="_url_tokens")
-    d = d.select("page_id", F.explode(F.concat(
-        _tagged(title_tok(F.col("title")), "title"),
-        _tagged(body_tok(F.col("body_text")), "body"),
-        _tagged(url_tok(F.col("_url_tokens")), "url"))).alias("p"))
-    return (d.groupBy("page_id", F.col("p.field").alias("field"), F.col("p.term").alias("term"))
+def _exploded_terms(df: DataFrame, text: str) -> DataFrame:
+    """T1 as explode + filter: both run inside whole-stage code generation
+    (a per-token lambda would be evaluated interpreted)."""
+    t = df.withColumn("term", F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SPLIT_RE))).drop(text)
+    return t.filter(keep_token(F.col("term")))
+
+
+def _postings(docs: DataFrame, terms: list[str] | None) -> DataFrame:
+    t = _exploded_terms(_field_texts(docs), "text")
+    if terms is not None:
+        t = t.filter(F.col("term").isin(*terms) if terms else F.lit(False))
+    return (t.groupBy("page_id", "field", "term")
             .agg(F.count(F.lit(1)).alias("frequency"))
             .withColumn("letter", letter_of(F.col("term"))))
 
 
 def inverted_index(docs: DataFrame) -> DataFrame:
     """page_terms(page_id, field, term, frequency, letter) for every page."""
-    return _postings(docs, tokenize, tokenize, lambda c: c)
+    return _postings(docs, None)
 
 
 def postings_for_terms(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """I1 restricted to `terms`, filtering the token arrays before the explode
-    (Catalyst cannot push `term IN (...)` below a Generate)."""
-    wanted = list(dict.fromkeys(terms))
-    return _postings(
-        docs,
-        lambda c: tokenize_matching(c, wanted),
-        lambda c: tokenize_matching(c, wanted),
-        lambda c: F.filter(c, lambda t: t.isin(*wanted)) if wanted else F.filter(c, lambda t: F.lit(False)),
-    )
+    """I1 restricted to `terms`; the term filter sits right after the explode,
+    in the same code-generated stage, before any shuffle."""
+    return _postings(docs, list(dict.fromkeys(terms)))
 
 
 def term_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
     """T3 over any text column: (key, term, frequency)."""
-    return (df.select(key, F.explode(tokenize(F.col(text))).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("frequency")))
+    t = _exploded_terms(df.select(key, text), text)
+    return t.groupBy(key, "term").agg(F.count(F.lit(1)).alias("frequency"))
 
 
 def replace_postings(old: DataFrame, new: DataFrame) -> DataFrame:
