@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from trawl.functions.urls import hostname, normalize_url, skip_by_extension
 from trawl.operators import crawl as C
 from trawl.operators import extract
-from trawl.session import cut_lineage
+from trawl.session import materialize
 from trawl.sources.pages import read_table
 
 CRAWL_DEPTH = 3
@@ -42,7 +42,7 @@ class Corpus:
     def rows(self) -> DataFrame:
         if self._rows is None:
             ext = extract.extract_pages(pages(self.spark, self.sf), with_links=True)
-            self._rows = cut_lineage(extract.dedup_by_normalized_url(ext))
+            self._rows = materialize(extract.dedup_by_normalized_url(ext), "archive")
         return self._rows
 
     def docs(self) -> DataFrame:

@@ -48,3 +48,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor loss); used between BFS levels."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write `df` as parquet under the shared checkpoint folder and read it
+    back: lineage is cut, the data survives executor loss, and later readers
+    get columnar pruning (preferred over `checkpoint` for wide tables)."""
+    import uuid
+
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
