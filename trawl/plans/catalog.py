@@ -113,20 +113,26 @@ def q_inverted_index(spark, sf):
     return index.inverted_index(docs_of(spark, sf)).select("page_id", "field", "term", "frequency", "letter")
 
 
+def _docs_once(spark, sf) -> DataFrame:
+    """Documents materialized once for queries that read them twice."""
+    from trawl.plans.derived import Corpus
+    return Corpus(spark, sf).docs()
+
+
 def q_search_weighted(spark, sf):
-    docs = docs_of(spark, sf)
+    docs = _docs_once(spark, sf)
     post = index.postings_for_terms(docs, search.tokenize_py(QUERY_MAIN))
     return search.weighted_search(post, docs, None, QUERY_MAIN)
 
 
 def q_search_phrase(spark, sf):
-    docs = docs_of(spark, sf)
+    docs = _docs_once(spark, sf)
     post = index.postings_for_terms(docs, search.tokenize_py(QUERY_PHRASE))
     return search.weighted_search(post, docs, None, QUERY_PHRASE)
 
 
 def q_search_topk(spark, sf):
-    docs = docs_of(spark, sf)
+    docs = _docs_once(spark, sf)
     post = index.postings_for_terms(docs, search.tokenize_py(QUERY_MAIN))
     return search.weighted_search(post, docs, None, QUERY_MAIN, top_k=search.CLI_TOP_K)
 
