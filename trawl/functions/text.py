@@ -37,16 +37,6 @@ def tokenize(text) -> Column:
     return F.filter(parts, keep_token)
 
 
-def tokenize_matching(text, terms: list[str]) -> Column:
-    """T1 restricted to `terms`: used to filter token arrays *before* explode,
-    which Catalyst cannot do for us (a filter never passes a Generate)."""
-    parts = F.split(F.lower(F.coalesce(_col(text), F.lit(""))), SPLIT_RE)
-    wanted = [t for t in dict.fromkeys(terms)]
-    if not wanted:
-        return F.filter(parts, lambda t: F.lit(False))
-    return F.filter(parts, lambda t: t.isin(*wanted))
-
-
 def tokenize_py(text: str | None) -> list[str]:
     """Driver-side tokenizer for the *query string* only (a few words)."""
     import re

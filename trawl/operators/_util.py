@@ -6,21 +6,33 @@ from pyspark.sql import functions as F
 
 from trawl.session import cut_lineage
 
-# Upper bound, in rows, for a side that may be broadcast. Every broadcast in
-# the library goes through `broadcast_if_small`, which counts first.
-BROADCAST_MAX_ROWS = 2_000_000
+# Bounds for a side that may be broadcast. Every broadcast in the library
+# goes through `broadcast_if_small`, which counts first and estimates bytes
+# from the schema.
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+_WIDTH = {"string": 64, "binary": 64, "long": 8, "bigint": 8, "int": 4, "integer": 4, "double": 8,
+          "float": 4, "boolean": 1, "date": 4, "timestamp": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """Rough bytes per row (strings 64 B, nested values 256 B) plus row overhead."""
+    return 16 + sum(_WIDTH.get(f.dataType.simpleString(), 256) for f in df.schema.fields)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES,
                        materialize: bool = True) -> tuple[DataFrame, int]:
-    """Checkpoint `df`, count it, and hint a broadcast only under `max_rows`.
+    """Checkpoint `df`, count it, and hint a broadcast only when both the row
+    count and the estimated size are under their bounds.
 
-    Above the bound the frame is returned unhinted and the join falls back to
+    Above the bounds the frame is returned unhinted and the join falls back to
     a shuffle join (AQE may still pick a broadcast from runtime sizes)."""
     if materialize:
         df = cut_lineage(df)
     n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+    small = n <= max_rows and n * row_width(df) <= max_bytes
+    return (F.broadcast(df) if small else df), n
 
 
 def empty_like(spark, schema) -> DataFrame:

@@ -43,8 +43,14 @@ class CrawlResult:
     jobs: DataFrame | None = None    # jobs with status (completed / failed)
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+ROWS_PER_PARTITION = 200_000
+
+
+def _partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for the per-level tables: the session's shuffle partitions,
+    fewer when the archive is small (tiny levels would write many empty files)."""
+    conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(conf, -(-rows // ROWS_PER_PARTITION)))
 
 
 def prepare_archive(docs: DataFrame, fetched: DataFrame | None = None) -> DataFrame:
@@ -74,7 +80,7 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
     left `queued` (a paused crawl, input of C12-C14).
     """
     spark = archive.sparkSession
-    parts = _partitions(spark)
+    parts = _partitions(spark, archive.count())
     # static inputs: partitioned once by URL and checkpointed, so each level
     # shuffles only the (small) frontier
     arch = cut_lineage(archive.repartition(parts, "normalized_url"))

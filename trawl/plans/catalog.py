@@ -466,6 +466,14 @@ def q_stream_dedup(spark, sf):
     return ST.read_registry(spark, sink).select("normalized_url", "page_id")
 
 
+def q_stream_search(spark, sf):
+    """ST3: search what the incremental index has committed."""
+    sink, ck = _stream_dirs(spark, "stream-search")
+    ST.run_index_stream(spark, sf, sink, ck, max_files_per_trigger=1, glob="pages*.parquet")
+    post = ST.read_postings(spark, sink)
+    return search.weighted_search(post, ST.read_docs(spark, sink), None, QUERY_MAIN)
+
+
 def q_stream_counts(spark, sf):
     sink, ck = _stream_dirs(spark, "stream-counts")
     return ST.run_host_counts(spark, sf, ck, sink, glob="pages*.parquet").select("host", "pages")
@@ -499,4 +507,5 @@ QUERIES.update({
     "stream_index": q_stream_index,
     "stream_dedup": q_stream_dedup,
     "stream_counts": q_stream_counts,
+    "stream_search": q_stream_search,
 })

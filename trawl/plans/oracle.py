@@ -72,10 +72,10 @@ def _docs_ctes_for_links() -> list[tuple[str, str]]:
     return ctes
 
 
-def _weighted(query: str, top_k: int | None = None) -> str:
+def _weighted(query: str, top_k: int | None = None, first_wins: bool = False) -> str:
     toks = tokenize_py(query.strip())
     phrase = query.strip().lower().strip()
-    ctes = _docs_ctes() + _postings_ctes(toks)
+    ctes = (_docs_first_ctes() if first_wins else _docs_ctes()) + _postings_ctes(toks)
     ctes.append(("m", "SELECT page_id, sum(CASE field WHEN 'title' THEN 5 * frequency WHEN 'url' THEN 2 * frequency "
                       "ELSE 0 END) AS i, sum(CASE WHEN field = 'body' THEN ln(1 + frequency) ELSE 0 END) AS l "
                       "FROM post GROUP BY page_id"))
@@ -453,6 +453,7 @@ def build_more(q: dict[str, str]) -> None:
     sc = _docs_first_ctes()
     q["stream_index"] = P.with_ctes(sc + _postings_ctes(), "SELECT page_id, field, term, frequency, letter FROM post")
     q["stream_dedup"] = P.with_ctes(sc, "SELECT normalized_url, page_id FROM docs")
+    q["stream_search"] = _weighted(catalog.QUERY_MAIN, first_wins=True)
     q["stream_counts"] = P.with_ctes(
         _pages_norm_ctes(), f"SELECT CASE WHEN normalized_url IS NULL THEN NULL ELSE {host} END AS host, "
                             f"CAST(count(*) AS BIGINT) AS pages FROM pn_6 GROUP BY 1")

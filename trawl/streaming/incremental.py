@@ -63,6 +63,9 @@ def index_batch(spark: SparkSession, batch: DataFrame, sink: str, batch_id: int
      .withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id", "letter").parquet(f"{sink}/postings"))
+    (first.select("page_id", "normalized_url", "url", "title", "body_text", "content_length", "batch_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(f"{sink}/docs"))
     (first.select("normalized_url", "page_id", "batch_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(registry_path))
@@ -84,6 +87,11 @@ def read_postings(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(f"{sink}/postings")
 
 
+def read_docs(spark: SparkSession, sink: str) -> DataFrame:
+    """Documents indexed so far (first fetch of each URL)."""
+    return spark.read.parquet(f"{sink}/docs")
+
+
 def read_registry(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(f"{sink}/registry")
 
