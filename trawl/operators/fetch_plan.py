@@ -41,12 +41,17 @@ def global_rank(df: DataFrame, order: list[Column], out: str, partitions: int |
             .drop("_pid", "_local", "_off"))
 
 
+ROWS_PER_PARTITION = 200_000
+
+
 def fetch_plan(urls: DataFrame, order: list[str], host_col: str = "host",
                rps: int = GLOBAL_RPS, delay_ms: int = PER_HOST_DELAY_MS) -> DataFrame:
     """Adds global_rank, host_rank and start_ms to `urls` (one row per URL)."""
     keys = [F.col(c) for c in order]
-    g = global_rank(urls, keys, "global_rank")
-    h = global_rank(g, [F.col(host_col)] + keys, "_hg")
+    conf = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(conf, -(-urls.count() // ROWS_PER_PARTITION)))
+    g = global_rank(urls, keys, "global_rank", parts)
+    h = global_rank(g, [F.col(host_col)] + keys, "_hg", parts)
     first = h.groupBy(host_col).agg(F.min("_hg").alias("_h0"))
     first, _ = broadcast_if_small(first)
     out = h.join(first, host_col).withColumn("host_rank", F.col("_hg") - F.col("_h0")).drop("_hg", "_h0")

@@ -79,19 +79,24 @@ def status_row(jobs_with_status: DataFrame, discovered: DataFrame,
                capacity: int = DEFAULT_CAPACITY) -> DataFrame:
     """One row: URL state pivot with zero defaults, indexed pages, active
     jobs, queue depth, saturation and dropped URLs."""
-    s = discovered.agg(
+    # one aggregate over both inputs (no join): URL rows carry a state, job
+    # rows carry a status
+    d = discovered.select("state", "page_id", F.lit(None).cast("string").alias("status"))
+    j = jobs_with_status.select(F.lit(None).cast("string").alias("state"),
+                                F.lit(None).cast("long").alias("page_id"), "status")
+    u = d.unionByName(j)
+    s = u.agg(
         F.count_if(F.col("state") == "processed").alias("processed_count"),
         F.count_if(F.col("state") == "failed").alias("error_count"),
         F.count_if(F.col("state") == "skipped").alias("skipped_count"),
         F.count_if(F.col("state") == "queued").alias("queue_depth"),
-        F.count_distinct(F.when(_indexed(discovered), F.col("page_id"))).alias("indexed_count"))
-    a = jobs_with_status.agg(F.count_if(F.col("status").isin(*ACTIVE_STATES)).alias("active_jobs"))
-    # both sides are single-row global aggregates
-    return (s.join(a, how="inner", on=F.lit(True))
-            .select("processed_count", "error_count", "skipped_count", "indexed_count", "active_jobs",
+        F.count_distinct(F.when((F.col("state") == "processed") & F.col("page_id").isNotNull(),
+                                F.col("page_id"))).alias("indexed_count"),
+        F.count_if(F.col("status").isin(*ACTIVE_STATES)).alias("active_jobs"))
+    return s.select("processed_count", "error_count", "skipped_count", "indexed_count", "active_jobs",
                     "queue_depth", F.lit(capacity).cast("long").alias("max_queue_depth"),
                     (F.col("queue_depth") >= capacity).alias("queue_saturated"),
-                    F.col("skipped_count").alias("dropped_urls")))
+                    F.col("skipped_count").alias("dropped_urls"))
 
 
 def purge_job(job_id: int, jobs: DataFrame, discovered: DataFrame, page_discoveries: DataFrame,
