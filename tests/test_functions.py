@@ -110,3 +110,24 @@ def test_term_frequencies(spark):
     df = spark.createDataFrame([(1, "hello world hello")], "id long, t string")
     got = {r.term: r.frequency for r in term_frequencies(df, "id", "t").collect()}
     assert got == {"hello": 2, "world": 1}
+
+
+def test_fast_path_equals_full_parse(spark):
+    """The code-generated rewrite for simple URLs agrees with the full parse."""
+    bases = ["https://h.example.org/en/1?x=1", "http://a.test/", "http://a.test/p/q"]
+    hrefs = ["/The", "/the,", "/et.", "/a/b/", "/", "/x?k=v", "/x?k=", "/x#frag", "//b.test/y",
+             "HTTP://Example.com/A/", "https://h.test", "https://h.test/p?utm_source=feed#top",
+             "http://h.test/a/./b", "http://h.test/a/../b", "/a/%7Euser", "/a:b@c", "/x?b=2&a=1"]
+    rows = [(h, b) for h in hrefs for b in bases]
+    df = spark.createDataFrame(rows, "raw string, base string")
+    out = df.select(U.normalize_url(F.col("raw"), F.col("base")).alias("fast"),
+                    U._normalized(U.url_parts(F.col("raw"), F.col("base"))).alias("full"),
+                    U.url_token_text(F.col("raw")).alias("tt_fast"),
+                    U._with_parts(U.url_parts(F.col("raw")), lambda g: F.when(
+                        g["valid"], F.concat_ws(" ", g["host"], g["path"], g["query"]))).alias("tt_full")).collect()
+    assert [r for r in out if r.fast != r.full] == []
+    norm = df.select(U.normalize_url(F.col("raw"), F.col("base")).alias("u")).filter(F.col("u").isNotNull())
+    facts = norm.select(U.url_token_text(F.col("u")).alias("a"),
+                        U._with_parts(U.url_parts(F.col("u")), lambda g: F.when(
+                            g["valid"], F.concat_ws(" ", g["host"], g["path"], g["query"]))).alias("b")).collect()
+    assert [r for r in facts if r.a != r.b] == []

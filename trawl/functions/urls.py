@@ -279,32 +279,94 @@ def _normalized(parts: Column) -> Column:
     return F.element_at(F.transform(F.array(parts), body), 1)
 
 
+# Fast path: inputs whose canonical form is a plain rewrite of the text. A
+# path of characters that need no encoding, no dot segment, no backslash; a
+# lower-case host without port or user; no query or a single simple pair.
+_PATH_CHARS = r"[A-Za-z0-9\-._~!$&'()*+,;=:@%/]"
+_SIMPLE_QUERY = r"(\?[A-Za-z0-9*\-._]+=[A-Za-z0-9*\-._]*)?"
+SIMPLE_ABS_RE = rf"^(?i:https?)://[a-z0-9.-]+(/{_PATH_CHARS}*)?{_SIMPLE_QUERY}(#.*)?$"
+SIMPLE_ROOT_RE = rf"^/(?!/){_PATH_CHARS}*{_SIMPLE_QUERY}(#.*)?$"
+CANON_BASE_RE = r"^https?://[a-z0-9.-]+(/|$)"
+
+
+def _simple_path(path: Column) -> Column:
+    """Empty path -> '/', one trailing slash dropped (unless root)."""
+    return (F.when(path == "", F.lit("/"))
+            .when((F.length(path) > 1) & path.endswith("/"), F.regexp_replace(path, "/$", ""))
+            .otherwise(path))
+
+
+def _fast_abs(raw: Column) -> Column:
+    scheme = F.lower(F.regexp_extract(raw, r"^([A-Za-z]+)://", 1))
+    host = F.regexp_extract(raw, r"^[A-Za-z]+://([a-z0-9.-]+)", 1)
+    path = F.regexp_extract(raw, r"^[A-Za-z]+://[a-z0-9.-]+([^?#]*)", 1)
+    query = F.regexp_extract(raw, r"^[^?#]*(\?[^#]*)", 1)
+    return F.concat(scheme, F.lit("://"), host, _simple_path(path), query)
+
+
+def _fast_root(raw: Column, base: Column) -> Column:
+    origin = F.regexp_extract(base, r"^(https?://[a-z0-9.-]+)", 1)
+    path = F.regexp_extract(raw, r"^([^?#]*)", 1)
+    query = F.regexp_extract(raw, r"^[^?#]*(\?[^#]*)", 1)
+    return F.concat(origin, _simple_path(path), query)
+
+
 def normalize_url(raw, base=None) -> Column:
     """Canonical http(s) URL string of `raw` (resolved against `base`),
-    or null when rejected or unparsable."""
-    return _normalized(url_parts(raw, base))
+    or null when rejected or unparsable.
+
+    Simple inputs take a code-generated rewrite; every other input goes
+    through the full parse (`url_parts`)."""
+    r = _col(raw)
+    full = _normalized(url_parts(raw, base))
+    simple = r.rlike(SIMPLE_ABS_RE) & ~r.rlike(_DOT_SEGMENT_RE)
+    out = F.when(simple, _fast_abs(r))
+    if base is not None:
+        b = _col(base)
+        root = r.rlike(SIMPLE_ROOT_RE) & ~r.rlike(_DOT_SEGMENT_RE) & b.rlike(CANON_BASE_RE)
+        out = out.when(root, _fast_root(r, b))
+    return out.otherwise(full)
 
 
 def _with_parts(parts: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(parts), fn), 1)
 
 
+CANON_SIMPLE_RE = rf"^https?://[a-z0-9.-]+(/{_PATH_CHARS}*)?(\?[^#\s]*)?$"
+
+
+def _facts(url, fn) -> Column:
+    """Evaluate `fn(parts)` on the URL's parts: canonical simple URLs are
+    split by three regexes, everything else through the full parse."""
+    u = _col(url)
+    fast = F.struct(
+        F.lit(True).alias("valid"),
+        F.regexp_extract(u, r"^https?://([a-z0-9.-]+)", 1).alias("host"),
+        F.regexp_extract(u, r"^https?://[a-z0-9.-]+([^?#]*)", 1).alias("path0"),
+        F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1).alias("query"))
+    fast_parts = F.struct(fast["valid"].alias("valid"), fast["host"].alias("host"),
+                          F.when(fast["path0"] == "", F.lit("/")).otherwise(fast["path0"]).alias("path"),
+                          fast["query"].alias("query"))
+    simple = u.rlike(CANON_SIMPLE_RE) & ~u.rlike(_DOT_SEGMENT_RE)
+    return F.when(simple, fn(fast_parts)).otherwise(_with_parts(url_parts(url), fn))
+
+
 def skip_by_extension(url) -> Column:
     """True when the lower-cased path ends in a skipped extension; unparsable -> true."""
-    return _with_parts(url_parts(url), lambda g: F.when(
+    return _facts(url, lambda g: F.when(
         g["valid"], F.regexp_extract(F.lower(g["path"]), r"(\.[^.]*)$", 1).isin(*SKIP_EXTENSIONS))
         .otherwise(F.lit(True)))
 
 
 def extension(url) -> Column:
     """Lower-cased extension of the path ('' when none), null if unparsable."""
-    return _with_parts(url_parts(url), lambda g: F.when(
+    return _facts(url, lambda g: F.when(
         g["valid"], F.regexp_extract(F.lower(g["path"]), r"(\.[^.]*)$", 1)))
 
 
 def hostname(url) -> Column:
     """U4: lower-case host of an absolute URL, null if unparsable."""
-    return _with_parts(url_parts(url), lambda g: F.when(g["valid"], g["host"]))
+    return _facts(url, lambda g: F.when(g["valid"], g["host"]))
 
 
 def is_crawlable(url) -> Column:
@@ -318,13 +380,13 @@ def is_crawlable(url) -> Column:
 
 def url_token_text(url) -> Column:
     """T4 input: host + path + query of a URL joined by spaces; null if unparsable."""
-    return _with_parts(url_parts(url), lambda g: F.when(
+    return _facts(url, lambda g: F.when(
         g["valid"], F.concat_ws(" ", g["host"], g["path"], g["query"])))
 
 
 def url_tokens(url) -> Column:
     """T4: tokens of host + path + query of a URL; unparsable -> []."""
-    return _with_parts(url_parts(url), lambda g: F.when(
+    return _facts(url, lambda g: F.when(
         g["valid"], tokenize(F.concat_ws(" ", g["host"], g["path"], g["query"])))
         .otherwise(F.array().cast("array<string>")))
 
