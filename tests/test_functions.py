@@ -117,7 +117,8 @@ def test_fast_path_equals_full_parse(spark):
     bases = ["https://h.example.org/en/1?x=1", "http://a.test/", "http://a.test/p/q"]
     hrefs = ["/The", "/the,", "/et.", "/a/b/", "/", "/x?k=v", "/x?k=", "/x#frag", "//b.test/y",
              "HTTP://Example.com/A/", "https://h.test", "https://h.test/p?utm_source=feed#top",
-             "http://h.test/a/./b", "http://h.test/a/../b", "/a/%7Euser", "/a:b@c", "/x?b=2&a=1"]
+             "http://h.test/a/./b", "http://h.test/a/../b", "/a/%7Euser", "/a:b@c", "/x?b=2&a=1",
+             "/für", "/x\"y<z>", "/èê/ü?q=1", "http://h.test/ñ/", "/a\u00a0", "/a b"]
     rows = [(h, b) for h in hrefs for b in bases]
     df = spark.createDataFrame(rows, "raw string, base string")
     out = df.select(U.normalize_url(F.col("raw"), F.col("base")).alias("fast"),

@@ -282,7 +282,10 @@ def _normalized(parts: Column) -> Column:
 # Fast path: inputs whose canonical form is a plain rewrite of the text. A
 # path of characters that need no encoding, no dot segment, no backslash; a
 # lower-case host without port or user; no query or a single simple pair.
-_PATH_CHARS = r"[A-Za-z0-9\-._~!$&'()*+,;=:@%/]"
+_CANON_PATH_CHARS = r"[A-Za-z0-9\-._~!$&'()*+,;=:@%/]"
+# any path character but controls, whitespace (JavaScript's set), `\`, `?`, `#`
+_PATH_CHARS = (r"[^\x00-\x20\x7F\\?#\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+               r"\x{202F}\x{205F}\x{3000}\x{FEFF}]")
 _SIMPLE_QUERY = r"(\?[A-Za-z0-9*\-._]+=[A-Za-z0-9*\-._]*)?"
 SIMPLE_ABS_RE = rf"^(?i:https?)://[a-z0-9.-]+(/{_PATH_CHARS}*)?{_SIMPLE_QUERY}(#.*)?$"
 SIMPLE_ROOT_RE = rf"^/(?!/){_PATH_CHARS}*{_SIMPLE_QUERY}(#.*)?$"
@@ -290,10 +293,11 @@ CANON_BASE_RE = r"^https?://[a-z0-9.-]+(/|$)"
 
 
 def _simple_path(path: Column) -> Column:
-    """Empty path -> '/', one trailing slash dropped (unless root)."""
-    return (F.when(path == "", F.lit("/"))
-            .when((F.length(path) > 1) & path.endswith("/"), F.regexp_replace(path, "/$", ""))
-            .otherwise(path))
+    """Percent-encoded; empty path -> '/', one trailing slash dropped (unless root)."""
+    p = percent_encode_path(path)
+    return (F.when(p == "", F.lit("/"))
+            .when((F.length(p) > 1) & p.endswith("/"), F.regexp_replace(p, "/$", ""))
+            .otherwise(p))
 
 
 def _fast_abs(raw: Column) -> Column:
@@ -332,7 +336,7 @@ def _with_parts(parts: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(parts), fn), 1)
 
 
-CANON_SIMPLE_RE = rf"^https?://[a-z0-9.-]+(/{_PATH_CHARS}*)?(\?[^#\s]*)?$"
+CANON_SIMPLE_RE = rf"^https?://[a-z0-9.-]+(/{_CANON_PATH_CHARS}*)?(\?[^#\s]*)?$"
 
 
 def _facts(url, fn) -> Column:
