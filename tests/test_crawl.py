@@ -168,3 +168,14 @@ def test_reports_and_purge(spark):
     assert sorted(x.page_id for x in out["page_docs"].collect()) == [11, 12]
     assert [x.page_id for x in out["page_terms"].collect()] == [11]
     assert sorted(x.job_id for x in out["jobs"].collect()) == [2, 3]
+
+
+def test_response_acceptance(spark, closed_web):
+    """HTML/XHTML content types (any case), declared size within the
+    limit, non-empty body; the HTTP status is not checked."""
+    from trawl.sources.pages import accept_responses
+    kept = {r.page_id for r in accept_responses(closed_web).collect()}
+    assert 7 not in kept           # application/pdf
+    assert 8 not in kept           # declared 3,000,000 bytes
+    assert 10 not in kept          # empty body
+    assert {5, 9, 2} <= kept       # upper-case type, 404 status, type with charset
