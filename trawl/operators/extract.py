@@ -39,13 +39,14 @@ def dedup_by_normalized_url(ext: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first_id"),
                   F.min_by("url", "page_id").alias("first_url"), F.max("page_id").alias("last_id"))
              .filter(F.col("n") > 1))
+    ext = ext.withColumn("source_id", F.col("page_id"))
+    stats, n_dup_urls = broadcast_if_small(stats)
+    if n_dup_urls == 0:          # the common case: nothing to rewrite
+        return ext
     dup_ids = (narrow.join(stats, "normalized_url")
                .select("page_id", (F.col("page_id") == F.col("last_id")).alias("keep"),
                        "first_id", "first_url"))
-    dup_ids, n = broadcast_if_small(dup_ids)
-    ext = ext.withColumn("source_id", F.col("page_id"))
-    if n == 0:
-        return ext
+    dup_ids, _ = broadcast_if_small(dup_ids)
     return (ext.join(dup_ids, "page_id", "left")
             .filter(F.coalesce(F.col("keep"), F.lit(True)))
             .withColumn("page_id", F.coalesce("first_id", "page_id"))
