@@ -233,10 +233,14 @@ def components(links: DataFrame) -> DataFrame:
         was = now
 
 
-def mixed_buckets(bands: DataFrame, comps: DataFrame) -> DataFrame:
+def mixed_buckets(bands: DataFrame, comps: DataFrame | None) -> DataFrame:
     """(key, fp, comp) of the buckets of three or more members that hold several
     components. In a bucket of two the only pair has been compared."""
-    t = bands.select("key", "fp").join(comps, "fp", "left").select("key", "fp", F.coalesce("comp", "fp").alias("comp"))
+    t = bands.select("key", "fp")
+    if comps is not None:
+        t = t.join(comps, "fp", "left").select("key", "fp", F.coalesce("comp", "fp").alias("comp"))
+    else:
+        t = t.withColumn("comp", F.col("fp"))
     several = (t.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
                .where("n > 2 AND least != most").select("key"))
     return t.join(several, "key", "left_semi")
@@ -297,7 +301,7 @@ def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFram
     members = stored(every.join(shared, "key", "left_semi").select("key", "fp", F.col("fp").alias("comp")), "near-bands")
     links = texts = comps = None
     for turn in range(STAR_TURNS + 1):
-        if comps is not None:
+        if turn > 0:
             members = stored(mixed_buckets(members, comps), "near-mixed")
             if members.isEmpty():
                 break
@@ -312,6 +316,8 @@ def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFram
             more = stored(texts_of(docs, wanted), "near-texts")
             texts = more if texts is None else texts.union(more)
         new = stored(verify(found, texts, p), "near-links")
+        if new.isEmpty():
+            continue
         links = new if links is None else links.union(new)
         comps = components(links)
     return comps if comps is not None else classes.select("fp", F.col("fp").alias("comp")).limit(0)
