@@ -121,8 +121,9 @@ def repeated_lines(docs: DataFrame, bits: int = BITS, min_chars: int = MIN_CHARS
 
     cols = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     seen = stored(cols.mapInArrow(suspects, "doc_id long, digest binary"), "line-suspects")
-    confirmed = (seen.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
-                 .where(F.col("n") >= min_docs).select(F.col("digest").alias("d"), "last"))
+    # Stored, so that the join deals both sides anew and Spark can split a line that many documents hold.
+    confirmed = stored(seen.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
+                       .where(F.col("n") >= min_docs).select(F.col("digest").alias("d"), "last"), "line-confirmed")
     drops = (seen.join(confirmed, F.col("digest") == F.col("d"))
              .where(~F.col("doc_id").eqNullSafe(F.col("last"))))
     return drops.groupBy("doc_id").agg(F.collect_set("digest").alias("drops"))

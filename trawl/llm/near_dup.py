@@ -141,9 +141,11 @@ def texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     schema = [("fp", pa.binary()), ("text", pa.string())]
 
     def run(batches):
+        seen: set[bytes | None] = {None}   # copies go before the shuffle; 16 bytes for each row of the task
         for b in batches:
-            fps = pa.array([set_digest(shingles(t)) for t in as_bytes(b.column(0))], pa.binary())
-            yield batch_of(schema, fps, b.column(0))
+            fps = [set_digest(shingles(t)) for t in as_bytes(b.column(0))]
+            new = [i for i, f in enumerate(fps) if f not in seen and not seen.add(f)]
+            yield batch_of(schema, [fps[i] for i in new], b.column(0).take(pa.array(new, pa.int64())))
 
     named = docs.select(F.col("text").cast("string")).mapInArrow(run, "fp binary, text string")
     return named.join(classes, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text"))
@@ -251,7 +253,9 @@ def star_pairs(members: DataFrame, turn: int) -> DataFrame:
     are in different components. The centre is the member of the least hash in
     that turn, a grouped minimum; there is at most one pair for each row."""
     first = F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("o"), F.col("fp").alias("c"), F.col("comp").alias("cc")))
-    centre = members.groupBy("key").agg(first.alias("m")).select("key", F.col("m.c").alias("c"), F.col("m.cc").alias("cc"))
+    # Stored, so that the join deals both sides anew and Spark can split a large bucket.
+    centre = stored(members.groupBy("key").agg(first.alias("m"))
+                    .select("key", F.col("m.c").alias("c"), F.col("m.cc").alias("cc")), "near-centres")
     return (members.join(centre, "key").where("comp != cc")
             .select(F.least("fp", "c").alias("a"), F.greatest("fp", "c").alias("b")).distinct())
 
@@ -310,8 +314,7 @@ def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFram
         if found.isEmpty():
             continue
         wanted = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
-        if texts is not None:
-            wanted = stored(wanted.join(texts, "fp", "left_anti"), "near-wanted")
+        wanted = stored(wanted if texts is None else wanted.join(texts, "fp", "left_anti"), "near-wanted")
         if texts is None or not wanted.isEmpty():
             more = stored(texts_of(docs, wanted), "near-texts")
             texts = more if texts is None else texts.union(more)
