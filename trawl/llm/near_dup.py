@@ -7,9 +7,9 @@ probability that they reach the threshold is under `miss`; survivors are
 verified on the full sets. Links become components.
 
 Buckets never emit all their pairs. First each bucket pairs its members with one
-centre (another in each band), which joins nearly all copies; only buckets that
-still hold several components compare across these, in blocks inside tasks that
-emit survivors only.
+centre, which joins nearly all copies. Members of buckets that still hold several
+components then meet in blocks inside tasks, which verify what survives pruning,
+nearest pairs first, and emit only the links that join components.
 """
 from __future__ import annotations
 
@@ -26,8 +26,8 @@ from xxhash import xxh3_64_intdigest
 from trawl.llm.common import as_bytes, batch_of, stored
 
 SHINGLE = 5
-STAR_TURNS = 2      # centres that a bucket tries before its components are compared across
-BLOCK = 256         # members of a bucket compared at once inside a task
+BLOCK = 256         # members of a bucket compared at once inside a task; larger buckets try another centre first
+FILTER_BITS = 24    # of the filter that spares texts the shuffle; 2 MB, whatever the input
 
 
 @dataclass(frozen=True)
@@ -101,13 +101,13 @@ def enough(p: Params) -> list[tuple[int, int]]:
     return out
 
 
-def survivors(a: np.ndarray, b: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
-    """Which of the pairs of signature rows are not pruned."""
+def survivors(a: np.ndarray, b: np.ndarray, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of signature rows are not pruned, and their matches."""
     alive, matches, done = np.arange(len(a)), np.zeros(len(a), np.int64), 0
     for n, least in bounds:
         matches[alive] += (a[alive, done:n] == b[alive, done:n]).sum(axis=1)
         alive, done = alive[matches[alive] >= least], n
-    return alive
+    return alive, matches[alive]
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -136,15 +136,30 @@ def sign(docs: DataFrame, p: Params) -> DataFrame:
         run, "doc_id long, n_shingles long, fp binary, sig binary")
 
 
+def filter_of(classes: DataFrame) -> np.ndarray:
+    """A bit for each FILTER_BITS-bit prefix of the classes' fp: 2^FILTER_BITS bits
+    at most. A full filter lets more texts pass, never fewer."""
+    at = F.shiftright(F.conv(F.hex(F.substring("fp", 1, 4)), 16, 10).cast("long"), 32 - FILTER_BITS)
+    words = (classes.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("w"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 32).cast("int"))).alias("bits")).toPandas())
+    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    out[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
 def texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(fp, text): one whole text of each class in `classes` (fp)."""
-    schema = [("fp", pa.binary()), ("text", pa.string())]
+    schema, bits = [("fp", pa.binary()), ("text", pa.string())], filter_of(classes)
+
+    def passes(fp: bytes) -> bool:
+        at = int.from_bytes(fp[:4], "big") >> (32 - FILTER_BITS)
+        return bool(bits[at >> 5] >> (at & 31) & 1)
 
     def run(batches):
         seen: set[bytes | None] = {None}   # copies go before the shuffle; 16 bytes for each row of the task
         for b in batches:
             fps = [set_digest(shingles(t)) for t in as_bytes(b.column(0))]
-            new = [i for i, f in enumerate(fps) if f not in seen and not seen.add(f)]
+            new = [i for i, f in enumerate(fps) if f not in seen and not seen.add(f) and passes(f)]
             yield batch_of(schema, [fps[i] for i in new], b.column(0).take(pa.array(new, pa.int64())))
 
     named = docs.select(F.col("text").cast("string")).mapInArrow(run, "fp binary, text string")
@@ -179,7 +194,7 @@ def prune(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint32).reshape(b.num_rows, -1) for k in (2, 3))
-                keep = pa.array(survivors(x, y, bounds))
+                keep = pa.array(survivors(x, y, bounds)[0])
                 yield batch_of(_PAIR, b.column(0).take(keep), b.column(1).take(keep))
 
     return _sides(pairs, classes, "sig").mapInArrow(run, "a binary, b binary")
@@ -235,17 +250,19 @@ def components(links: DataFrame) -> DataFrame:
         was = now
 
 
-def mixed_buckets(bands: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """(key, fp, comp) of the buckets of three or more members that hold several
-    components. In a bucket of two the only pair has been compared."""
-    t = bands.select("key", "fp")
+def mixed_buckets(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(key, band, fp, comp, n, top, rest) of the buckets of three or more members
+    that hold several components: n members, `rest` of them outside the largest
+    component, top. In a bucket of two the only pair has been compared."""
+    t = members.select("key", "band", "fp")
     if comps is not None:
-        t = t.join(comps, "fp", "left").select("key", "fp", F.coalesce("comp", "fp").alias("comp"))
+        t = t.join(comps, "fp", "left").select("key", "band", "fp", F.coalesce("comp", "fp").alias("comp"))
     else:
         t = t.withColumn("comp", F.col("fp"))
-    several = (t.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-               .where("n > 2 AND least != most").select("key"))
-    return t.join(several, "key", "left_semi")
+    several = (t.groupBy("key", "comp").agg(F.count("*").alias("k"))
+               .groupBy("key").agg(F.sum("k").alias("n"), F.count("*").alias("parts"), F.max(F.struct("k", "comp")).alias("m"))
+               .where("n > 2 AND parts > 1").select("key", "n", F.col("m.comp").alias("top"), (F.col("n") - F.col("m.k")).alias("rest")))
+    return t.join(stored(several, "near-several"), "key")
 
 
 def star_pairs(members: DataFrame, turn: int) -> DataFrame:
@@ -260,41 +277,67 @@ def star_pairs(members: DataFrame, turn: int) -> DataFrame:
             .select(F.least("fp", "c").alias("a"), F.greatest("fp", "c").alias("b")).distinct())
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """Survivors among the pairs of one bucket but different components. Members
-    outside the bucket's largest component meet all members, block by block."""
+def cross_links(members: DataFrame, classes: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """Links between different components of one bucket, enough to join them: every
+    pair that survives pruning is verified unless links found before join its
+    components already. Members outside the bucket's largest component meet all
+    members, block by block; a pair is compared in the first band it shares."""
     bounds = enough(p)
-    size = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    sizes = (size.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
-             .select("key", "n", F.col("top.comp").alias("top"), (F.col("n") - F.col("top.n")).alias("rest")))
-    t = members.join(sizes, "key").join(classes.select("fp", "sig"), "fp")
+    t = (members.join(classes.select("fp", "sig"), "fp").join(texts, "fp")
+         .select("key", "band", "n", "rest", "top", F.struct("fp", "comp", "sig", "text", (F.col("comp") == F.col("top")).alias("in_top")).alias("m")))
 
-    def blocks(rows: DataFrame, n: Column, name: str) -> DataFrame:
-        """Blocks of about BLOCK members: fps, components and signatures side by side."""
-        no = F.pmod(F.xxhash64("fp"), F.ceil(n / BLOCK).cast("long"))
-        return rows.groupBy("key", no.alias("no")).agg(F.collect_list(F.struct("fp", "comp", "sig")).alias("m")).select(
-            "key", F.col("m.fp").alias(f"{name}_fp"), F.col("m.comp").alias(f"{name}_comp"), F.col("m.sig").alias(f"{name}_sig"))
-
-    every = blocks(t, F.col("n"), "x")
-    rest = blocks(t.where("comp != top"), F.col("rest"), "y")
+    def blocks(rows: DataFrame, n: str, name: str) -> DataFrame:
+        no = F.pmod(F.xxhash64("m.fp"), F.ceil(F.col(n) / BLOCK).cast("long"))
+        return rows.groupBy("key", "band", no.alias("no")).agg(F.collect_list("m").alias(name)).drop("no")
 
     def run(batches):
-        schema = [("a", pa.binary()), ("b", pa.binary())]
         for b in batches:
             for r in range(b.num_rows):
-                xf, xc, xs, yf, yc, ys = (b.column(k)[r].as_py() for k in range(1, 7))
-                numbers = {c: k for k, c in enumerate(dict.fromkeys(xc + yc))}
-                i, j = np.nonzero(np.array([numbers[c] for c in xc])[:, None] != np.array([numbers[c] for c in yc])[None, :])
-                if len(i):
-                    sx, sy = (np.frombuffer(b"".join(s), np.uint32).reshape(len(s), -1) for s in (xs, ys))
-                    live = survivors(sx[i], sy[j], bounds[:1])
-                    i, j = i[live], j[live]
-                    live = survivors(sx[i], sy[j], bounds)
-                    pairs = {(min(xf[u], yf[v]), max(xf[u], yf[v])) for u, v in zip(i[live], j[live])}
-                    yield batch_of(schema, [q[0] for q in pairs], [q[1] for q in pairs])
-
-    return every.join(rest, "key").select("key", "x_fp", "x_comp", "x_sig", "y_fp", "y_comp", "y_sig").mapInArrow(
-        run, "a binary, b binary").distinct()
+                band, x, y = (b.column(k)[r].as_py() for k in range(3))
+                yield batch_of(_PAIR, *zip(*found)) if (found := list(_block_links(band, x, y, bounds, p))) else batch_of(_PAIR, [], [])
+
+    every, rest = blocks(t, "n", "x"), blocks(t.where("NOT m.in_top"), "rest", "y")
+    pairs = every.join(rest.select(F.col("key").alias("k"), "y"), F.col("key") == F.col("k")).select("band", "x", "y")
+    return pairs.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _block_links(band: int, x: list[dict], y: list[dict], bounds: list[tuple[int, int]], p: Params):
+    """(fp, fp) of the links that join components of the members x and y."""
+    numbers: dict[bytes, int] = {}
+    cx, cy = (np.array([numbers.setdefault(m["comp"], len(numbers)) for m in z]) for z in (x, y))
+    order = {f: k for k, f in enumerate(sorted({m["fp"] for m in x + y}))}
+    ox, oy = (np.array([order[m["fp"]] for m in z]) for z in (x, y))
+    top = np.array([m["in_top"] for m in x])
+    sx, sy = (np.frombuffer(b"".join(m["sig"] for m in z), np.uint32).reshape(len(z), -1) for z in (x, y))
+    # Two members outside the largest component meet twice; once will do.
+    i, j = np.nonzero((cx[:, None] != cy[None, :]) & (top[:, None] | (ox[:, None] < oy[None, :])))
+    live, _ = survivors(sx[i], sy[j], bounds[:1])
+    i, j = i[live], j[live]
+    live, matches = survivors(sx[i], sy[j], bounds)
+    i, j = i[live], j[live]
+    if band and len(i):
+        before = (sx[i, :band * p.rows] == sy[j, :band * p.rows]).reshape(len(i), band, p.rows).all(axis=2).any(axis=1)
+        i, j, matches = i[~before], j[~before], matches[~before]
+    root = list(range(len(numbers)))
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    sets: dict[bytes, np.ndarray] = {}
+
+    def of(m: dict) -> np.ndarray:
+        if m["fp"] not in sets:
+            sets[m["fp"]] = shingles(m["text"].encode("utf-8", "replace"))
+        return sets[m["fp"]]
+
+    for k in np.argsort(-matches, kind="stable").tolist():
+        u, v = find(int(cx[i[k]])), find(int(cy[j[k]]))
+        if u != v and linked(of(x[i[k]]), of(y[j[k]]), p.percent):
+            root[u] = v
+            yield x[i[k]]["fp"], y[j[k]]["fp"]
 
 
 def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
@@ -302,27 +345,36 @@ def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFram
     every = band_keys(classes, p)
     # Most classes are alone in all their buckets and go here.
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(every.join(shared, "key", "left_semi").select("key", "fp", F.col("fp").alias("comp")), "near-bands")
+    members = stored(every.join(shared, "key", "left_semi"), "near-bands")
     links = texts = comps = None
-    for turn in range(STAR_TURNS + 1):
-        if turn > 0:
-            members = stored(mixed_buckets(members, comps), "near-mixed")
-            if members.isEmpty():
-                break
-        found = prune(star_pairs(members, turn), classes, p) if turn < STAR_TURNS else cross_pairs(members, classes, p)
-        found = stored(found, "near-survivors")
-        if found.isEmpty():
-            continue
-        wanted = found.select(F.col("a").alias("fp")).union(found.select("b")).distinct()
-        wanted = stored(wanted if texts is None else wanted.join(texts, "fp", "left_anti"), "near-wanted")
+
+    def with_texts(fps: DataFrame) -> DataFrame:
+        nonlocal texts
+        wanted = stored(fps.distinct() if texts is None else fps.distinct().join(texts, "fp", "left_anti"), "near-wanted")
         if texts is None or not wanted.isEmpty():
             more = stored(texts_of(docs, wanted), "near-texts")
             texts = more if texts is None else texts.union(more)
-        new = stored(verify(found, texts, p), "near-links")
-        if new.isEmpty():
-            continue
-        links = new if links is None else links.union(new)
-        comps = components(links)
+        return texts
+
+    def learn(found: DataFrame) -> None:
+        nonlocal links, comps
+        if not (found := stored(found, "near-links")).isEmpty():
+            links = found if links is None else links.union(found)
+            comps = components(links)
+
+    def stars(rows: DataFrame, turn: int) -> None:
+        found = stored(prune(star_pairs(rows, turn), classes, p), "near-survivors")
+        if not found.isEmpty():
+            learn(verify(found, with_texts(found.select(F.col("a").alias("fp")).union(found.select("b"))), p))
+
+    stars(members.withColumn("comp", F.col("fp")), 0)
+    mixed = stored(mixed_buckets(members, comps), "near-mixed")
+    large = mixed.where(F.col("rest") > BLOCK)
+    if not large.isEmpty():
+        stars(large, 1)
+        mixed = stored(mixed_buckets(members, comps), "near-mixed")
+    if not mixed.isEmpty():
+        learn(cross_links(mixed, classes, with_texts(mixed.select("fp")), p))
     return comps if comps is not None else classes.select("fp", F.col("fp").alias("comp")).limit(0)
 
 
