@@ -1,4 +1,63 @@
 """DuckDB SQL of the operators that SQL can express."""
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from trawl.llm import line_dedup, mixing
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+marked AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+         length(replace(replace(replace(text, '\', '\\'), '<turn', '<\turn'), '</turn', '<\/turn')) AS escaped FROM rows)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       CAST(sum(escaped + CASE WHEN before IS NULL OR before <> role THEN length('<turn >') + length(role) + length('</turn>') + 1
+                               ELSE length('<turn+>') END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+MIXING = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS size,
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS draw FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [{', '.join(map(str, mixing.WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight,
+             source_size * {mixing.MAX_REPEAT} AS cap FROM s),
+l AS (SELECT *, (sum(source_size) OVER () * CAST({mixing.SHARE} AS DOUBLE) - coalesce(sum(cap) OVER before, 0))
+                / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS own_level FROM w
+      WINDOW before AS (ORDER BY CAST(cap AS DOUBLE) / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), max(own_level) OVER () * weight) AS target FROM l),
+r AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS rate FROM t),
+c AS (
+  SELECT d.doc_id, d.size, r.source, r.source_size, r.target, k.seed,
+         CAST(floor(rate) AS BIGINT) + CASE WHEN (draw + seed * {(1 << 52) // mixing.SEEDS}) % {1 << 52} < (rate - floor(rate)) * CAST({1 << 52} AS DOUBLE)
+                                            THEN 1 ELSE 0 END AS copies
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source, (SELECT unnest(range({mixing.SEEDS})) AS seed) k),
+best AS (
+  SELECT source, arg_min(seed, (off, seed)) AS seed FROM (
+    SELECT source, seed, abs(sum(copies * size) - any_value(target)) AS off FROM c GROUP BY source, seed) GROUP BY source)
+SELECT c.doc_id, CAST(c.size AS BIGINT) AS size, c.source_size, c.target, CAST(c.copies * c.size AS BIGINT) AS taken
+FROM c JOIN best ON c.source IS NOT DISTINCT FROM best.source AND c.seed = best.seed
+"""
+
+LINES = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row_no, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, row_no, unnest(lines) AS line, generate_subscripts(lines, 1) AS no FROM d),
+k AS (SELECT *, translate(trim(line, {_SPACE}), '{_UPPER}', '{_LOWER}') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key
+      HAVING count(DISTINCT row_no) >= {line_dedup.MIN_DOCS}),
+m AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.last AS dropped FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CAST(dropped AS INT)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY row_no, doc_id
+"""
+
+SQL: dict[str, str] = {"op2_chat": CHAT, "op7_mixing": MIXING, "op9_line_dedup": LINES}
