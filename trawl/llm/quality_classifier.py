@@ -70,8 +70,16 @@ def _views(b: pa.RecordBatch, at: int) -> tuple[list, list]:
     return [text_view(t) for t in text], [meta_view(*m) for m in zip(source, lang, n_chars)]
 
 
-def co_train(x: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS):
-    """A model of each view after the rounds."""
+def _loss(p: np.ndarray, y: np.ndarray) -> float:
+    return float(-np.mean(np.log(np.where(y == 1, p, 1 - p)))) if len(y) else np.inf
+
+
+def co_train(x: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray],
+             aside: tuple[np.ndarray, np.ndarray], y_aside: np.ndarray, rounds: int = ROUNDS):
+    """A model of each view after the rounds. A view gives labels only while it
+    tells the rows kept aside better than the labels' share does."""
+    share = (y.sum() + 0.5) / (len(y) + 1.0)
+    plain = _loss(np.full(len(y_aside), share), y_aside)
     given = [np.full(len(pool[0]), np.nan), np.full(len(pool[0]), np.nan)]   # labels given to each view
 
     def fit(v: int) -> Logistic:
@@ -82,7 +90,7 @@ def co_train(x: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.nda
     models = [fit(0), fit(1)]
     for _ in range(rounds):
         for v in (0, 1):
-            if not len(pool[v]):
+            if not len(pool[v]) or _loss(models[v].predict(aside[v]), y_aside) >= plain:
                 continue
             p = models[v].predict(pool[v])
             sure = np.flatnonzero((np.maximum(p, 1 - p) >= SURE) & np.isnan(given[1 - v]))
@@ -130,7 +138,7 @@ def classify(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool:
     known = ~np.isnan(y)
     aside = known & (np.cumsum(known) % CALIBRATION == 0)
     train = known & ~aside
-    models = co_train((t[train], m[train]), y[train], (t[~known], m[~known]))
+    models = co_train((t[train], m[train]), y[train], (t[~known], m[~known]), (t[aside], m[aside]), y[aside])
     # Each view's log odds are scaled on the rows kept aside, then both are weighed together.
     final = Logistic(penalty=0.1).fit(combine(models, (t[aside], m[aside])), y[aside])
     calibrated = [Logistic(penalty=0.1).fit(mod.logit(v[aside])[:, None], y[aside]) for mod, v in zip(models, (t, m))]
