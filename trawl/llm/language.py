@@ -85,6 +85,7 @@ def text_posteriors(rows: DataFrame, langs: list[str], model: np.ndarray, html:
             for i, j in slices(texts, 1 << 20):
                 code, row = trigrams([_clean(t, html) for t in texts[i:j]])
                 sums = np.stack([np.bincount(row, table[code, k], j - i) for k in range(len(langs))], axis=1)
+                sums = sums.astype(float)   # without any trigram the counts are whole numbers
                 n = np.maximum(np.bincount(row, minlength=j - i), 1)
                 sums *= np.minimum(1.0, EFFECTIVE / n)[:, None]
                 sums -= sums.max(axis=1, keepdims=True)
