@@ -26,8 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from trawl.functions.text import tokenize_py  # noqa: E402
-from trawl.functions.urls import hostname  # noqa: E402
-from trawl.operators import export, fetch_plan, index, search  # noqa: E402
+from trawl.operators import export, index, search  # noqa: E402
 from trawl.plans import catalog, derived  # noqa: E402
 from trawl.session import build_session, checkpoint_dir  # noqa: E402
 from trawl.sources import index_store as store  # noqa: E402
@@ -93,17 +92,10 @@ def main() -> None:
         export.write_letter_index(export.export_rows(store.read_postings(spark, f"{base}/page_terms"), docs, disc),
                                   f"{base}/letters")
 
-    def q_fetch_plan():
-        u = (discovered.filter(F.col("state") == "processed")
-             .select("normalized_url", "depth", "job_id", "parent_page_id", "pos",
-                     hostname(F.col("normalized_url")).alias("host")))
-        _noop(fetch_plan.fetch_plan(u, ["depth", "job_id", "parent_page_id", "pos", "normalized_url"]))
-
     timed("stored_search_weighted", q_weighted)
     timed("stored_search_relevance", q_relevance)
     timed("stored_search_batch", q_batch)
     timed("stored_export_letters", q_export)
-    timed("stored_fetch_plan", q_fetch_plan)
     for name in END_TO_END:
         timed(name, lambda n=name: _noop(catalog.QUERIES[n](spark, sf_dir)))
 

@@ -73,7 +73,7 @@ def _numeric_pass(text: Column, entity_re: str, code_of) -> Column:
 
 def _decimal_code(x: Column) -> Column:
     digits = F.regexp_extract(x, r"^&#([0-9]+);$", 1)
-    return F.coalesce((digits.cast("decimal(38,0)") % F.lit(65536)).cast("int"), F.lit(0))
+    return F.coalesce((digits.try_cast("decimal(38,0)") % F.lit(65536)).cast("int"), F.lit(0))
 
 
 def _hex_code(x: Column) -> Column:

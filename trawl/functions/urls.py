@@ -86,7 +86,9 @@ class _Let:
 
 def _clean(raw: Column) -> Column:
     """Leading/trailing C0+space and JS whitespace removed; tab/LF/CR dropped."""
-    s = F.regexp_replace(raw, rf"^(?:{JS_WS}|[\x00-\x20])+|(?:{JS_WS}|[\x00-\x20])+$", "")
+    # One class and no group, so that long runs of spaces neither recurse nor backtrack.
+    ends = rf"[{JS_WS}\x00-\x20]"
+    s = F.regexp_replace(raw, rf"^{ends}+|(?<!{ends}){ends}+$", "")
     return F.regexp_replace(s, r"[\t\n\r]", "")
 
 
@@ -241,7 +243,7 @@ def url_parts(raw, base=None) -> Column:
         for sch, prt in DEFAULT_PORTS.items():
             default_port = F.when(g("scheme") == sch, F.lit(prt)).otherwise(default_port)
         pt, host = g("porttxt"), g("host")
-        port_num = F.when(pt != "", pt.cast("int"))
+        port_num = F.when(pt != "", pt.try_cast("int"))
         return {
             "port": F.when(port_num != default_port, port_num.cast("string"))
             .when(default_port.isNull() & port_num.isNotNull(), port_num.cast("string")),
@@ -249,7 +251,7 @@ def url_parts(raw, base=None) -> Column:
                 special & (g("scheme") != "file"),
                 g("auth").isNotNull()
                 & (host.rlike(r"^\[[0-9a-f:.]+\]$") | (~host.rlike(FORBIDDEN_HOST_RE) & (host != "")))
-                & ((pt == "") | (pt.rlike(r"^[0-9]{1,5}$") & (pt.cast("int") <= 65535)))
+                & ((pt == "") | (pt.rlike(r"^[0-9]{1,5}$") & (pt.try_cast("int") <= 65535)))
             ).otherwise(True), F.lit(False)),
             "path3": remove_dot_segments(g("path2"))}
 

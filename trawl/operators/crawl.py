@@ -70,8 +70,9 @@ def prepare_archive(docs: DataFrame, fetched: DataFrame | None = None) -> DataFr
 
 
 def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
-          capacity: int | None = DEFAULT_CAPACITY, stop_after: int | None = None) -> CrawlResult:
-    """Multi-origin, depth-bounded BFS with global dedup and a bounded frontier.
+          capacity: int | None = None, stop_after: int | None = None) -> CrawlResult:
+    """Multi-origin, depth-bounded BFS with global dedup; the frontier is
+    bounded only where a capacity is given.
 
     archive: (normalized_url, page_id, indexed) from `prepare_archive`.
     edges:   (src_url, pos, dst_url, stored_url) with normalized src/dst.

@@ -3,7 +3,7 @@
 * the archive: page documents, unique by normalized URL;
 * a link graph: the generated pages link only to URLs outside the table, so
   the traversal queries re-target every (page, href) edge to a page of the
-  table: target page_id = first 6 hex digits of md5(page_id || '|' || href)
+  table: target page_id = first 15 hex digits of md5(page_id || '|' || href)
   modulo the page count (page ids are 0..n-1);
 * crawl jobs: one job per host, whose origin is the host's lowest page_id
   page; job_id = that page_id; all with max_depth = CRAWL_DEPTH.
@@ -22,7 +22,7 @@ from trawl.session import materialize
 from trawl.sources.pages import read_table
 
 CRAWL_DEPTH = 3
-EDGE_HEX_DIGITS = 6
+EDGE_HEX_DIGITS = 15   # 60 bits
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,11 +84,11 @@ class Corpus:
             F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("string").alias("content_type"))
         return C.prepare_archive(self.docs(), fetched.filter(F.col("normalized_url").isNotNull()))
 
-    def crawl(self, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY, stop_after=None) -> C.CrawlResult:
+    def crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None, stop_after=None) -> C.CrawlResult:
         return C.crawl(self.archive(), self.closure_edges(), self.jobs(depth), capacity=capacity,
                        stop_after=stop_after)
 
-    def real_crawl(self, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY) -> C.CrawlResult:
+    def real_crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None) -> C.CrawlResult:
         return C.crawl(C.prepare_archive(self.docs()), self.real_edges(), self.jobs(depth), capacity=capacity)
 
 
@@ -104,13 +104,13 @@ def jobs(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> DataFrame:
                         F.lit(depth).cast("int").alias("max_depth"))
 
 
-def run_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH, capacity=C.DEFAULT_CAPACITY,
+def run_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH, capacity: int | None = None,
               stop_after=None) -> C.CrawlResult:
     return Corpus(spark, sf).crawl(depth, capacity, stop_after)
 
 
 def run_real_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH,
-                   capacity=C.DEFAULT_CAPACITY) -> C.CrawlResult:
+                   capacity: int | None = None) -> C.CrawlResult:
     return Corpus(spark, sf).real_crawl(depth, capacity)
 
 
