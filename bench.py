@@ -84,8 +84,7 @@ def main() -> None:
         _noop(search.relevance_search(post, docs, disc, catalog.QUERY_RELEVANCE, limit=None))
 
     def q_batch():
-        words = F.slice(F.split(F.trim(F.col("title")), " "), 1, catalog.QUERY_BATCH_WORDS)
-        qs = docs.select(F.col("page_id").alias("query_id"), F.array_join(words, " ").alias("query"))
+        qs = docs.select(F.col("page_id").alias("query_id"), F.col("title").alias("query"))
         _noop(search.batch_search(store.read_postings(spark, f"{base}/page_terms"), docs, disc, qs))
 
     def q_export():

@@ -26,8 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.urls import normalize_url
+from trawl.operators.robots import allowed
 from trawl.session import cut_lineage
 
+BLOCKED = "blocked by robots rules"
+
 # Fixed value of the reference (default frontier capacity).
 DEFAULT_CAPACITY = 10_000
 
@@ -70,10 +73,15 @@ def prepare_archive(docs: DataFrame, fetched: DataFrame | None = None) -> DataFr
 
 
 def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
-          capacity: int | None = None, stop_after: int | None = None) -> CrawlResult:
+          capacity: int | None = None, stop_after: int | None = None,
+          rules: DataFrame | None = None) -> CrawlResult:
     """Multi-origin, depth-bounded BFS with global dedup; the frontier is
     bounded only where a capacity is given.
 
+    rules:   robots rules (host, path, allow, rank) from `robots.parse_rules`;
+    a URL that they block is processed without being fetched: it is not
+    indexed and its links are not followed.
+
     archive: (normalized_url, page_id, indexed) from `prepare_archive`.
     edges:   (src_url, pos, dst_url, stored_url) with normalized src/dst.
     jobs:    (job_id, origin_url, max_depth).
@@ -102,7 +110,9 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
                      F.col("w.origin_url").alias("url"), F.lit(0).alias("depth"),
                      F.lit(None).cast("string").alias("discovered_from_url"),
                      F.lit(None).cast("long").alias("parent_page_id"), F.lit(None).cast("long").alias("pos")))
-    level = _admit(first, [], capacity, arch, parts)
+    if rules is not None:
+        rules = cut_lineage(rules)
+    level = _admit(first, [], capacity, arch, parts, rules)
     done: list[DataFrame] = []
     metrics = []
     depth = 0
@@ -129,7 +139,7 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
                                  (F.col("depth") + 1).alias("depth")).alias("c")))
         best = (cand.groupBy("normalized_url").agg(F.min("c").alias("c"))
                 .select("normalized_url", "c.*"))
-        level = _admit(best, done, capacity, arch, parts)
+        level = _admit(best, done, capacity, arch, parts, rules)
         depth += 1
 
     discovered = done[0]
@@ -145,13 +155,17 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
     return CrawlResult(discovered, page_disc, metrics, status)
 
 
-def _admit(cands: DataFrame, seen: list[DataFrame], capacity, arch: DataFrame, parts: int):
+def _admit(cands: DataFrame, seen: list[DataFrame], capacity, arch: DataFrame, parts: int,
+           rules: DataFrame | None = None):
     """C2 + C3 + C11 for one level: drop URLs seen at any earlier level, look
     the rest up in the archive (fetch outcome), write the level once, and cap
     it to the frontier capacity (the rest is `skipped`)."""
     new = cands
     for lvl in seen:
         new = new.join(lvl.select("normalized_url"), "normalized_url", "left_anti")
+    if rules is not None:
+        # the robots test reads the level twice
+        new = allowed(cut_lineage(new), rules)
     level = cut_lineage(_fetch(new, arch).repartition(parts, "normalized_url"))
     n_new = level.count()
     if capacity is None or n_new <= capacity:
@@ -167,11 +181,16 @@ def _admit(cands: DataFrame, seen: list[DataFrame], capacity, arch: DataFrame, p
 
 
 def _fetch(frontier: DataFrame, arch: DataFrame) -> DataFrame:
-    """C11: outcome of fetching each frontier URL from the archive."""
+    """C11: outcome of fetching each frontier URL from the archive. A URL that
+    is not `allowed` (where the column is there) is processed unfetched."""
     f = frontier.join(arch, "normalized_url", "left")
-    return (f.withColumn("state", F.when(F.col("indexed").isNull(), "failed").otherwise("processed"))
-            .withColumn("error_message", F.when(F.col("indexed").isNull(), F.lit("not in archive")))
-            .withColumn("indexed", F.coalesce(F.col("indexed"), F.lit(False))))
+    ok = F.col("allowed") if "allowed" in f.columns else F.lit(True)
+    missing = F.col("indexed").isNull()
+    return (f.withColumns({
+        "state": F.when(ok & missing, "failed").otherwise("processed"),
+        "error_message": F.when(~ok, F.lit(BLOCKED)).when(missing, F.lit("not in archive")),
+        "page_id": F.when(ok, F.col("page_id")),
+        "indexed": ok & F.coalesce(F.col("indexed"), F.lit(False))}).drop("allowed"))
 
 
 # ---------------------------------------------------------------- frontier ops
@@ -205,14 +224,19 @@ def frontier_stats(frontier: DataFrame, capacity: int = DEFAULT_CAPACITY) -> Dat
 
 def lineage_paths(discovered: DataFrame, max_depth: int) -> DataFrame:
     """Origin-to-page path of every processed URL, by iterative self-join
-    on discovered_from_url (one join per level, at most max_depth)."""
+    on discovered_from_url (one join per level, at most max_depth).
+
+    A finished path has no next URL; its join key is its own URL behind a
+    control character, which no URL holds, so finished rows match nothing and
+    are spread over the tasks instead of sharing a null key."""
     base = discovered.select("normalized_url", "job_id", "depth", "discovered_from_url")
     cur = base.select("normalized_url", "job_id", "depth",
                       F.col("discovered_from_url").alias("at"), F.col("normalized_url").alias("path"))
-    parents = base.select(F.col("normalized_url").alias("at"),
+    parents = base.select(F.col("normalized_url").alias("key"),
                           F.col("discovered_from_url").alias("next_at"))
     for _ in range(max_depth):
-        cur = (cur.join(parents, "at", "left")
+        key = F.coalesce("at", F.concat(F.lit("\x01"), "normalized_url"))
+        cur = (cur.withColumn("key", key).join(parents, "key", "left")
                .select("normalized_url", "job_id", "depth", F.col("next_at").alias("at"),
                        F.when(F.col("at").isNotNull(), F.concat_ws(" > ", F.col("at"), F.col("path")))
                        .otherwise(F.col("path")).alias("path")))

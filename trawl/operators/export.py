@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 from trawl import schemas
 from trawl.operators.index import letter_of
 
-# Salt buckets per letter: `repartition('letter')` alone gives at most 37
-# tasks, and one letter can hold a third of all postings.
-EXPORT_SALT = 16
-
 
 def export_rows(postings: DataFrame, docs: DataFrame, discoveries: DataFrame) -> DataFrame:
     """Postings ⋈ pages ⋈ discoveries (inner). `field` is not part of a
@@ -26,9 +22,10 @@ def export_rows(postings: DataFrame, docs: DataFrame, discoveries: DataFrame) ->
 def write_letter_index(rows: DataFrame, path: str) -> None:
     """Tab-separated lines `term url origin_url depth frequency`, one
     folder per letter, each file sorted by term then frequency descending.
-    The whole folder is replaced."""
-    salted = rows.repartition(F.col("letter"), (F.abs(F.xxhash64("term")) % EXPORT_SALT))
-    (salted.sortWithinPartitions("letter", "term", F.desc("frequency"))
+    Rows are dealt by ranges, so a frequent letter or term spans many tasks and
+    a task writes few files. The whole folder is replaced."""
+    dealt = rows.repartitionByRange("letter", "term", F.desc("frequency"), "url", "origin_url")
+    (dealt.sortWithinPartitions("letter", "term", F.desc("frequency"))
      .select("term", "url", "origin_url", "depth", "frequency", "letter")
      .write.mode("overwrite").partitionBy("letter").option("sep", "\t").option("header", "false")
      .csv(path))

@@ -237,9 +237,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------- search over a crawl
-QUERY_BATCH_WORDS = 2       # batch queries: first words of each page title
-
-
 def _crawled(spark, sf):
     c = derived.Corpus(spark, sf)
     return c.docs(), c.crawl()
@@ -252,10 +249,8 @@ def q_search_triples(spark, sf):
 
 
 def batch_queries(spark, sf):
-    """One query per page: the first words of its title (grows with the table)."""
-    p = _pages(spark, sf).select("page_id", extract_title("html").alias("title"))
-    words = F.slice(F.split(F.trim(F.col("title")), " "), 1, QUERY_BATCH_WORDS)
-    return p.select(F.col("page_id").alias("query_id"), F.array_join(words, " ").alias("query"))
+    """One query per page: its whole title (grows with the table)."""
+    return _pages(spark, sf).select(F.col("page_id").alias("query_id"), extract_title("html").alias("query"))
 
 
 def q_search_batch(spark, sf):
@@ -291,6 +286,13 @@ def q_search_page2(spark, sf):
     return _relevance(spark, sf, sort_by="relevance", page=2, limit=search.DEFAULT_LIMIT).drop("terms")
 
 
+def q_search_totals(spark, sf):
+    """Q13: total and number of pages of the relevance search."""
+    d, r = _crawled(spark, sf)
+    post = index.postings_for_terms(d, search.tokenize_py(QUERY_RELEVANCE))
+    return search.relevance_totals(search.relevance_groups(post, d, r.page_discoveries, QUERY_RELEVANCE))
+
+
 # ------------------------------------------------------------ index upkeep
 def q_index_replace(spark, sf):
     """Index built from the first fetch of every URL, then the postings of
@@ -399,6 +401,44 @@ def q_purge_job_terms(spark, sf):
     return _purged(spark, sf)["page_terms"].select("page_id", "field", "term", "frequency")
 
 
+def q_purge_job_jobs(spark, sf):
+    return _purged(spark, sf)["jobs"].select("job_id", "origin_url")
+
+
+def q_purge_job_urls(spark, sf):
+    return _purged(spark, sf)["discovered"].select("normalized_url", "job_id",
+                                                   F.col("depth").cast("long").alias("depth"), "state")
+
+
+def q_purge_job_discoveries(spark, sf):
+    return _purged(spark, sf)["page_discoveries"].select("page_id", "job_id", "origin_url",
+                                                         F.col("depth").cast("long").alias("depth"))
+
+
+# ------------------------------------------------------- reads by key (S3)
+def q_page_by_url(spark, sf):
+    """The page of one URL: the smallest of the table's."""
+    d = _docs_once(spark, sf)
+    url = d.agg(F.min("normalized_url")).first()[0]
+    return d.filter(F.col("normalized_url") == F.lit(url)).select("page_id", "normalized_url", "url", "title",
+                                                                  "content_length")
+
+
+def q_job_by_id(spark, sf):
+    """One job: the last of the table's."""
+    j = derived.jobs(spark, sf)
+    job = j.agg(F.max("job_id")).first()[0]
+    return j.filter(F.col("job_id") == F.lit(job)).select("job_id", "origin_url")
+
+
+def q_crawl_robots(spark, sf):
+    """The crawl under the hosts' robots rules: processed, blocked or failed."""
+    rules = RB.parse_rules(derived.robots(spark, sf))
+    r = derived.Corpus(spark, sf).crawl(rules=rules)
+    return r.discovered.select("normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "state",
+                               "page_id", F.col("error_message").eqNullSafe(C.BLOCKED).alias("blocked"))
+
+
 # ------------------------------------------------------------------ export
 from trawl.operators import export as X  # noqa: E402
 from trawl.session import checkpoint_dir  # noqa: E402
@@ -495,6 +535,13 @@ QUERIES.update({
     "status_row": q_status_row,
     "purge_job_pages": q_purge_job_pages,
     "purge_job_terms": q_purge_job_terms,
+    "purge_job_jobs": q_purge_job_jobs,
+    "purge_job_urls": q_purge_job_urls,
+    "purge_job_discoveries": q_purge_job_discoveries,
+    "page_by_url": q_page_by_url,
+    "job_by_id": q_job_by_id,
+    "crawl_robots": q_crawl_robots,
+    "search_totals": q_search_totals,
     "export_letters": q_export_letters,
     "export_lookup": q_export_lookup,
     "robots_rules": q_robots_rules,

@@ -84,9 +84,10 @@ class Corpus:
             F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("string").alias("content_type"))
         return C.prepare_archive(self.docs(), fetched.filter(F.col("normalized_url").isNotNull()))
 
-    def crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None, stop_after=None) -> C.CrawlResult:
+    def crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None, stop_after=None,
+              rules: DataFrame | None = None) -> C.CrawlResult:
         return C.crawl(self.archive(), self.closure_edges(), self.jobs(depth), capacity=capacity,
-                       stop_after=stop_after)
+                       stop_after=stop_after, rules=rules)
 
     def real_crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None) -> C.CrawlResult:
         return C.crawl(C.prepare_archive(self.docs()), self.real_edges(), self.jobs(depth), capacity=capacity)

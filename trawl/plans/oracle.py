@@ -165,18 +165,19 @@ def _crawl_base_ctes() -> list[tuple[str, str]]:
     return ctes
 
 
-def _crawl_ctes(k: int) -> list[tuple[str, str]]:
+def _crawl_ctes(k: int, edges: str = "edges", more: list[tuple[str, str]] | None = None) -> list[tuple[str, str]]:
     """Owner (min depth, then min job) and parent (min parent page_id, pos)
-    of every URL reachable within k levels: the result of the BFS."""
-    ctes = _crawl_base_ctes()
+    of every URL reachable within k levels: the result of the BFS over
+    `edges`, which `more` may define."""
+    ctes = _crawl_base_ctes() + (more or [])
     ctes.append(("walk", f"SELECT job_id, normalized_url AS node, 0 AS depth FROM seeds "
                          f"UNION ALL SELECT w.job_id, e.dst_url, w.depth + 1 FROM walk w "
-                         f"JOIN edges e ON e.src_url = w.node WHERE w.depth < {k}"))
+                         f"JOIN {edges} e ON e.src_url = w.node WHERE w.depth < {k}"))
     ctes.append(("dist", "SELECT node, job_id, min(depth) AS d FROM walk GROUP BY node, job_id"))
     ctes.append(("own", "SELECT node, min(job_id) AS job_id, d FROM (SELECT *, min(d) OVER (PARTITION BY node) AS md "
                         "FROM dist) WHERE d = md GROUP BY node, d"))
     ctes.append(("par", "SELECT o.node, min({'pid': e.src_page_id, 'pos': e.pos, 'src': e.src_url, "
-                        "'stored': e.stored_url}) AS w FROM own o JOIN edges e ON e.dst_url = o.node "
+                        f"'stored': e.stored_url}}) AS w FROM own o JOIN {edges} e ON e.dst_url = o.node "
                         "JOIN own s ON s.node = e.src_url AND s.job_id = o.job_id AND s.d = o.d - 1 "
                         "WHERE o.d > 0 GROUP BY o.node"))
     ctes.append(("disc", "SELECT o.node AS normalized_url, CASE WHEN o.d = 0 THEN j.origin_url ELSE p.w.stored END AS url, "
@@ -281,11 +282,9 @@ def build_more(q: dict[str, str]) -> None:
            "coalesce(x.depth, 0) AS depth, s.score, s.title FROM s LEFT JOIN pdisc x USING (page_id) "
            "WHERE s.score > 0")
 
-    # Q15: batch of queries = first two words of each page title
-    n = catalog.QUERY_BATCH_WORDS
+    # Q15: batch of queries = the page titles
     c = _search_crawl_ctes()
-    c.append(("qs0", f"SELECT CAST(page_id AS BIGINT) AS query_id, array_to_string(list_slice(string_split(trim("
-                     f"{P.title('html')}), ' '), 1, {n}), ' ') AS query FROM pages"))
+    c.append(("qs0", f"SELECT CAST(page_id AS BIGINT) AS query_id, {P.title('html')} AS query FROM pages"))
     c.append(("qs", "SELECT query_id, trim(query) AS query, trim(lower(query)) AS phrase FROM qs0 "
                     "WHERE query IS NOT NULL AND trim(query) <> ''"))
     c.append(("qt", f"SELECT DISTINCT query_id, unnest({P.tokens('query')}) AS term FROM qs"))
@@ -315,6 +314,10 @@ def build_more(q: dict[str, str]) -> None:
     q["search_page2"] = P.with_ctes(
         rc, "SELECT * FROM rel ORDER BY relevance_score DESC, url, origin_url, depth LIMIT 20 OFFSET 20")
 
+    q["search_totals"] = P.with_ctes(
+        rc, "SELECT CAST(count(*) AS BIGINT) AS total, CAST(1 AS BIGINT) AS page, CAST(20 AS BIGINT) AS page_size, "
+            "CAST((count(*) + 19) // 20 AS BIGINT) AS total_pages FROM rel")
+
     # I2 (result equals the index of the current documents), I4
     q["index_replace"] = q["inverted_index"]
     q["discovery_dedup"] = P.with_ctes(
@@ -401,8 +404,20 @@ def build_more(q: dict[str, str]) -> None:
     q["purge_job_terms"] = P.with_ctes(pc, "SELECT page_id, field, term, frequency FROM post "
                                            "WHERE page_id NOT IN (SELECT page_id FROM excl)")
 
+    others = "WHERE job_id <> (SELECT min(job_id) FROM jobs)"
+    q["purge_job_jobs"] = P.with_ctes(_crawl_base_ctes(), f"SELECT job_id, origin_url FROM jobs {others}")
+    kc = _crawl_ctes(derived.CRAWL_DEPTH)
+    q["purge_job_urls"] = P.with_ctes(kc, f"SELECT normalized_url, job_id, depth, state FROM disc {others}")
+    q["purge_job_discoveries"] = P.with_ctes(kc, f"SELECT page_id, job_id, origin_url, depth FROM pdisc {others}")
+
+    # S3 by key
+    q["page_by_url"] = P.with_ctes(_docs_ctes(), "SELECT page_id, normalized_url, url, title, content_length FROM docs "
+                                                 "WHERE normalized_url = (SELECT min(normalized_url) FROM docs)")
+    q["job_by_id"] = P.with_ctes(_crawl_base_ctes(), "SELECT job_id, origin_url FROM jobs "
+                                                     "WHERE job_id = (SELECT max(job_id) FROM jobs)")
+
     # E1-E3, S5
-    ec = _search_crawl_ctes() + [
+    ec =_search_crawl_ctes() + [
         ("ex_rows", "SELECT p.term, d.url, x.origin_url, x.depth, p.frequency, p.letter FROM post p "
                     "JOIN docs d USING (page_id) JOIN pdisc x USING (page_id)")]
     q["export_letters"] = P.with_ctes(ec, "SELECT * FROM ex_rows")
@@ -439,8 +454,20 @@ def build_more(q: dict[str, str]) -> None:
         f"SELECT d.page_id, d.normalized_url, coalesce((SELECT arg_min(r.allow, r.rank) FROM rules r "
         f"WHERE r.host = {f['host']} AND starts_with({f['path']}, r.path)), true) AS allowed FROM docs d")
 
+    # C9 in the crawl: a blocked URL is admitted, but neither indexed nor expanded
+    n = P.url_facts("n.normalized_url")
+    blocked = rb + [("blk", "SELECT DISTINCT n.normalized_url AS node FROM npages n WHERE n.normalized_url IS NOT NULL "
+                            "AND NOT coalesce((SELECT arg_min(r.allow, r.rank) FROM rules r "
+                            f"WHERE r.host = {n['host']} AND starts_with({n['path']}, r.path)), true)"),
+                    ("open_edges", "SELECT * FROM edges WHERE src_url NOT IN (SELECT node FROM blk)")]
+    q["crawl_robots"] = P.with_ctes(
+        _crawl_ctes(derived.CRAWL_DEPTH, "open_edges", blocked),
+        "SELECT d.normalized_url, d.job_id, d.depth, CASE WHEN b.node IS NULL THEN d.state ELSE 'processed' END AS state, "
+        "CASE WHEN b.node IS NULL THEN d.page_id END AS page_id, b.node IS NOT NULL AS blocked "
+        "FROM disc d LEFT JOIN blk b ON b.node = d.normalized_url")
+
     # C10
-    fh = P.url_facts("normalized_url")["host"]
+    fh =P.url_facts("normalized_url")["host"]
     order = "depth, job_id, parent_page_id NULLS FIRST, pos NULLS FIRST, normalized_url"
     q["fetch_plan"] = P.with_ctes(
         _crawl_ctes(derived.CRAWL_DEPTH) + [

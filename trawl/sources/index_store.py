@@ -10,14 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Salt buckets per letter so one letter (a third of all postings, say) is
-# written by many tasks.
-WRITE_SALT = 16
-
 
 def write_postings(postings: DataFrame, path: str) -> None:
-    (postings.repartition(F.col("letter"), F.abs(F.xxhash64("term")) % WRITE_SALT)
-     .sortWithinPartitions("term", "page_id")
+    """Dealt by ranges, so a letter or term with a third of all postings is
+    written by many tasks, and each task writes few letters."""
+    (postings.repartitionByRange("letter", "term", "page_id")
+     .sortWithinPartitions("letter", "term", "page_id")
      .write.mode("overwrite").partitionBy("letter").parquet(path))
 
 
