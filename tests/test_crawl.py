@@ -97,15 +97,17 @@ def test_crawl_under_robots_rules(spark, closed_web):
     jobs = [(1, "http://a.test/", 3)]
     archive, links, j = _inputs(spark, closed_web, jobs)
     free = {x.normalized_url: x for x in C.crawl(archive, links, j).discovered.collect()}
-    text = spark.createDataFrame([("a.test", "User-agent: *\nDisallow: /p\nDisallow: /missing")], "host string, text string")
-    r = C.crawl(archive, links, j, rules=robots.parse_rules(text))
-    got = {x.normalized_url: x for x in r.discovered.collect()}
-    for url in ("http://a.test/p", "http://a.test/missing"):
+    # /missing is linked from /p, so each is blocked in a crawl of its own
+    for path in ("p", "missing"):
+        url = f"http://a.test/{path}"
+        text = spark.createDataFrame([("a.test", f"User-agent: *\nDisallow: /{path}")], "host string, text string")
+        r = C.crawl(archive, links, j, rules=robots.parse_rules(text))
+        got = {x.normalized_url: x for x in r.discovered.collect()}
         assert (got[url].state, got[url].page_id, got[url].error_message) == ("processed", None, C.BLOCKED)
+        # nothing is discovered from a blocked page, and it is not indexed
+        assert not [x for x in got.values() if x.discovered_from_url == url]
+        assert free[url].page_id is None or free[url].page_id not in {x.page_id for x in r.page_discoveries.collect()}
     assert free["http://a.test/missing"].state == "failed"
-    # nothing is discovered from a blocked page, and it is not indexed
-    assert not [x for x in got.values() if x.discovered_from_url == "http://a.test/p"]
-    assert free["http://a.test/p"].page_id not in {x.page_id for x in r.page_discoveries.collect()}
     everything = spark.createDataFrame([("a.test", "User-agent: *\nDisallow: /")], "host string, text string")
     assert C.crawl(archive, links, j, rules=robots.parse_rules(everything)).discovered.count() == 1
 

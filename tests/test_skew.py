@@ -1,6 +1,7 @@
 """Hot keys and measured sizes: what must not end in one task or a broadcast."""
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from trawl.operators import _util, crawl, export, search
@@ -15,7 +16,17 @@ def test_broadcast_follows_measured_bytes(spark):
     assert _util.measured(spark.range(0)) == (0, 0)
 
 
-def test_one_term_with_half_the_postings_spans_files(spark, tmp_path):
+@pytest.fixture
+def uncoalesced(spark):
+    """Rows this few would be put into one task again."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, was)
+
+
+def test_one_term_with_half_the_postings_spans_files(spark, tmp_path, uncoalesced):
     post = spark.range(20_000).select(
         F.col("id").alias("page_id"), F.lit("body").alias("field"), F.lit(1).cast("long").alias("frequency"),
         F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("term"),
