@@ -153,6 +153,22 @@ def test_near_copies_in_large_buckets(spark, monkeypatch):
     assert got == brute_components(rows, 85)
 
 
+def test_components_of_chains_in_two_steps(spark):
+    """Long chains and a wide star, the second half of the links added to what the first gave."""
+    rng = np.random.default_rng(9)
+    name = [b"%04d" % k for k in rng.permutation(300)]
+    pairs = [(name[k], name[k + 1]) for k in range(0, 199) if k % 50 != 49] + [(name[200], name[k]) for k in range(201, 280)]
+    pairs += [(name[49], name[50]), (name[10], name[260])]
+    order = rng.permutation(len(pairs))
+    halves = [spark.createDataFrame([pairs[k] for k in part], "a binary, b binary") for part in np.array_split(order, 2)]
+    got = near_dup.components(halves[1], near_dup.components(halves[0]))
+    root = {x: x for pair in pairs for x in pair}
+    for _ in root:
+        for x, y in pairs:
+            root[x] = root[y] = min(root[x], root[y])
+    assert rows_of(got.distinct(), "fp", "comp") == sorted(root.items(), key=repr) and got.count() == len(root)
+
+
 def test_one_of_each_group_stays(odd_docs):
     kept = near_dup.drop_near_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns

@@ -221,20 +221,29 @@ def verify(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return _sides(pairs, texts, "text").mapInArrow(run, "a binary, b binary")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(fp, comp): the smallest fp reachable over links (a, b), for classes with a link.
 
-    Alternates hooking larger neighbours to the smallest one in reach and
-    pointing it there too, until nothing changes; each round is two grouped
-    minima over narrow rows, combined on the map side, and one stored table."""
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1000003)).first())
-
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-edges")
-    was = state(edges)
-    while True:
+    `known` is the result for earlier links, which it stands for: each of its
+    classes is an edge to its component. Alternates hooking larger neighbours to
+    the smallest one in reach and pointing it there too, until every component is
+    a star around its smallest class; each round is two grouped minima over narrow
+    rows, combined on the map side, and one stored table."""
+    def both_ways(edges: DataFrame) -> DataFrame:
+        return edges.union(edges.select("v", "u"))
+
+    def stars(edges: DataFrame) -> bool:
+        """Does every class with a smaller neighbour have that neighbour alone?"""
+        return (both_ways(edges).groupBy("u").agg(F.count_if(F.col("v") < F.col("u")).alias("smaller"), F.count("*").alias("n"))
+                .where("smaller > 0 AND n > 1").isEmpty())
+
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    if known is not None:
+        edges = edges.union(known.where("fp != comp").select("fp", "comp"))
+    edges = stored(edges.distinct(), "near-edges")
+    while not stars(edges):
         # Large star: larger neighbours of u go to the least of u and its neighbours.
-        sides = edges.union(edges.select("v", "u"))
+        sides = both_ways(edges)
         least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (sides.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
@@ -243,11 +252,8 @@ def components(links: DataFrame) -> DataFrame:
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct())
         edges = stored(small, "near-edges")
-        now = state(edges)
-        if now == was:
-            return edges.select(F.col("u").alias("fp"), F.col("v").alias("comp")).union(
-                edges.select(F.col("v").alias("fp"), F.col("v").alias("comp")).distinct())
-        was = now
+    return edges.select(F.col("u").alias("fp"), F.col("v").alias("comp")).union(
+        edges.select(F.col("v").alias("fp"), F.col("v").alias("comp")).distinct())
 
 
 def mixed_buckets(members: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -346,7 +352,7 @@ def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFram
     # Most classes are alone in all their buckets and go here.
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(every.join(shared, "key", "left_semi"), "near-bands")
-    links = texts = comps = None
+    texts = comps = None
 
     def with_texts(fps: DataFrame) -> DataFrame:
         nonlocal texts
@@ -357,10 +363,9 @@ def class_components(docs: DataFrame, classes: DataFrame, p: Params) -> DataFram
         return texts
 
     def learn(found: DataFrame) -> None:
-        nonlocal links, comps
+        nonlocal comps
         if not (found := stored(found, "near-links")).isEmpty():
-            links = found if links is None else links.union(found)
-            comps = components(links)
+            comps = components(found, comps)
 
     def stars(rows: DataFrame, turn: int) -> None:
         found = stored(prune(star_pairs(rows, turn), classes, p), "near-survivors")
