@@ -272,6 +272,29 @@ def test_decontamination(spark):
         rows_of(decontamination.contaminated(df, items), "doc_id", "item_id", "score")
 
 
+def test_edited_copies_against_the_alignment_of_all_with_all():
+    rng = np.random.default_rng(8)
+    items = [[f"i{k}w{j % 30 if k % 3 else j}" for j in range(n)] for k, n in enumerate((8, 9, 15, 23, 38, 59, 59))]
+    seeds = decontamination.Seeds([(k, " ".join(w).encode()) for k, w in enumerate(items)])
+    changed = [(0, (3,)), (2, (3, 7, 11)), (4, (5, 11, 17, 23, 29, 35)), (4, range(4, 38, 5)), (5, range(4, 59, 5))]
+    texts = [["x" if j in at else w for j, w in enumerate(items[k])] for k, at in changed]
+    texts.append([x for j, w in enumerate(items[4]) for x in ([w, "x"] if j % 2 else [w])])   # no three words in a row
+    for k in range(400):
+        text = []
+        for w in items[k % len(items)]:
+            u = rng.random() / (0.1 + 0.5 * (k % 40) / 40)
+            text += [w] if u > 1 else [["x"], ["x", w], [w, "x", "x"], []][rng.integers(0, 4)]
+        texts.append(["f"] * rng.integers(0, 40) + text + ["f"] * rng.integers(0, 40))
+    n_found = 0
+    for text in texts:
+        numbers = seeds.numbers(" ".join(text).encode())
+        whole = {k: decontamination.align(w, numbers)[0] / (2 * len(w)) for k, w in seeds.items}
+        want = {k: s for k, s in whole.items() if s >= decontamination.MIN_SCORE}
+        assert {k: s for k, s, _ in seeds.scores(" ".join(text).encode())} == want
+        n_found += sum(s < 0.9 for s in want.values())
+    assert n_found > 150 and all(seeds.scores(" ".join(t).encode()) for t in texts[:6])
+
+
 def test_alignment_against_plain_dynamic_programming():
     rng = np.random.default_rng(1)
     for _ in range(30):

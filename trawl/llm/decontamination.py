@@ -1,9 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: word pair seeds and Smith-Waterman alignment.
 
-First pass: in how many documents each word n-gram of the test items occurs,
-over all documents. Each item's rarer n-grams become its seeds. Second pass:
-where a seed occurs, the stretch of the document around it is aligned with the
-item by words; the score is the share of a perfect copy's.
+Every pair of adjacent words of an item is a seed. Where a document holds as many
+of them close together as any passage of MIN_SCORE must, the stretch around them
+is aligned with the item by words; the score is the share of a perfect copy's.
+
+How many: a passage of score s that matches m of n words in r runs has r - 1
+breaks of one point at least, so s <= MATCH * m - (r - 1), and m - r pairs are
+intact, s - n - 1 or more. It spans 3 * n - s words of the document at most. So no
+passage of MIN_SCORE is lost, whatever its edits; the tests hold it against the
+alignment of every item with every document.
 
 Test items are a stated query set. They are handled in blocks of at most
 BLOCK_BYTES (measured), so what is sent to the executors at once is bounded, and
@@ -12,7 +17,7 @@ documents are never shuffled.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import as_bytes, batch_of
 
-GRAM = 3
+GRAM = 2
 MIN_SCORE = 0.6          # of a perfect copy of the item
 MIN_WORDS = 8            # shorter items are matched as a whole only
 BLOCK_BYTES = 8 << 20
@@ -60,6 +65,18 @@ class Seeds:
                       for i, t in items]
         self.base = len(self.vocabulary) + 1
         self.grams = [self._grams(w) if len(w) >= MIN_WORDS else np.zeros(0, np.int64) for _, w in self.items]
+        # Of each item: the least score, the least pairs of such a passage, the most words it spans.
+        size = np.array([len(w) for _, w in self.items], np.int64)
+        self.least = np.ceil(MIN_SCORE * MATCH * size - 1e-9).astype(np.int64)
+        self.pairs = np.maximum(1, self.least - size - 1)
+        self.span = 3 * size - self.least
+        # The seeds in order, and the items that hold seed s: owner[first[s]:first[s + 1]].
+        held = [np.unique(g) for g in self.grams]
+        grams, owner = np.concatenate([np.zeros(0, np.int64), *held]), np.repeat(np.arange(len(held)), [len(g) for g in held])
+        order = np.argsort(grams, kind="stable")
+        self.owner = owner[order]
+        self.seed_grams, first = np.unique(grams[order], return_index=True)
+        self.first = np.append(first, len(grams))
         # Items too short for seeds are looked up whole, by their first word.
         self.short: dict[int, list[int]] = defaultdict(list)
         for k, (_, w) in enumerate(self.items):
@@ -91,36 +108,37 @@ class Seeds:
         get = self.vocabulary.get
         return np.array([get(w, -1) for w in words_of(text)], np.int64)
 
-    def known(self) -> np.ndarray:
-        return np.unique(np.concatenate([np.zeros(0, np.int64), *self.grams]))
-
-    def choose(self, counts: dict[int, int]) -> None:
-        """Keeps the rarer half of each item's n-grams as seeds, those next to the
-        middle too; a passage that the corpus repeats keeps half of its own all the same."""
-        self.seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, grams in enumerate(self.grams):
-            order = sorted(range(len(grams)), key=lambda j: (counts.get(int(grams[j]), 0), j))
-            limit = counts.get(int(grams[order[(len(order) - 1) // 2]]), 0) if order else 0
-            for j in order:
-                if counts.get(int(grams[j]), 0) <= limit:
-                    self.seeds[int(grams[j])].append((k, j))
-        self.seed_grams = np.array(sorted(self.seeds), np.int64)
-
     def hits(self, numbers: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """item -> stretches (start, end) of the document around its seeds, merged where they touch."""
+        """item -> stretches (start, end) of the document that can hold a passage, merged where they touch."""
         out: dict[int, list[tuple[int, int]]] = defaultdict(list)
         grams = self._grams(numbers)
-        for at in self._among(grams, self.seed_grams).tolist():
-            for k, j in self.seeds[int(grams[at])]:
-                size = len(self.items[k][1])
-                lo, hi = max(0, at - j - size // 2), min(len(numbers), at - j + size + size // 2)
-                spans = out[k]
-                if spans and lo <= spans[-1][1]:
-                    spans[-1] = (min(spans[-1][0], lo), max(spans[-1][1], hi))
-                else:
-                    spans.append((lo, hi))
+        at = self._among(grams, self.seed_grams)
+        if not len(at):
+            return out
+        seed = np.searchsorted(self.seed_grams, grams[at])
+        n = self.first[seed + 1] - self.first[seed]
+        item = self.owner[np.arange(n.sum()) + np.repeat(self.first[seed] - np.cumsum(n) + n, n)]
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], np.repeat(at, n)[order]
+        # The first pair of a passage is followed by the others within its span.
+        last = np.arange(len(item)) + self.pairs[item] - 1
+        there = np.minimum(last, len(item) - 1)
+        starts = np.flatnonzero((last < len(item)) & (item[there] == item) & (place[there] - place <= self.span[item]))
+        for k, p in zip(item[starts].tolist(), place[starts].tolist()):
+            lo, hi = max(0, p - int(self.span[k])), min(len(numbers), p + int(self.span[k]))
+            spans = out[k]
+            if spans and lo <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], hi)
+            else:
+                spans.append((lo, hi))
         return out
 
+    def _enough(self, k: int, stretch: np.ndarray) -> bool:
+        """Whether some span of the stretch holds as many of the item's words as a passage matches."""
+        held = np.cumsum(np.append(0, np.isin(stretch, self.items[k][1])))
+        wide = min(int(self.span[k]), len(stretch))
+        return MATCH * int((held[wide:] - held[:len(held) - wide]).max()) >= self.least[k]
+
     def scores(self, text: bytes | None) -> list[tuple[int, float, int]]:
         """(item_id, score, last word of the passage) of the items found in the text."""
         numbers = self.numbers(text)
@@ -128,7 +146,8 @@ class Seeds:
         for k, spans in self.hits(numbers).items():
             item_id, words = self.items[k]
             full = MATCH * len(words)
-            score, end = max((s, lo + e) for lo, hi in spans for s, e in [align(words, numbers[lo:hi])])
+            score, end = max(((s, lo + e) for lo, hi in spans if self._enough(k, numbers[lo:hi])
+                              for s, e in [align(words, numbers[lo:hi])]), default=(0, 0))
             if score >= MIN_SCORE * full:
                 found.append((item_id, score / full, end))
         if self.short:
@@ -153,20 +172,6 @@ def blocks_of(items: DataFrame, limit: int = BLOCK_BYTES):
             yield block
 
 
-def gram_counts(docs: DataFrame, seeds: Seeds) -> dict[int, int]:
-    """n-gram -> documents it occurs in; one entry at most for each n-gram of the block."""
-    def run(batches):
-        known, total = seeds.known(), Counter()
-        for b in batches:
-            for t in as_bytes(b.column(0)):
-                grams = seeds._grams(seeds.numbers(t))
-                total.update(set(grams[seeds._among(grams, known)].tolist()))
-        yield batch_of([("gram", pa.int64()), ("n", pa.int64())], list(total), list(total.values()))
-
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
-    return {r[0]: r[1] for r in counts.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-
-
 def contaminated(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each document row and test item found in it: doc_id, item_id,
     score (of a perfect copy's, MIN_SCORE to 1), end_word (where the passage ends).
@@ -181,7 +186,6 @@ def contaminated(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYT
     schema = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())]
     for block in blocks_of(items, block_bytes):
         seeds = Seeds(block)
-        seeds.choose(gram_counts(docs, seeds))
 
         def run(batches, seeds=seeds):
             for b in batches:
@@ -201,7 +205,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, block_bytes: int = BLOC
     names, out = docs.columns, docs
     for block in blocks_of(items, block_bytes):
         seeds = Seeds(block)
-        seeds.choose(gram_counts(docs, seeds))
 
         def run(batches, seeds=seeds):
             for b in batches:
