@@ -252,6 +252,19 @@ def test_novelty_knows_the_dictionary():
     assert n("see ", "deployment_handler_factory", " here") < 0.4 < secrets.MIN_NOVELTY <= n("see ", "q8Zr4Lw0Vx7Kp2Nt9Bs5", " here")
 
 
+def test_a_repeated_secret_is_as_new_as_a_single_one():
+    key, b64 = "Zx81qP0vT7mK2nR9wL4dYs6B", "q8Zr4Lw0/Vx7Kp2Nt9B+s5Uh"
+    novelty = secrets.Novelty(b"")
+    starts = lambda text: [s for s, *_ in secrets.novel_spans(text, [], novelty)]
+    for k in (key, b64):
+        line = f"auth header {k} end\n"
+        for between in ("", "and " * 20, "x " * 235, "x " * 245, "x " * 250, "x " * 255):   # the window's end cuts the other one
+            assert starts(line + between + line) == [12, 12 + len(line + between)]
+        assert starts(line * 30) == [12 + n * len(line) for n in range(30)]
+    assert starts(f"the auth is={key} then bearer {key} and") == [9, 49]
+    assert secrets.surroundings(f"a{key}b {key} c{key}d", 27, 51) == ("ab ", " cd")
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(3)
     item = [f"q{i}" for i in range(40)]

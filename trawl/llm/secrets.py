@@ -28,7 +28,9 @@ BASE = [
 ]
 ORDER = ["assign", "access", "hex", "novel"]
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16              # characters of a candidate
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}")
+_PART = re.compile("[=/+]+")
 SENSITIVE = re.compile(r"pass|pwd|secret|token|key|auth|cred|bearer|private|signature|AKIA", re.IGNORECASE)
 CONTEXT = 48            # characters before a candidate that are searched for a sensitive word
 AROUND = 512            # characters on either side that it is compressed with
@@ -80,6 +82,23 @@ class Novelty:
         return (len(self.compress(rest[0] + own + rest[1])) - len(self.compress(b"".join(rest)))) / len(own)
 
 
+def surroundings(text: str, i: int, j: int) -> tuple[str, str]:
+    """AROUND characters on either side of a candidate, less what repeats it or a long
+    part of it, also where the end of the window cuts that: a secret written twice is
+    as new as one written once."""
+    token = text[i:j]
+    parts = {p for p in (token, *token.split("="), *_PART.split(token)) if len(p) >= LEAST}
+    again = re.compile("|".join(map(re.escape, sorted(parts, key=lambda p: (-len(p), p)))))
+    sides = []
+    for lo, hi in ((max(0, i - AROUND), i), (j, min(len(text), j + AROUND))):
+        kept, at = [], lo
+        for m in again.finditer(text, lo if lo == j else max(0, lo - (j - i)), hi if hi == i else hi + (j - i)):
+            kept.append(text[at:min(m.start(), hi)])
+            at = max(at, m.end())
+        sides.append("".join([*kept, text[at:hi]]))
+    return sides[0], sides[1]
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), kind) for kind, pattern, group, least in BASE
             for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
@@ -95,7 +114,8 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], novelty) -> list[tu
         i, j = m.span()
         if any(i < e and s < j for s, e, _ in base) or not SENSITIVE.search(text, max(0, i - CONTEXT), i):
             continue
-        if novelty(text[max(0, i - AROUND):i], token, text[j:j + AROUND]) >= MIN_NOVELTY:
+        before, after = surroundings(text, i, j)
+        if novelty(before, token, after) >= MIN_NOVELTY:
             out.append((i, j, "novel"))
     return out
 
