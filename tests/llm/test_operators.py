@@ -265,6 +265,19 @@ def test_a_repeated_secret_is_as_new_as_a_single_one():
     assert secrets.surroundings(f"a{key}b {key} c{key}d", 27, 51) == ("ab ", " cd")
 
 
+def test_copied_secrets_stay_out_of_the_dictionary(spark):
+    keys = ["Zx81qP0vT7mK2nR9wL4dYs6B", "k9ab12cd34ef-ab12cd34ef56-q8zr4lw0vx7k"]
+    copied = [f"auth header {k} end of config_manager" for k in keys for _ in range(60)]
+    rows = [*copied, *(f"auth header {keys[0]} near copy no {n} of it" for n in range(60)), f"auth header {keys[0]} end\n" * 60,
+            "twice handler_factory", "other handler_factory", "twice handler_factory", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    terms = secrets.identifier_dictionary(df).split()
+    assert terms[-1] == b"header" and {b"config_manager", b"handler_factory"} <= set(terms)
+    assert not any(c.isdigit() for c in b" ".join(terms).decode())
+    assert terms.index(b"config_manager") > terms.index(b"handler_factory")          # both in two distinct texts, by name
+    assert [r["n_novel"] for r in secrets.find_secrets(df).orderBy("doc_id").collect()] == [1] * 180 + [60] + [0] * 4
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(3)
     item = [f"q{i}" for i in range(40)]

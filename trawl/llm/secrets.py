@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.common import as_bytes, batch_of
+from trawl.operators._util import broadcast_if_small
 
 # Fixed patterns: kind, pattern, the group that must be long enough, its least length.
 BASE = [
@@ -36,28 +37,58 @@ CONTEXT = 48            # characters before a candidate that are searched for a
 AROUND = 512            # characters on either side that it is compressed with
 MIN_NOVELTY = 0.75      # added compressed bytes per byte
 IDENTIFIER = re.compile(rb"[A-Za-z_][A-Za-z0-9_]{5,}")
+_RUN = re.compile(CANDIDATE.pattern.encode())
+_LETTER, _DIGIT = re.compile(rb"[A-Za-z]"), re.compile(rb"[0-9]")
+_PLAIN = re.compile(rb"_*(?:[A-Z]?[a-z]+|[A-Z]+)(?:_+(?:[A-Z]?[a-z]+|[A-Z]+))*_*")
 DICTIONARY_BYTES = 32 << 10
 DICTIONARY_TERMS = DICTIONARY_BYTES // 7
+SHARES = 1 << 32        # parts of a text that its copies divide among them
 _FLUSH = 100_000
 
 
+def looks_secret(run: bytes) -> bool:
+    """Whether a run has what a novel candidate needs: letters and digits."""
+    return bool(_LETTER.search(run) and _DIGIT.search(run))
+
+
+def identifiers(text: bytes) -> set[bytes]:
+    """The identifiers of a text. Of a run that looks like a candidate only plain words
+    count, so that no copied secret, nor a part of it, gets into the dictionary."""
+    out, at = set(), 0
+    for m in _RUN.finditer(text):
+        if looks_secret(m.group()):
+            out.update(IDENTIFIER.findall(text, at, m.start()))
+            out.update(w for w in IDENTIFIER.findall(m.group()) if _PLAIN.fullmatch(w))
+            at = m.end()
+    out.update(IDENTIFIER.findall(text, at))
+    return out
+
+
 def identifier_dictionary(docs: DataFrame) -> bytes:
-    """The most frequent identifiers of all documents, the most frequent last, in
-    DICTIONARY_BYTES at most. Counted in tasks first, then by Spark."""
+    """The identifiers that occur in the most distinct texts, the most frequent last,
+    in DICTIONARY_BYTES at most. Counted in tasks first, then by Spark.
+
+    Each of n equal texts counts as 1/n, in whole parts of SHARES: the sum over all
+    rows is less than half a text away from the number of distinct ones."""
     schema = [("term", pa.binary()), ("n", pa.int64())]
 
     def run(batches):
         counts: Counter = Counter()
         for b in batches:
-            for t in as_bytes(b.column(0)):
-                counts.update(IDENTIFIER.findall(t or b""))
+            for t, n in zip(as_bytes(b.column(0)), b.column(1).to_pylist()):
+                share = SHARES // n
+                for w in identifiers(t or b""):
+                    counts[w] += share
                 if len(counts) > _FLUSH:
                     yield batch_of(schema, list(counts), list(counts.values()))
                     counts.clear()
         yield batch_of(schema, list(counts), list(counts.values()))
 
-    terms = docs.select(F.col("text").cast("string")).mapInArrow(run, "term binary, n long")
-    top = (terms.groupBy("term").agg(F.sum("n").alias("n")).where("n > 1")
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    copies, _ = broadcast_if_small(texts.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    terms = (texts.join(copies, "h", "left").select("text", F.coalesce("n", F.lit(1).cast("long")).alias("n"))
+             .mapInArrow(run, "term binary, n long"))
+    top = (terms.groupBy("term").agg(F.round(F.sum("n") / SHARES).cast("long").alias("n")).where("n > 1")
            .orderBy(F.desc("n"), "term").limit(DICTIONARY_TERMS).collect())
     out: list[bytes] = []
     room = DICTIONARY_BYTES
