@@ -355,6 +355,57 @@ def test_automaton_against_plain_distances():
         assert a.find(w) == ((min(near)[2], min(near)[0]) if near else None), w
 
 
+def edits_and_swaps(a, b):
+    d = np.zeros((len(a) + 1, len(b) + 1), int)
+    d[:, 0], d[0] = range(len(a) + 1), range(len(b) + 1)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 < j and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[-1, -1]
+
+
+def test_wide_automaton_against_plain_distances():
+    terms = {"stupid": 2.0, "stupidest": 1.5, "stupidities": 2.5, "idiot": 3.0, "scum": 1.0, "cad": 1.0}
+    rng, a = np.random.default_rng(4), toxicity.Automaton(terms, wide=True)
+    for _ in range(3000):
+        w = list(rng.choice(list(terms)))
+        for _ in range(rng.integers(0, 4)):
+            k = rng.integers(0, len(w) + 1)
+            if rng.random() < 0.4:
+                w[k:k + 2] = w[k:k + 2][::-1]
+            else:
+                w[k:k + rng.integers(0, 2)] = list(rng.choice(list("stupidoc"), rng.integers(0, 2)))
+        w = "".join(w)
+        near = [(d, -terms[t], t) for t in terms if (d := edits_and_swaps(w, t)) <= (len(t) >= 4) + (len(t) >= 9)]
+        assert a.find(w) == ((min(near)[2], min(near)[0]) if near else None), w
+
+
+def test_short_swapped_and_masked_spellings_are_hits():
+    s = toxicity.Scanner({"idiot": 3.0, "scum": 2.0, "stupid": 2.0, "shithead": 2.0, "worthless": 2.0})
+    for w in ("idot", "idoit", "id!ot", "st*pid", "$tupid", "idio*", "stu.pid", "shihtead!"):
+        x = s.features(f"go {w} go")
+        assert x[2] > 0 == x[0] == x[4], w
+    for w in ("skum", "scm", "sc*m", "wrothlesss"):
+        x = s.features(f"go {w} go")
+        assert x[4] > 0 == x[0] == x[2] == x[6], w
+    assert not any(s.features("go kind words cut")[:7])
+
+
+def test_misspelled_toxic_texts_are_scored_as_toxic(spark):
+    rng = np.random.default_rng(6)
+    plain = lambda: " ".join(f"w{k}" for k in rng.integers(0, 60, 30))
+    terms = ["idiot", "moron", "scum", "loser"]
+    rows = [(k, f"{plain()} you {terms[k % 4]} {plain()}" if k % 3 == 0 else plain(), int(k % 3 == 0)) for k in range(600)]
+    bad = ["idot", "mron", "lser", "idoit", "skum", "id!ot"]
+    new = [(1000 + k, f"{plain()} you {w} {plain()}", None) for k, w in enumerate(bad * 4)]
+    new += [(2000 + k, plain(), None) for k in range(40)]
+    df = spark.createDataFrame(rows + new, "doc_id long, text string, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(df.drop("toxic"), df.select("doc_id", "toxic")).collect()}
+    assert sum(got[1000 + k] for k in range(24)) >= 20 and sum(got[2000 + k] for k in range(40)) <= 2
+
+
 def test_quotation_is_told_from_abuse():
     s = toxicity.Scanner({"idiot": 3.0})
     plain, quoted, typo = (s.features(t) for t in ("you idiot go", 'he said "idiot" then', "you idoit1 idiat go"))
