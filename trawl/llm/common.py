@@ -4,8 +4,10 @@ from __future__ import annotations
 from zlib import crc32
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from trawl.session import materialize
 
@@ -42,6 +44,27 @@ def slices(texts: list[bytes | None], limit: int = 4 << 20):
         yield start, len(texts)
 
 
+def byte_slices(column: pa.Array, limit: int = 1 << 20):
+    """(start, end, texts) of runs of rows of a string column that hold about `limit`
+    bytes, one row at least. Only one run at a time is turned into Python bytes."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        size += n + 64
+        if size >= limit or i == len(sizes) - 1:
+            yield start, i + 1, as_bytes(column.slice(start, i + 1 - start))
+            start, size = i + 1, 0
+
+
+def with_text(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
+    """`columns` of the documents and the place of the text among them: its own, where
+    it is a string column of `columns`, so that no text is sent to Python twice."""
+    cols = [F.col(f"`{c}`") for c in columns]
+    if "text" in columns and isinstance(docs.schema["text"].dataType, StringType):
+        return docs.select(*cols), columns.index("text")
+    return docs.select(*cols, F.col("text").cast("string").alias("__text")), len(columns)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows that training must not see."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % HOLD_OUT == 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import as_bytes, batch_of
+from trawl.llm.common import as_bytes, batch_of, byte_slices, with_text
 
 GRAM = 2
 MIN_SCORE = 0.6          # of a perfect copy of the item
@@ -206,11 +206,14 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, block_bytes: int = BLOC
     for block in blocks_of(items, block_bytes):
         seeds = Seeds(block)
 
-        def run(batches, seeds=seeds):
+        sent, at = with_text(out, names)
+
+        def run(batches, seeds=seeds, at=at):
             for b in batches:
-                clean = [not seeds.scores(t) for t in as_bytes(b.column(len(names)))]
-                yield b.filter(pa.array(clean, pa.bool_())).select(names)
+                for i, j, texts in byte_slices(b.column(at)):
+                    clean = [not seeds.scores(t) for t in texts]
+                    yield b.slice(i, j - i).filter(pa.array(clean, pa.bool_())).select(names)
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        out = out.select(*[F.col(f"`{c}`") for c in names], F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
+        out = sent.mapInArrow(run, schema)
     return out

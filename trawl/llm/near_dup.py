@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from trawl.llm.common import as_bytes, batch_of, stored
+from trawl.llm.common import as_bytes, batch_of, byte_slices, stored, with_text
 
 SHINGLE = 5
 BLOCK = 256         # members of a bucket compared at once inside a task; larger buckets try another centre first
@@ -416,15 +416,17 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
 def with_fp(docs: DataFrame) -> DataFrame:
     """All columns of the documents, and __fp."""
     names = docs.columns
+    sent, at = with_text(docs, names)
 
     def run(batches):
         for b in batches:
-            fps = pa.array([set_digest(shingles(t)) for t in as_bytes(b.column(len(names)))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(names))), fps], names=[*names, "__fp"])
+            for i, j, texts in byte_slices(b.column(at)):
+                fps = pa.array([set_digest(shingles(t)) for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(len(names))), fps],
+                                                 names=[*names, "__fp"])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.select(*[F.col(f"`{c}`") for c in names], F.col("text").cast("string").alias("__text")).mapInArrow(
-        run, out + ", __fp binary")
+    return sent.mapInArrow(run, out + ", __fp binary")
 
 
 def drop_near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:

@@ -7,12 +7,11 @@ rate is joined back as the prior odds of each of its documents.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import as_bytes, batch_of, slices, stored
+from trawl.llm.common import byte_slices, stored, with_text
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -29,6 +28,12 @@ _STATS = [("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.
           ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("n_lines", pa.int64())]
 
 
+def numbered(values: pa.Array) -> tuple[np.ndarray, int]:
+    """A number for each value, equal values equal ones, and how many there are."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+
+
 def repeated_words(docs: list[list[bytes]], width: int = WINDOW) -> np.ndarray:
     """For each list of words, how many lie in windows of `width` words (a power
     of 2) that occur twice or more in that list. Exact: words and then windows
@@ -37,17 +42,15 @@ def repeated_words(docs: list[list[bytes]], width: int = WINDOW) -> np.ndarray:
     n = int(lens.sum())
     if n < width:
         return np.zeros(len(docs), np.int64)
-    flat = np.empty(n, object)
-    flat[:] = [w for d in docs for w in d]
-    ids, distinct = pd.factorize(flat)
-    ids, size, step = ids.astype(np.int64), len(distinct), 1
+    ids, size = numbered(pa.array([w for d in docs for w in d], pa.binary()))
+    step = 1
     while step < width:
-        ids, distinct = pd.factorize(ids[:-step] * size + ids[step:])
-        ids, size, step = ids.astype(np.int64), len(distinct), step * 2
+        ids, size = numbered(pa.array(ids[:-step] * size + ids[step:]))
+        step *= 2
     doc = np.repeat(np.arange(len(docs)), lens)
     start = np.flatnonzero(doc[:n - width + 1] == doc[width - 1:])
-    code, distinct = pd.factorize(ids[start] * len(docs) + doc[start])
-    again = start[np.bincount(code, minlength=len(distinct))[code] >= 2]
+    code, distinct = numbered(pa.array(ids[start] * len(docs) + doc[start]))
+    again = start[np.bincount(code, minlength=distinct)[code] >= 2]
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, again, 1)
     np.add.at(edge, again + width, -1)
@@ -73,18 +76,18 @@ def document_stats(docs: DataFrame, columns: list[str]) -> DataFrame:
     fields = [docs.schema[c] for c in columns]
     stats = [pa.field(n, t) for n, t in _STATS]
 
+    sent, at = with_text(docs, columns)
+
     def run(batches):
         for b in batches:
-            texts = as_bytes(b.column(len(columns)))
-            for i, j in slices(texts):
-                measures = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in measure(texts[i:j])], fields=stats)
+            for i, j, texts in byte_slices(b.column(at)):
+                measures = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in measure(texts)], fields=stats)
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(columns))] + [measures],
                                                  names=[*columns, "__stats"])
 
     out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                     + [f"__stats struct<{', '.join(f'{n}: long' for n, _ in _STATS)}>"])
-    cols = [F.col(f"`{c}`") for c in columns]
-    return docs.select(*cols, F.col("text").cast("string").alias("__text")).mapInArrow(run, out)
+    return sent.mapInArrow(run, out)
 
 
 def _stat(name: str) -> Column:
