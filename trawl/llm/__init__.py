@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline: secrets, chat formatting, quality
 rules, language, near duplicates, toxicity, mixing, quality classifier, line
-duplicates and benchmark decontamination.
+duplicates, benchmark decontamination, ranked search, Merkle manifest and BPE.
 
 Nothing else in the library imports this subpackage. Functions that run in
 Python workers are shipped with the job (pickled by value), so executors need

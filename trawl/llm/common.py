@@ -5,6 +5,7 @@ from zlib import crc32
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -79,6 +80,18 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
+class Shared:
+    """A value sent once to each executor. It is pickled by value, so executors need
+    no copy of this package; a task unpickles its own."""
+
+    def __init__(self, spark, value):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return cloudpickle.loads(self._sent.value)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared checkpoint folder and read back."""
     return materialize(df, f"llm-{name}")

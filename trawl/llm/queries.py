@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import (chat, decontamination, language, line_dedup, mixing, near_dup, quality_classifier, quality_rules,
-                       secrets, toxicity)
+from trawl.llm import (bpe, chat, decontamination, language, line_dedup, merkle, mixing, near_dup, quality_classifier,
+                       quality_rules, ranked_search, secrets, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,5 +57,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers   # files on the driver's machine
+
+    return bpe.tokens_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_chat, op3_quality_rules, op4_language, op5_near_dup, op6_toxicity,
-                                   op7_mixing, op8_quality_classifier, op9_line_dedup, op10_decontamination)}
+                                   op7_mixing, op8_quality_classifier, op9_line_dedup, op10_decontamination, op11_ranked_search, op12_merkle, op13_bpe)}
