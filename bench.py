@@ -26,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from trawl.functions.text import tokenize_py  # noqa: E402
-from trawl.operators import export, index, search  # noqa: E402
+from trawl.operators import batch, export, index, search  # noqa: E402
 from trawl.plans import catalog, derived  # noqa: E402
 from trawl.session import build_session, checkpoint_dir  # noqa: E402
 from trawl.sources import index_store as store  # noqa: E402
@@ -85,7 +85,7 @@ def main() -> None:
 
     def q_batch():
         qs = docs.select(F.col("page_id").alias("query_id"), F.col("title").alias("query"))
-        _noop(search.batch_search(store.read_postings(spark, f"{base}/page_terms"), docs, disc, qs))
+        _noop(batch.batch_search(store.read_postings(spark, f"{base}/page_terms"), docs, disc, qs))
 
     def q_export():
         export.write_letter_index(export.export_rows(store.read_postings(spark, f"{base}/page_terms"), docs, disc),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trawl.functions.html import decode_entities, extract_links, extract_text, extract_title
 from trawl.functions.text import tokenize
 from trawl.functions.urls import with_normalized_url, with_url_facts
-from trawl.operators import extract, index, search
+from trawl.operators import batch, extract, index, search
 from trawl.sources.pages import read_table
 
 # Fixed query strings of the search queries (chosen from words that occur in
@@ -256,7 +256,7 @@ def batch_queries(spark, sf):
 def q_search_batch(spark, sf):
     d, r = _crawled(spark, sf)
     post = index.inverted_index(d)
-    return search.batch_search(post, d, r.page_discoveries, batch_queries(spark, sf),
+    return batch.batch_search(post, d, r.page_discoveries, batch_queries(spark, sf),
                                top_k=search.CLI_TOP_K)
 
 
