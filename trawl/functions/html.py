@@ -1,5 +1,10 @@
 """HTML extraction as Column expressions (title, links, visible text, entities).
 
+Markup is read in linear time, however it is broken. A pattern that begins
+somewhere and runs to an end tag rescans the rest of the page from each beginning
+that has no end. So the page is first cut behind the last end there is: before
+the cut every beginning finds one and is consumed with it, behind it none can.
+
 Everything here is a built-in Spark expression, so it runs inside the JVM
 next to the parquet reader; no Python touches the html.
 """
@@ -14,14 +19,16 @@ from pyspark.sql import functions as F
 JS_WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 TITLE_MAX_CHARS = 500
 TEXT_MAX_CHARS = 100_000
-TITLE_RE = r"(?i)<title[^>]*>([\s\S]*?)</title>"
 LINK_RE = (r"(?i)<a" + JS_WS + r"[^>]*href" + JS_WS + r"*=" + JS_WS
            + r"*[\x22\x27]([^\x22\x27]*?)[\x22\x27][^>]*>")
-SCRIPT_RE = r"(?i)<script[\s\S]*?</script>"
-STYLE_RE = r"(?i)<style[\s\S]*?</style>"
-NOSCRIPT_RE = r"(?i)<noscript[\s\S]*?</noscript>"
-COMMENT_RE = r"<!--[\s\S]*?-->"
-TAG_RE = r"<[^>]+>"
+# What is dropped from the visible text, in order, and what each of them ends with.
+BLOCKS = (
+    (r"(?i)<script[\s\S]*?</script>", r"</script>"),
+    (r"(?i)<style[\s\S]*?</style>", r"</style>"),
+    (r"(?i)<noscript[\s\S]*?</noscript>", r"</noscript>"),
+    (r"<!--[\s\S]*?-->", r"-->"),
+    (r"<[^>]+>", r">"),
+)
 # Named entities decoded, in the order they are applied (case-sensitive).
 NAMED_ENTITIES = [
     ("&amp;", "&"),
@@ -54,6 +61,38 @@ def collapse_ws(c) -> Column:
     return F.regexp_replace(spaced, r"[\t-\r ]+", " ")
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value), with `value` computed once for all its uses."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _upto_last(text: Column, end: str) -> Column:
+    """The text up to its last `end` and with it; '' if there is none."""
+    return F.regexp_extract(text, f"(?is)^(.*{end})", 1)
+
+
+def _rest(text: Column, head: Column) -> Column:
+    return F.substring(text, F.length(head) + 1, F.length(text))
+
+
+def _drop_all(text: Column, pattern: str, end: str) -> Column:
+    """A space for each match of `pattern`, which ends with `end`."""
+    return _bound(text, lambda t: _bound(_upto_last(t, end), lambda head: F.concat(
+        F.regexp_replace(head, pattern, " "), _rest(t, head))))
+
+
+def _title_inner(html: Column) -> Column:
+    """What stands between the first title tag and the end tag after it; '' without
+    one. The tag must be closed before the last end tag begins, and a tag that is
+    found there at all is the one: later ones end later."""
+    def inner(before: Column) -> Column:
+        tag = F.regexp_extract(_upto_last(before, ">"), r"(?is)^(.*?<title[^>]*>)", 1)
+        return _bound(tag, lambda t: F.when(t == "", F.lit("")).otherwise(
+            F.regexp_extract(F.concat(_rest(before, t), F.lit("</title>")), r"(?is)^(.*?)</title>", 1)))
+
+    return _bound(F.regexp_extract(html, r"(?is)^(.*)</title>", 1), inner)
+
+
 def _utf16_char(code: Column) -> Column:
     """String.fromCharCode(n): one UTF-16 unit, n taken modulo 2^16."""
     return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
@@ -72,8 +111,9 @@ def _numeric_pass(text: Column, entity_re: str, code_of) -> Column:
 
 
 def _decimal_code(x: Column) -> Column:
+    # parseInt gives a double, whose remainder is exact; one too large for that is 0.
     digits = F.regexp_extract(x, r"^&#([0-9]+);$", 1)
-    return F.coalesce((digits.try_cast("decimal(38,0)") % F.lit(65536)).cast("int"), F.lit(0))
+    return F.nanvl(digits.cast("double") % F.lit(65536.0), F.lit(0.0)).cast("int")
 
 
 def _hex_code(x: Column) -> Column:
@@ -109,13 +149,17 @@ def decode_entities(c) -> Column:
 
 def extract_title(html) -> Column:
     """H1: first <title>, entities decoded, trimmed, first 500 chars; '' if absent."""
-    inner = F.regexp_extract(F.coalesce(_col(html), F.lit("")), TITLE_RE, 1)
+    inner = _title_inner(F.coalesce(_col(html), F.lit("")))
     return F.left(js_trim(decode_entities(inner)), F.lit(TITLE_MAX_CHARS))
 
 
 def extract_links(html) -> Column:
-    """H2: quoted anchor hrefs, trimmed, non-empty, first occurrence kept, in order."""
-    raw = F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(LINK_RE), 1)
+    """H2: quoted anchor hrefs, trimmed, non-empty, first occurrence kept, in order.
+
+    A tag without a link is consumed up to its end, as an empty match: an anchor that
+    begins inside it could only see a part of the same attributes."""
+    upto = _upto_last(F.coalesce(_col(html), F.lit("")), ">")
+    raw = F.regexp_extract_all(upto, F.lit(LINK_RE + "|<a" + JS_WS + "[^>]*"), 1)
     trimmed = F.transform(raw, js_trim)
     return F.array_distinct(F.filter(trimmed, lambda h: h != ""))
 
@@ -124,8 +168,8 @@ def strip_markup(html) -> Column:
     """H3, first part: script/style/noscript blocks, comments, then every tag,
     each replaced by a space; named entities decoded."""
     t = F.coalesce(_col(html), F.lit(""))
-    for pattern in (SCRIPT_RE, STYLE_RE, NOSCRIPT_RE, COMMENT_RE, TAG_RE):
-        t = F.regexp_replace(t, pattern, " ")
+    for pattern, end in BLOCKS:
+        t = _drop_all(t, pattern, end)
     return decode_named(t)
 
 
@@ -147,7 +191,7 @@ def with_page_fields(df: DataFrame, html: str = "html", *, title: str | None = "
     if text:
         pre["_pre_text"] = strip_markup(html)
     if title:
-        pre["_pre_title"] = decode_named(F.regexp_extract(F.coalesce(_col(html), F.lit("")), TITLE_RE, 1))
+        pre["_pre_title"] = decode_named(_title_inner(F.coalesce(_col(html), F.lit(""))))
     out = df.withColumns(pre)
     post = {}
     if title:

@@ -8,10 +8,22 @@ network-path, query-only, fragment-only and plain relative hrefs.
 """
 from __future__ import annotations
 
-from trawl.functions.html import (COMMENT_RE, JS_WS, LINK_RE, NOSCRIPT_RE, SCRIPT_RE, STYLE_RE,
-                                  TAG_RE, TEXT_MAX_CHARS, TITLE_MAX_CHARS, TITLE_RE)
-from trawl.functions.text import STOP_WORDS
-from trawl.functions.urls import SKIP_EXTENSIONS
+# The rules, stated again: nothing here comes from the code that it checks.
+# Whitespace of JavaScript, limits, patterns, stop words, extensions.
+JS_WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+TITLE_MAX_CHARS, TEXT_MAX_CHARS = 500, 100000
+TITLE_RE = r"(?i)<title[^>]*>([\s\S]*?)</title>"
+LINK_RE = rf"(?i)<a{JS_WS}[^>]*href{JS_WS}*={JS_WS}*[\x22\x27]([^\x22\x27]*?)[\x22\x27][^>]*>"
+DROPPED = [r"(?i)<script[\s\S]*?</script>", r"(?i)<style[\s\S]*?</style>", r"(?i)<noscript[\s\S]*?</noscript>",
+           r"<!--[\s\S]*?-->", r"<[^>]+>"]
+STOP_WORDS = """
+a an the and or but in on at to for of with by from is it as be was were are been being have has had do does did will
+would could should may might shall can this that these those i you he she we they me him her us them my your his its our
+their not no so if up out about into than then just all also how what when where who which why each every both few more
+most other some such only own same too very
+""".split()
+SKIP_EXTENSIONS = """.png .jpg .jpeg .gif .svg .webp .ico .pdf .zip .tar .gz .rar .7z .mp3 .mp4 .avi .mov .wmv .flv
+.css .js .json .xml .rss .atom .woff .woff2 .ttf .eot .exe .dmg .msi .apk""".split()
 
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
 SKIP_SQL = ", ".join(f"'{e}'" for e in SKIP_EXTENSIONS)
@@ -28,7 +40,7 @@ def decode(x: str) -> str:
         out = f"replace({out}, '{ent}', '{ch}')"
     out = (f"array_to_string(list_transform(regexp_extract_all({out}, '((?s)&#[0-9]+;|[^&]+|&)', 1), "
            f"lambda p: CASE WHEN regexp_full_match(p, '&#[0-9]+;') "
-           f"THEN chr(CAST(CAST(regexp_extract(p, '[0-9]+') AS HUGEINT) % 65536 AS INTEGER)) ELSE p END), '')")
+           f"THEN chr(CAST(CAST(regexp_extract(p, '[0-9]+') AS DOUBLE) % 65536 AS INTEGER)) ELSE p END), '')")
     out = (f"array_to_string(list_transform(regexp_extract_all({out}, '((?s)&#x[0-9a-fA-F]+;|[^&]+|&)', 1), "
            f"lambda p: CASE WHEN regexp_full_match(p, '&#x[0-9a-fA-F]+;') "
            f"THEN chr(CAST(('0x' || right(lpad(regexp_extract(p, '&#x([0-9a-fA-F]+);', 1), 4, '0'), 4)) AS INTEGER)) "
@@ -43,7 +55,7 @@ def title(html: str) -> str:
 
 def body_text(html: str) -> str:
     t = f"coalesce({html}, '')"
-    for pat in (SCRIPT_RE, STYLE_RE, NOSCRIPT_RE, COMMENT_RE, TAG_RE):
+    for pat in DROPPED:
         t = f"regexp_replace({t}, '{pat}', ' ', 'g')"
     t = decode(t)
     t = trim_js(f"regexp_replace({t}, '{JS_WS}+', ' ', 'g')")
