@@ -496,17 +496,46 @@ def q_stream_index(spark, sf):
     return ST.read_postings(spark, sink).select("page_id", "field", "term", "frequency", "letter")
 
 
+FILES = 3   # files of pages that come before the restart, and as many after it
+
+
+def _streamed(spark, sf, name):
+    """The pages as files, indexed by a stream that takes a file a batch and is
+    restarted between. First all pages, dealt by URL; after the restart the pages of
+    even id once more under new ids, with another title, and the others' texts under
+    a new URL."""
+    base = ST.fresh_dir(checkpoint_dir(spark), name)
+    p = _pages(spark, sf).select("page_id", "url", "html")
+    n = p.agg(F.max("page_id")).first()[0] + 1
+    dealt = with_normalized_url(p, "url", "n").repartition(FILES, "n").drop("n")
+    dealt.write.parquet(f"{base}/pages")
+    ST.run_index_stream(spark, f"{base}/pages", f"{base}/sink", f"{base}/checkpoint", max_files_per_trigger=1)
+    later = p.select((F.col("page_id") + n).alias("page_id"),
+                     F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(F.concat(F.lit("http://later.test/p"), "page_id")).alias("url"),
+                     F.replace("html", F.lit("<title>"), F.lit("<title>Later ")).alias("html"))
+    later.repartition(FILES, "page_id").write.mode("append").parquet(f"{base}/pages")
+    ST.run_index_stream(spark, f"{base}/pages", f"{base}/sink", f"{base}/checkpoint", max_files_per_trigger=1)
+    return f"{base}/sink"
+
+
 def q_stream_dedup(spark, sf):
-    sink, ck = _stream_dirs(spark, "stream-dedup")
-    ST.run_index_stream(spark, sf, sink, ck, max_files_per_trigger=1, glob="pages*.parquet")
-    return ST.read_registry(spark, sink).select("normalized_url", "page_id")
+    """ST2, ST4, ST6: the first page of each URL over several batches and a restart."""
+    return ST.read_docs(spark, _streamed(spark, sf, "stream-dedup")).select("normalized_url", "page_id", "url", "title")
+
+
+def q_stream_batches(spark, sf):
+    """ST4, ST6: no page is indexed twice, and no batch has more than a file's share."""
+    d = ST.read_docs(spark, _streamed(spark, sf, "stream-batches"))
+    b = d.groupBy("batch_id").agg(F.count("*").alias("n"))
+    return b.agg(F.sum("n").alias("pages"), (F.count("*") >= 4).alias("several_batches"),
+                 (F.max("n") < 0.6 * F.sum("n")).alias("bounded"))
 
 
 def q_stream_search(spark, sf):
-    """ST3: search what the incremental index has committed."""
-    sink, ck = _stream_dirs(spark, "stream-search")
-    ST.run_index_stream(spark, sf, sink, ck, max_files_per_trigger=1, glob="pages*.parquet")
-    post = ST.read_postings(spark, sink)
+    """ST3: search what the incremental index has committed, in part merged."""
+    sink = _streamed(spark, sf, "stream-search")
+    ST.merge_batches(spark, sink)
+    post = ST.read_postings(spark, sink, search.tokenize_py(QUERY_MAIN))
     return search.weighted_search(post, ST.read_docs(spark, sink), None, QUERY_MAIN)
 
 
@@ -548,6 +577,7 @@ QUERIES.update({
     "robots_allowed": q_robots_allowed,
     "stream_index": q_stream_index,
     "stream_dedup": q_stream_dedup,
+    "stream_batches": q_stream_batches,
     "stream_counts": q_stream_counts,
     "stream_search": q_stream_search,
 })

@@ -25,10 +25,10 @@ def _pages_norm_ctes() -> list[tuple[str, str]]:
     return ctes
 
 
-def _docs_ctes() -> list[tuple[str, str]]:
+def _docs_ctes(source: str = "pages") -> list[tuple[str, str]]:
     """page_docs: extraction + dedup by normalized_url (first id/url, last content)."""
     ctes = [("ex0", f"SELECT CAST(page_id AS BIGINT) AS page_id, url, left(html, {MAX_BODY_SIZE}) AS html "
-                    f"FROM pages WHERE html IS NOT NULL AND html <> ''"),
+                    f"FROM {source} WHERE html IS NOT NULL AND html <> ''"),
             ("ex", f"SELECT page_id, url, {P.title('html')} AS title, {P.body_text('html')} AS body_text FROM ex0")]
     ctes += P.url_ctes("ex", "url", "normalized_url", None, "dn_")
     ctes.append(("docs", "SELECT min(page_id) AS page_id, normalized_url, arg_min(url, page_id) AS url, "
@@ -75,7 +75,7 @@ def _docs_ctes_for_links() -> list[tuple[str, str]]:
 def _weighted(query: str, top_k: int | None = None, first_wins: bool = False) -> str:
     toks = tokenize_py(query.strip())
     phrase = query.strip().lower().strip()
-    ctes = (_docs_first_ctes() if first_wins else _docs_ctes()) + _postings_ctes(toks)
+    ctes = (_streamed_ctes() if first_wins else _docs_ctes()) + _postings_ctes(toks)
     ctes.append(("m", "SELECT page_id, sum(CASE field WHEN 'title' THEN 5 * frequency WHEN 'url' THEN 2 * frequency "
                       "ELSE 0 END) AS i, sum(CASE WHEN field = 'body' THEN ln(1 + frequency) ELSE 0 END) AS l "
                       "FROM post GROUP BY page_id"))
@@ -479,16 +479,26 @@ def build_more(q: dict[str, str]) -> None:
     # ST1-ST6: first fetch of each URL wins
     sc = _docs_first_ctes()
     q["stream_index"] = P.with_ctes(sc + _postings_ctes(), "SELECT page_id, field, term, frequency, letter FROM post")
-    q["stream_dedup"] = P.with_ctes(sc, "SELECT normalized_url, page_id FROM docs")
+    streamed = _streamed_ctes()
+    q["stream_dedup"] = P.with_ctes(streamed, "SELECT normalized_url, page_id, url, title FROM docs")
+    q["stream_batches"] = P.with_ctes(streamed, "SELECT CAST(count(*) AS BIGINT) AS pages, true AS several_batches, true AS bounded FROM docs")
     q["stream_search"] = _weighted(catalog.QUERY_MAIN, first_wins=True)
     q["stream_counts"] = P.with_ctes(
         _pages_norm_ctes(), f"SELECT CASE WHEN normalized_url IS NULL THEN NULL ELSE {host} END AS host, "
                             f"CAST(count(*) AS BIGINT) AS pages FROM pn_6 GROUP BY 1")
 
 
-def _docs_first_ctes() -> list[tuple[str, str]]:
-    ctes = _docs_ctes()[:-1]
+def _docs_first_ctes(source: str = "pages") -> list[tuple[str, str]]:
+    ctes = _docs_ctes(source)[:-1]
     ctes.append(("docs", "SELECT min(page_id) AS page_id, normalized_url, arg_min(url, page_id) AS url, "
                          "arg_min(title, page_id) AS title, arg_min(body_text, page_id) AS body_text "
                          "FROM dn_6 WHERE normalized_url IS NOT NULL GROUP BY normalized_url"))
     return ctes
+
+
+def _streamed_ctes() -> list[tuple[str, str]]:
+    """All pages, then those of even id once more and the others under a new URL."""
+    later = ("SELECT page_id, url, html FROM pages UNION ALL SELECT page_id + (SELECT max(page_id) + 1 FROM pages), "
+             "CASE WHEN page_id % 2 = 0 THEN url ELSE 'http://later.test/p' || page_id END, "
+             "replace(html, '<title>', '<title>Later ') FROM pages")
+    return [("sent", later)] + _docs_first_ctes("sent")

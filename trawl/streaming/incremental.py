@@ -1,25 +1,35 @@
 """Incremental index with Structured Streaming (ST1-ST6).
 
-A file stream of fetched pages (explicit schema) feeds `foreachBatch`:
-each micro-batch is extracted, de-duplicated against every URL indexed
-before (global dedup, unbounded like the reference's unique index), and its
-postings and URL registry are appended to parquet sinks partitioned by letter.
-A page is searchable as soon as its batch commits (ST1, ST3); the checkpoint
-location makes a restart continue after the last committed batch (ST6);
-`maxFilesPerTrigger` bounds the intake per batch (ST4).
+A file stream of fetched pages (explicit schema) is reduced to (normalized URL,
+page id, file) and grouped by URL with a state of its own for each: a URL that has
+come before gives nothing, a new one its first page. The state lives in the state
+store (RocksDB), so a batch costs its own size however many URLs are known, and
+dedup is global and unbounded like a unique index (ST2). `foreachBatch` then reads
+the texts of the batch's new pages from the batch's files, and writes pages and
+postings under the batch's id, so a batch that is run again replaces its own output.
+
+A page is searchable as soon as its batch commits (ST1, ST3); the checkpoint makes a
+restart continue after the last committed batch (ST6); `maxFilesPerTrigger` bounds
+the intake of a batch (ST4). Batches leave a file for each letter; `merge_batches`
+rewrites those committed so far into one segment of term-sorted files, and searches
+read that segment and the batches after it, of the letters they need.
 """
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl import schemas
-from trawl.functions.urls import hostname
+from trawl.functions.urls import hostname, with_normalized_url
 from trawl.operators import extract, index
-from trawl.session import cut_lineage
+from trawl.operators._util import broadcast_if_small
+from trawl.session import materialize
+from trawl.sources.index_store import letters_of, write_postings
+from trawl.sources.pages import accept_responses
 
 PAGE_STREAM_SCHEMA = T.StructType(schemas.ARCHIVE.fields[:3])   # page_id, url, html
 
@@ -42,49 +52,110 @@ def page_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
     return r.parquet(source_dir)
 
 
-def index_batch(spark: SparkSession, batch: DataFrame, sink: str, batch_id: int = 0) -> None:
-    """One micro-batch: extract, keep the first row per new normalized URL,
-    write postings and the URL registry under `batch_id=<id>`.
-
-    Writes replace only this batch's partitions (dynamic overwrite) and the
-    de-duplication reads only earlier batches, so a batch that is run again
-    after a failure (foreachBatch is at-least-once) yields the same output."""
-    ext = extract.extract_pages(batch)
-    first = (ext.groupBy("normalized_url")
-             .agg(F.min_by(F.struct("page_id", "url", "title", "body_text", "content_length"), "page_id").alias("d"))
-             .select("normalized_url", "d.*"))
-    registry_path = f"{sink}/registry"
-    if _exists(spark, registry_path):
-        seen = (spark.read.parquet(registry_path).filter(F.col("batch_id") < F.lit(batch_id))
-                .select("normalized_url"))
-        first = first.join(seen, "normalized_url", "left_anti")
-    first = cut_lineage(first.withColumn("batch_id", F.lit(batch_id).cast("long")))
-    (index.inverted_index(first.select("page_id", "normalized_url", "title", "body_text"))
-     .withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id", "letter").parquet(f"{sink}/postings"))
-    (first.select("page_id", "normalized_url", "url", "title", "body_text", "content_length", "batch_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(f"{sink}/docs"))
-    (first.select("normalized_url", "page_id", "batch_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(registry_path))
+def _url_rows(pages: DataFrame) -> DataFrame:
+    """(normalized_url, page_id, file) of accepted pages; no text is kept."""
+    ok = accept_responses(pages.select("page_id", "url", "html", F.col("_metadata.file_path").alias("file"))).drop("html")
+    return (with_normalized_url(ok, "url", "normalized_url").filter(F.col("normalized_url").isNotNull())
+            .select("normalized_url", "page_id", "file"))
 
 
-def run_index_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
-                     max_files_per_trigger: int | None = None, glob: str | None = None) -> None:
-    """Run the incremental index over everything available now, then stop."""
-    q = (page_stream(spark, source_dir, max_files_per_trigger, glob).writeStream
-         .foreachBatch(lambda df, batch_id: index_batch(spark, df, sink, batch_id))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+def _first_pages(key, frames, state):
+    """The first page of a URL that has no state yet: of a batch, the one of the least id."""
+    best = None
+    for f in frames:
+        row = f.sort_values("page_id").head(1)
+        if best is None or row["page_id"].iloc[0] < best["page_id"].iloc[0]:
+            best = row
+    if not state.exists and best is not None:
+        state.update((int(best["page_id"].iloc[0]),))
+        yield best[["normalized_url", "page_id", "file"]]
+
+
+def new_urls(stream: DataFrame) -> DataFrame:
+    """ST2: (normalized_url, page_id, file) of the URLs that no earlier batch had."""
+    return _url_rows(stream).groupBy("normalized_url").applyInPandasWithState(
+        _first_pages, "normalized_url string, page_id long, file string", "page_id long", "append", "NoTimeout")
+
+
+def index_batch(spark: SparkSession, fresh: DataFrame, sink: str, batch_id: int = 0) -> None:
+    """Pages and postings of a batch's new URLs, under `batch_id=<id>` (dynamic
+    overwrite). The pages are read from the batch's files again and parsed where
+    they are scanned; only the new URLs' ids meet them, broadcast when their
+    measured size allows."""
+    fresh, n = broadcast_if_small(fresh.select("page_id", "file"))
+    if not n:
+        return
+    files = [unquote(r["file"]) for r in fresh.select("file").distinct().collect()]   # the files of one batch
+    rows = spark.read.schema(PAGE_STREAM_SCHEMA).parquet(*files).withColumn("file", F.col("_metadata.file_path"))
+    # A page repeated in a file is one page.
+    docs = extract.extract_pages(rows.join(fresh, ["page_id", "file"]).drop("file"))
+    docs = materialize(docs.withColumn("batch_id", F.lit(batch_id).cast("long")), "stream-batch")
+    if docs.groupBy("page_id").count().where("count > 1").limit(1).count():
+        docs = docs.dropDuplicates(["page_id"])
 
+    def write(df: DataFrame, name: str, *by: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", *by).parquet(f"{sink}/{name}"))
 
-def read_postings(spark: SparkSession, sink: str) -> DataFrame:
-    """ST3: what is committed is searchable."""
-    return spark.read.parquet(f"{sink}/postings")
+    write(index.inverted_index(docs).withColumn("batch_id", F.lit(batch_id).cast("long")), "postings", "letter")
+    write(docs.select("page_id", "normalized_url", "url", "title", "body_text", "content_length", "batch_id"), "docs")
+    write(docs.select("normalized_url", "page_id", "batch_id"), "registry")
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_index_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
+                     max_files_per_trigger: int | None = None, glob: str | None = None) -> None:
+    """Run the incremental index over everything available now, then stop. Run again
+    with the same checkpoint, it goes on with the files that have come since."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        q = (new_urls(page_stream(spark, source_dir, max_files_per_trigger, glob)).writeStream
+             .outputMode("append")
+             .foreachBatch(lambda df, batch_id: index_batch(spark, df, sink, batch_id))
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+def merge_batches(spark: SparkSession, sink: str) -> int | None:
+    """Rewrites the postings of all committed batches as one segment, dealt by ranges
+    and sorted by term; returns the last batch in it. The segment counts once its row
+    in `merged` is written, so a failed merge changes nothing. Batches and segments
+    that it replaces stay until their owner deletes them."""
+    if not _exists(spark, f"{sink}/registry"):
+        return None
+    # The registry is written last: a batch in it has its postings.
+    last = spark.read.parquet(f"{sink}/registry").agg(F.max("batch_id")).first()[0]
+    name = fresh_dir(f"{sink}/segments", f"upto-{last}")
+    write_postings(read_postings(spark, sink).filter(F.col("batch_id") <= last), name)
+    spark.createDataFrame([(last, name)], "last long, segment string").write.mode("append").parquet(f"{sink}/merged")
+    return last
+
+
+def read_postings(spark: SparkSession, sink: str, terms: list[str] | None = None) -> DataFrame:
+    """ST3: what is committed is searchable: the newest segment and the batches after
+    it. With `terms`, only their letters' folders are read."""
+    segment, last = None, -1
+    if _exists(spark, f"{sink}/merged"):
+        last, segment = spark.read.parquet(f"{sink}/merged").agg(F.max(F.struct("last", "segment")).alias("m")).first()["m"]
+    cols = ["page_id", "field", "term", "frequency", "letter", "batch_id"]
+    out = spark.read.parquet(f"{sink}/postings").filter(F.col("batch_id") > last).select(*cols)
+    if segment:
+        # Not told apart any more: all rows of a segment are of its last batch or an earlier one.
+        out = spark.read.parquet(segment).withColumn("batch_id", F.lit(last).cast("long")).select(*cols).unionByName(out)
+    if terms is not None:
+        out = out.filter(F.col("letter").isin(*letters_of(terms)) & F.col("term").isin(*terms)) if terms else out.limit(0)
+    return out
 
 
 def read_docs(spark: SparkSession, sink: str) -> DataFrame:
