@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import JS_WS
+from trawl.functions.hosts import parse_host
 from trawl.functions.text import tokenize
 
 # Fixed values that must equal the reference's.
@@ -35,7 +36,6 @@ DEFAULT_PORTS = {"http": 80, "https": 443, "ws": 80, "wss": 443, "ftp": 21}
 # Code points percent-encoded in a path: C0 controls, space, DEL, non-ASCII
 # and  " < > ` { }  (# and ? end the path before this step).
 PATH_ENCODE_RE = r"[^\x21-\x7E]|[\x22<>\x60{}]"
-FORBIDDEN_HOST_RE = r"[\x00-\x20#%/:<>?@\[\\\]^|\x7F]"
 
 _SCHEME_RE = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*):(.*)$"
 _HAS_SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
@@ -159,8 +159,10 @@ def percent_encode_path(path: Column) -> Column:
 
 
 def _form_decode(x: Column) -> Column:
-    """application/x-www-form-urlencoded parse of one name or value."""
-    return F.coalesce(F.try_url_decode(x), F.replace(x, F.lit("+"), F.lit(" ")))
+    """application/x-www-form-urlencoded parse of one name or value; a percent sign
+    that begins no escape stands for itself."""
+    escaped = F.regexp_replace(x, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), F.replace(x, F.lit("+"), F.lit(" ")))
 
 
 def sorted_query(query: Column) -> Column:
@@ -232,25 +234,27 @@ def url_parts(raw, base=None) -> Column:
 
     L.add(authority)
     L.add(lambda g: {
-        "host": F.lower(F.regexp_extract(g("hostport"), r"^(\[[^\]]*\]|[^:]*)", 1)),
-        "porttxt": F.regexp_extract(g("hostport"), r"^(?:\[[^\]]*\]|[^:]*):(.*)$", 1),
+        "host0": F.regexp_extract(g("hostport"), r"(?s)^(\[[^\]]*\](?=:|$)|[^:]*)", 1),
+        "porttxt": F.regexp_extract(g("hostport"), r"(?s)^(?:\[[^\]]*\]|[^:\[][^:]*|):(.*)$", 1),
         "path2": F.when(g("scheme").isin(*SPECIAL_SCHEMES) & (g("path1") == ""), F.lit("/"))
         .otherwise(g("path1"))})
 
+    # A host that is not valid is null.
+    L.add(lambda g: {"host": F.when(g("scheme").isin(*SPECIAL_SCHEMES), parse_host(g("host0"))).otherwise(F.lower(g("host0")))})
+
     def finish(g):
         special = g("scheme").isin(*SPECIAL_SCHEMES)
         default_port = F.lit(None).cast("int")
         for sch, prt in DEFAULT_PORTS.items():
             default_port = F.when(g("scheme") == sch, F.lit(prt)).otherwise(default_port)
-        pt, host = g("porttxt"), g("host")
+        pt = g("porttxt")
         port_num = F.when(pt != "", pt.try_cast("int"))
         return {
             "port": F.when(port_num != default_port, port_num.cast("string"))
             .when(default_port.isNull() & port_num.isNotNull(), port_num.cast("string")),
             "valid": F.coalesce(g("ok") & F.when(
                 special & (g("scheme") != "file"),
-                g("auth").isNotNull()
-                & (host.rlike(r"^\[[0-9a-f:.]+\]$") | (~host.rlike(FORBIDDEN_HOST_RE) & (host != "")))
+                g("auth").isNotNull() & g("host").isNotNull()
                 & ((pt == "") | (pt.rlike(r"^[0-9]{1,5}$") & (pt.try_cast("int") <= 65535)))
             ).otherwise(True), F.lit(False)),
             "path3": remove_dot_segments(g("path2"))}
@@ -289,9 +293,11 @@ _CANON_PATH_CHARS = r"[A-Za-z0-9\-._~!$&'()*+,;=:@%/]"
 _PATH_CHARS = (r"[^\x00-\x20\x7F\\?#\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
                r"\x{202F}\x{205F}\x{3000}\x{FEFF}]")
 _SIMPLE_QUERY = r"(\?[A-Za-z0-9*\-._]+=[A-Za-z0-9*\-._]*)?"
-SIMPLE_ABS_RE = rf"^(?i:https?)://[a-z0-9.-]+(/{_PATH_CHARS}*)?{_SIMPLE_QUERY}(#.*)?$"
+# A host whose last label is a number is an IPv4 address, which has more than one form.
+_NAMED = r"(?!(?:[a-z0-9-]*\.)*(?:0x[0-9a-f]*|[0-9]+)\.?(?:[/?#:]|$))"
+SIMPLE_ABS_RE = rf"^(?i:https?)://{_NAMED}[a-z0-9.-]+(/{_PATH_CHARS}*)?{_SIMPLE_QUERY}(#.*)?$"
 SIMPLE_ROOT_RE = rf"^/(?!/){_PATH_CHARS}*{_SIMPLE_QUERY}(#.*)?$"
-CANON_BASE_RE = r"^https?://[a-z0-9.-]+(/|$)"
+CANON_BASE_RE = rf"^https?://{_NAMED}[a-z0-9.-]+(/|$)"
 
 
 def _simple_path(path: Column) -> Column:
@@ -338,7 +344,7 @@ def _with_parts(parts: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(parts), fn), 1)
 
 
-CANON_SIMPLE_RE = rf"^https?://[a-z0-9.-]+(/{_CANON_PATH_CHARS}*)?(\?[^#\s]*)?$"
+CANON_SIMPLE_RE = rf"^https?://{_NAMED}[a-z0-9.-]+(/{_CANON_PATH_CHARS}*)?(\?[^#\s]*)?$"
 
 
 def _facts(url, fn) -> Column:

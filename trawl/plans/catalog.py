@@ -70,6 +70,23 @@ def q_url_host(spark, sf):
     return p.select("page_id", "host")
 
 
+def q_url_hosts(spark, sf):
+    """For each page, hosts that have more than one form or none, from its id."""
+    n = (F.col("page_id") * 2654435761) % (1 << 32)
+    y = F.lower(F.hex(F.col("page_id") % 65535 + 1))
+    raw = [F.concat(F.lit("http://"), n, F.lit("/p")),
+           F.concat(F.lit("http://0x"), F.hex(n), F.lit("/p")),
+           F.concat(F.lit("http://0"), F.conv(F.shiftright(n, 24).cast("string"), 10, 8), F.lit("."), n % (1 << 24), F.lit("/p")),
+           F.concat(F.lit("http://"), n % 300, F.lit(".1.1.1/")),
+           F.concat(F.lit("http://[0:0:0:"), n % 2, F.lit(":0:0:0:"), y, F.lit("]:81/")),
+           F.concat(F.lit("http://P"), F.col("page_id"), F.lit(".B\u00fccher.de/")),
+           F.concat(F.lit("http://ex%4"), F.hex(F.col("page_id") % 15 + 1), F.lit("mple.com/")),
+           F.concat(F.lit("http://h.test/?b=%C3%BC&a=%20"), F.col("page_id"), F.lit("%zz"))]
+    cases = _pages(spark, sf).select("page_id", F.posexplode(F.array(*raw)).alias("case_no", "raw"))
+    cases = with_url_facts(with_normalized_url(cases, "raw", "normalized_url"), "raw", host="host")
+    return cases.select("page_id", F.col("case_no").cast("long").alias("case_no"), "normalized_url", "host")
+
+
 def q_url_crawlable(spark, sf):
     p = with_url_facts(_pages(spark, sf).select("page_id", "url"), "url", crawlable="crawlable")
     return p.select("page_id", "crawlable")
@@ -146,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "url_resolve_links": q_url_resolve_links,
     "url_skip_ext": q_url_skip_ext,
     "url_host": q_url_host,
+    "url_hosts": q_url_hosts,
     "url_crawlable": q_url_crawlable,
     "tokens_body": q_tokens_body,
     "tokens_url": q_tokens_url,

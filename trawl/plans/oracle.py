@@ -325,6 +325,19 @@ def build_more(q: dict[str, str]) -> None:
         "SELECT page_id, job_id, origin_url, depth FROM pdisc WHERE depth <= 1 "
         "UNION SELECT page_id, job_id, origin_url, depth FROM pdisc")
 
+    # From the numbers that the hosts were made of
+    dotted = "(n >> 24) || '.' || ((n >> 16) % 256) || '.' || ((n >> 8) % 256) || '.' || (n % 256)"
+    q["url_hosts"] = (
+        "WITH b AS (SELECT page_id, (page_id * 2654435761) % 4294967296 AS n, lower(hex(page_id % 65535 + 1)) AS y FROM pages), "
+        f"h AS (SELECT page_id, 0 AS case_no, {dotted} AS host, '' AS port, '/p' AS rest FROM b "
+        f"UNION ALL SELECT page_id, 1, {dotted}, '', '/p' FROM b UNION ALL SELECT page_id, 2, {dotted}, '', '/p' FROM b "
+        "UNION ALL SELECT page_id, 3, CASE WHEN n % 300 < 256 THEN (n % 300) || '.1.1.1' END, '', '/' FROM b "
+        "UNION ALL SELECT page_id, 4, CASE WHEN n % 2 = 0 THEN '[::' || y || ']' ELSE '[::1:0:0:0:' || y || ']' END, ':81', '/' FROM b "
+        "UNION ALL SELECT page_id, 5, 'p' || page_id || '.xn--bcher-kva.de', '', '/' FROM b "
+        "UNION ALL SELECT page_id, 6, 'ex' || chr(CAST(97 + page_id % 15 AS INTEGER)) || 'mple.com', '', '/' FROM b "
+        "UNION ALL SELECT page_id, 7, 'h.test', '', '/?a=+' || page_id || '%25zz&b=%C3%BC' FROM b) "
+        "SELECT page_id, CAST(case_no AS BIGINT) AS case_no, 'http://' || host || port || rest AS normalized_url, host FROM h")
+
     # S2
     q["response_accept"] = (
         "WITH r AS (SELECT page_id, html, CASE regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) "
