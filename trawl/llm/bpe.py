@@ -111,9 +111,11 @@ class Automaton:
         self.target = [-1] * size                        # of a label: the state its arcs lead to now
         self.start = [0] * size                          # of a label: that state before any gadget of its own
         self.owner = [0]                                 # of a state: the label whose arcs its gadget sent there
+        self.opened: dict[int, int] = {}                 # label -> the first gadget that merged it with what follows
         self.cut: dict[int, int] = {}                    # (label u, label v) -> the gadget that cut v after u
-        self.table: dict[int, dict[int, int]] = {}       # state -> label -> the next state, -1 without such an arc
-        self.entries = 0
+        # Of the reader, filled when first needed: (state, symbol) -> (next state, token that ends, its length).
+        self.table: dict[int, tuple[int, int, int]] = {}
+        self.readers: dict[tuple, int] = {}
         spelled: dict[int, tuple[int, ...]] = {x: (x,) for x in symbols}
         for x in symbols:
             self.target[x] = 0
@@ -126,6 +128,7 @@ class Automaton:
                 self.cut[u * size + v] = k
                 self.target[u] = k
                 self.left[w], self.born[w] = u, k
+                self.opened.setdefault(u, k)
                 self.target[w] = self.start[w] = behind
                 spelled[w] = spelled[u] + spelled[v]
             else:   # earlier merges always take u or v apart: no path has uv
@@ -141,6 +144,8 @@ class Automaton:
                 node[x] = (w if k == end else token, below)
                 node = below
 
+        self.pending: list[tuple] = [((0, self.trie, 0),)]
+
     def _arc(self, state: int, label: int) -> bool:
         """Whether the state has an arc of that label. A copy has the arcs of the
         state it copies but the one cut; a label made later is there where its
@@ -155,41 +160,70 @@ class Automaton:
             state = self.start[u]
         return True
 
-    def _entry(self, state: int, row: dict[int, int], label: int) -> int:
-        """Fills one place of the state's row of the table."""
-        self.entries += 1
-        row[label] = to = self.target[label] if self._arc(state, label) else -1
-        return to
+    def _shut(self, state: int, symbol: int) -> bool:
+        """Whether the state has no arc of any token that begins with the symbol: the
+        symbol was cut before the first merge that begins with it."""
+        first = self.opened.get(symbol, math.inf)
+        while state:
+            u = self.owner[state]
+            k = self.cut.get(u * self.size + symbol)
+            if k is not None and k <= state and k <= first:
+                return True
+            state = self.start[u]
+        return False
+
+    def _next(self, pending: tuple, symbol: int) -> tuple[int, int, int]:
+        """Works out a transition: the state of the reader after one more symbol, the
+        token that ends there, and how many symbols it has.
+
+        The reader's state is what can still grow: for each place before, the state
+        of the automaton there, and how far the trie has been followed from it."""
+        grown, end = [], None
+        for at, node, n in pending:
+            if n == 0 and self._shut(at, symbol):
+                continue
+            hit = node.get(symbol)
+            if hit is not None:
+                x, below = hit
+                if x >= 0 and self._arc(at, x):
+                    end = (x, n + 1)
+                if below:
+                    grown.append((at, below, n + 1))
+        if end is None:
+            raise ValueError("no path spells this word")
+        grown.append((self.target[end[0]], self.trie, 0))
+        key = tuple((at, id(node)) for at, node, _ in grown)
+        to = self.readers.get(key)
+        if to is None:
+            to = self.readers[key] = len(self.pending)
+            self.pending.append(tuple(grown))
+        return to, *end
 
     def encode(self, symbols: list[int]) -> list[int]:
         """The labels of the one path that spells the symbols."""
-        if self.entries >= KEPT_ARCS:
-            self.table.clear()
-            self.entries = 0
-        n = len(symbols)
-        state, taken, came = [0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            at, node = state[i], self.trie
-            row = self.table.get(at)
-            if row is None:
-                row = self.table[at] = {}
-            for j in range(i, n):
-                hit = node.get(symbols[j])
-                if hit is None:
-                    break
-                x, node = hit
-                if x >= 0:
-                    to = row.get(x)
-                    if to is None:
-                        to = self._entry(at, row, x)
-                    if to >= 0:
-                        state[j + 1], taken[j + 1], came[j + 1] = to, x, i
-        out, i = [], n
+        if len(self.table) >= KEPT_ARCS:
+            self.table, self.readers, self.pending = {}, {}, [((0, self.trie, 0),)]
+        at, taken, size, table = 0, [], self.size, self.table
+        for x in symbols:
+            entry = table.get(at * size + x)
+            if entry is None:
+                entry = table[at * size + x] = self._next(self.pending[at], x)
+            taken.append(entry)
+            at = entry[0]
+        out, i = [], len(symbols)
         while i:
-            out.append(taken[i])
-            i = came[i]
+            _, x, n = taken[i - 1]
+            out.append(x)
+            i -= n
         return out[::-1]
 
+    def __getstate__(self):
+        return self.__dict__ | {"table": {}, "readers": {}, "pending": None}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.pending = [((0, self.trie, 0),)]
+
 
 class Tokenizer:
     """A byte-level BPE with word ends, from the text of a tokenizer file."""
@@ -208,6 +242,7 @@ class Tokenizer:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(self.inner + self.last, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
         self.labels = {i: s for s, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.labels}
         self.words = Words({k: v for k, v in spec.items() if k != "model"} | {"model": {"type": "BPE", "vocab": {}, "merges": []}})
         self.known: dict[str | int, bytes] = {}
         self.before: dict[str | int, bytes] = {}
@@ -215,7 +250,7 @@ class Tokenizer:
     def word_ids(self, word: str) -> bytes:
         b = word.encode("utf-8")
         path = self.automaton.encode([*map(self.inner.__getitem__, b[:-1]), self.last[b[-1]]])
-        return np.array(path, "<u4").tobytes()
+        return b"".join(map(self.packed.__getitem__, path))
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text, each as a little-endian unsigned 32-bit integer."""
@@ -225,22 +260,21 @@ class Tokenizer:
                 if len(self.known) >= KEPT_WORDS:   # the words of the last stretch stay at hand, so common ones do
                     self.known, self.before = {}, self.known
                 if (ids := self.before.get(w)) is None:
-                    ids = self.word_ids(w) if isinstance(w, str) else np.array([w], "<u4").tobytes()
+                    ids = self.word_ids(w) if isinstance(w, str) else self.packed[w]
                 self.known[w] = ids
             out.append(ids)
         return b"".join(out)
 
-    def decode(self, ids: bytes | None) -> str:
-        """The labels of the arcs, with a space between: these files name no decoder
-        that would join them in another way."""
-        return " ".join(map(self.labels.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+def labels_of(ids: bytes | None, labels: dict[int, str]) -> str:
+    """The labels of the arcs, with a space between: these files name no decoder
+    that would join them in another way."""
+    return " ".join(map(labels.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
-def shared(spark, path: str):
-    """The compiled tokenizer, sent once to each executor; its size follows from the
-    tokenizer file, not from the documents."""
+def read_tokenizer(path: str) -> Tokenizer:
     with open(path, encoding="utf-8") as f:
-        return Shared(spark, Tokenizer(f.read()))
+        return Tokenizer(f.read())
 
 
 def _fields(df: DataFrame, without: str) -> tuple[list[str], str]:
@@ -248,7 +282,7 @@ def _fields(df: DataFrame, without: str) -> tuple[list[str], str]:
     return [f.name for f in kept], "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
 
 
-def encode(docs: DataFrame, path: str, into: str = "ids", tokenizer=None) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: Tokenizer, into: str = "ids") -> DataFrame:
     """All columns of the documents and `into`: the token ids of the whole text as
     little-endian unsigned 32-bit integers (binary).
 
@@ -256,12 +290,12 @@ def encode(docs: DataFrame, path: str, into: str = "ids", tokenizer=None) -> Dat
     files are made for; none are added. Null and empty texts, and texts of white
     space only, have no tokens (an empty binary). Rows are independent: repeated
     rows repeat, no rows give no rows; a column named as `into` is replaced."""
-    tokenizer = tokenizer or shared(docs.sparkSession, path)
+    sent_tokenizer = Shared(docs.sparkSession, tokenizer)   # as large as its file makes it, whatever the documents
     names, ddl = _fields(docs, into)
     sent, at = with_text(docs, names)
 
     def run(batches):
-        t = tokenizer.value
+        t = sent_tokenizer.value
         for b in batches:
             for i, j, texts in byte_slices(b.column(at)):
                 ids = pa.array([t.encode((x or b"").decode("utf-8", "replace")) for x in texts], pa.binary())
@@ -271,19 +305,19 @@ def encode(docs: DataFrame, path: str, into: str = "ids", tokenizer=None) -> Dat
     return sent.mapInArrow(run, f"{ddl}`{into}` binary")
 
 
-def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded", tokenizer=None) -> DataFrame:
+def decode(encoded: DataFrame, tokenizer: Tokenizer, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """All columns of `encoded` and `into`: the labels of the token ids in column
     `ids`, joined by spaces. Null and no ids give an empty text; an id that the file
     does not have fails the job."""
-    tokenizer = tokenizer or shared(encoded.sparkSession, path)
+    labels = Shared(encoded.sparkSession, tokenizer.labels)
     names, ddl = _fields(encoded, into)
     at = names.index(ids)
 
     def run(batches):
-        t = tokenizer.value
+        t = labels.value
         for b in batches:
             for i, j, found in byte_slices(b.column(at)):
-                texts = pa.array([t.decode(x) for x in found], pa.string())
+                texts = pa.array([labels_of(x, t) for x in found], pa.string())
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in range(len(names))), texts],
                                                  names=[*names, into])
 
@@ -292,8 +326,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded
 
 def tokens_report(docs: DataFrame, path: str) -> DataFrame:
     """One row per row of documents: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    tokenizer = shared(docs.sparkSession, path)
-    ids = encode(docs.select("doc_id", "text"), path, "ids", tokenizer).select("doc_id", "ids")
-    t = decode(ids, path, "ids", "decoded", tokenizer)
+    tokenizer = read_tokenizer(path)
+    ids = encode(docs.select("doc_id", "text"), tokenizer).select("doc_id", "ids")
+    t = decode(ids, tokenizer)
     return t.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                     F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -82,14 +82,18 @@ def token_count(text: Column) -> Column:
 
 class Shared:
     """A value sent once to each executor. It is pickled by value, so executors need
-    no copy of this package; a task unpickles its own."""
+    no copy of this package; a worker process unpickles it once, and what its tables
+    learn in one task stays for the next."""
 
     def __init__(self, spark, value):
         self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
     @property
     def value(self):
-        return cloudpickle.loads(self._sent.value)
+        # In a worker the broadcast is one object for all tasks of the process.
+        if not hasattr(self._sent, "loaded"):
+            self._sent.loaded = cloudpickle.loads(self._sent.value)
+        return self._sent.loaded
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
