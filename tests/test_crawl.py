@@ -1,5 +1,5 @@
 """Traversal on the closed web against a brute-force Python BFS, plus the
-frontier, robots, fetch-plan, report and purge operators."""
+pending frontier, robots, report and purge operators."""
 from __future__ import annotations
 
 import pytest
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trawl.operators import crawl as C
 from trawl.functions.urls import normalize_url
-from trawl.operators import extract, fetch_plan, reports, robots
+from trawl.operators import extract, reports, robots
 
 
 def _inputs(spark, closed_web, jobs):
@@ -23,7 +23,7 @@ def _inputs(spark, closed_web, jobs):
     return archive, links, j
 
 
-def _brute_force(archive, links, jobs, capacity):
+def _brute_force(archive, links, jobs):
     """Level-synchronous BFS in plain Python (tiny inputs only)."""
     arch = {r.normalized_url: (r.page_id, r.indexed) for r in archive.collect()}
     out = {}
@@ -42,14 +42,9 @@ def _brute_force(archive, links, jobs, capacity):
             level[n] = (job_id, None, None, origin, k, None)
     depth = 0
     while level:
-        order = sorted(level.items(), key=lambda kv: (kv[1][0], -1 if kv[1][1] is None else kv[1][1],
-                                                      -1 if kv[1][2] is None else kv[1][2], kv[0]))
-        kept = order if capacity is None else order[:capacity]
-        for url, _ in order[len(kept):]:
-            rows.append((url, level[url][0], depth, "skipped"))
         seen.update(level)
         nxt = {}
-        for url, (job, _, _, origin, k, _) in kept:
+        for url, (job, _, _, origin, k, _) in level.items():
             pid, indexed = arch.get(url, (None, None))
             state = "failed" if indexed is None else "processed"
             rows.append((url, job, depth, state))
@@ -66,19 +61,18 @@ def _brute_force(archive, links, jobs, capacity):
 
 
 @pytest.mark.parametrize("k", [0, 1, 2, 3])
-@pytest.mark.parametrize("capacity", [1, 2, None])
-def test_bfs_matches_brute_force(spark, closed_web, k, capacity):
+def test_bfs_matches_brute_force(spark, closed_web, k):
     jobs = [(1, "http://a.test/", k), (2, "http://b.test/x", k), (3, "http://a.test/", k)]
     archive, links, j = _inputs(spark, closed_web, jobs)
-    r = C.crawl(archive, links, j, capacity=capacity)
+    r = C.crawl(archive, links, j)
     got = sorted((x.normalized_url, x.job_id, x.depth, x.state) for x in r.discovered.collect())
-    assert got == _brute_force(archive, links, jobs, capacity)
+    assert got == _brute_force(archive, links, jobs)
 
 
 def test_bfs_semantics(spark, closed_web):
     jobs = [(1, "http://a.test/", 3), (2, "http://b.test/x", 3), (3, "http://a.test/", 3)]
     archive, links, j = _inputs(spark, closed_web, jobs)
-    r = C.crawl(archive, links, j, capacity=None)
+    r = C.crawl(archive, links, j)
     d = {x.normalized_url: x for x in r.discovered.collect()}
     # one row per canonical URL: /p, /p/ and /p#x are one page
     assert "http://a.test/p" in d and sum(u.startswith("http://a.test/p") for u in d) == 1
@@ -115,14 +109,12 @@ def test_crawl_under_robots_rules(spark, closed_web):
 def test_lineage_and_frontier_ops(spark, closed_web):
     jobs = [(1, "http://a.test/", 2)]
     archive, links, j = _inputs(spark, closed_web, jobs)
-    r = C.crawl(archive, links, j, capacity=None, stop_after=0)
+    r = C.crawl(archive, links, j, stop_after=0)
     pend = C.frontier_of(r.discovered, j)
     assert pend.count() == r.discovered.filter(F.col("depth") == 1).count() > 0
-    assert C.dequeue(pend, 2).count() == 2
-    assert C.clear_job(pend, 1).count() == 0
-    st = C.frontier_stats(pend, capacity=3).first()
-    assert st.saturated == (st.size >= 3)
-    full = C.crawl(archive, links, j, capacity=None)
+    assert reports.frontier_count(r.discovered).first()["count"] == pend.count()
+    assert {x.fetched_at is None for x in pend.collect()} == {True}
+    full = C.crawl(archive, links, j)
     paths = {x.normalized_url: x.path for x in C.lineage_paths(full.discovered, 2).collect()}
     assert paths["http://a.test/"] == "http://a.test/"
     assert paths["http://a.test/s"].startswith("http://a.test/ > ")
@@ -147,20 +139,6 @@ def test_robots_rules_and_match(spark):
                        "http://h.test/Docs": True, "http://other.test/private": True}
 
 
-def test_fetch_plan(spark):
-    rows = [(f"http://{h}/p{i}", h, i) for i in range(6) for h in ("a", "b", "a", "a")][:20]
-    df = spark.createDataFrame([(u, h, i * 10 + n) for n, (u, h, i) in enumerate(rows)],
-                               "url string, host string, seq long").dropDuplicates(["url"])
-    plan = fetch_plan.fetch_plan(df, ["seq", "url"], rps=2, delay_ms=1000).collect()
-    ordered = sorted(plan, key=lambda x: (x.seq, x.url))
-    assert [x.global_rank for x in ordered] == list(range(len(ordered)))
-    per_host = {}
-    for x in ordered:
-        assert x.host_rank == per_host.get(x.host, 0)
-        per_host[x.host] = x.host_rank + 1
-        assert x.start_ms == max(x.host_rank * 1000, (x.global_rank // 2) * 1000)
-
-
 def test_reports_and_purge(spark):
     jobs = spark.createDataFrame([(1, "o1", 1, "completed"), (2, "o2", 1, "completed"), (3, "o3", 1, "completed")],
                                  "job_id long, origin_url string, max_depth int, status string")
@@ -198,3 +176,42 @@ def test_response_acceptance(spark, closed_web):
     assert 8 not in kept           # declared 3,000,000 bytes
     assert 10 not in kept          # empty body
     assert {5, 9, 2} <= kept       # upper-case type, 404 status, type with charset
+
+
+def test_one_antijoin_a_level(spark, closed_web):
+    """Earlier levels are one bucketed table, which no exchange deals out again."""
+    rows = spark.createDataFrame([(f"http://a.test/{i}",) for i in range(50)], "normalized_url string")
+    seen = C.SeenTable(spark, 3)
+    for k in range(4):
+        seen.add(rows.filter(F.crc32("normalized_url") % 5 == k).repartition(3, "normalized_url"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        left = seen.unseen(rows)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("LeftAnti") == 1 and plan.split("LeftAnti")[1].count("Exchange") == 1, plan
+        assert {x[0] for x in left.collect()} == {x[0] for x in rows.filter(F.crc32("normalized_url") % 5 == 4).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        seen.drop()
+
+
+@pytest.mark.parametrize("depth", [0, 1, 40])
+def test_lineage_doubles_paths(spark, depth):
+    rows = [(f"u{i}", 1, i, f"u{i - 1}" if i else None) for i in range(depth + 1)] + [("alone", 2, 1, "gone")]
+    d = spark.createDataFrame(rows, "normalized_url string, job_id long, depth int, discovered_from_url string")
+    got = {x.normalized_url: x.path for x in C.lineage_paths(d, max(depth, 1)).collect()}
+    assert got == {f"u{i}": " > ".join(f"u{k}" for k in range(i + 1)) for i in range(depth + 1)} | {"alone": "gone > alone"}
+
+
+def test_robots_of_a_hot_host(spark):
+    """Many rules times many paths on one host meet by prefix, never all with all."""
+    n = 20_000
+    rules = spark.range(n).select(F.lit("h.test").alias("host"), F.concat(F.lit("/d"), F.col("id") * 7 % n, F.lit("/")).alias("path"),
+                                  (F.col("id") % 2 == 0).alias("allow"), (F.col("id") + 1).alias("rank"))
+    urls = spark.range(n).select("id", F.concat(F.lit("http://h.test/d"), "id", F.lit("/x")).alias("normalized_url"))
+    got = robots.allowed(urls, rules)
+    inverse = pow(7, -1, n)
+    assert {x.id: x.allowed for x in got.collect()} == {i: (i * inverse % n) % 2 == 0 for i in range(n)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from trawl.operators import _util, crawl, export, search
+from trawl.operators import _util, batch, crawl, export, search
 from trawl.sources import index_store
 
 
@@ -56,7 +56,7 @@ def test_equal_queries_get_equal_rows(spark):
     post = spark.createDataFrame([(1, "pear", "title", 1), (1, "pear", "body", 1), (2, "pear", "body", 1)],
                                  "page_id long, term string, field string, frequency long")
     qs = spark.createDataFrame([(7, "pear"), (3, " pear"), (9, "pear jam"), (4, None)], "query_id long, query string")
-    out = search.batch_search(post, docs, None, qs).collect()
+    out = batch.batch_search(post, docs, None, qs).collect()
     by = {q: sorted((r.rank, r.page_id, r.score) for r in out if r.query_id == q) for q in (3, 4, 7, 9)}
     assert by[3] == by[7] and len(by[3]) == 2 and by[4] == [] and len(by[9]) == 2
 

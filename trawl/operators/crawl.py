@@ -1,4 +1,4 @@
-"""Link traversal as a data job.
+"""Link traversal as a data job.
 
 `crawl` runs a level-synchronous breadth-first traversal over an archive of
 fetched pages. Each level is a DataFrame plan:
@@ -7,35 +7,42 @@ fetched pages. Each level is a DataFrame plan:
                 ⋈ edges            candidate links at depth d+1 (C1)
     groupBy(dst).min(order key)    first discoverer wins (C2, C6); partial
                                    aggregation makes a hot URL cheap
-    ⋉̸ every earlier level          global de-duplication (C2)
-    cap                            bounded frontier (C3)
+    ⋉̸ seen table                   global de-duplication (C2)
 
 then the level is checkpointed to the shared checkpoint folder, which cuts the
-lineage and makes the loop restartable after executor loss. The driver loop
-runs at most max_depth+1 times and moves no rows, only counts.
+lineage and makes the loop restartable after executor loss, and its URLs are
+appended to the seen table. That table is bucketed by URL, so it is never shuffled:
+however many levels there were, a level costs one exchange of its own candidates.
+The driver loop runs at most max_depth+1 times and moves no rows, only counts.
+
+Times come from one clock that does not depend on when the job runs: a URL is
+fetched a minute after the level before, and a second after the link before it
+in its page (modulo a minute), counted from its job's creation.
 
 Tie-breaks (the reference's order depends on network timing): among the
 candidates for one URL at one level the smallest (job_id, parent page_id,
-link position) wins; the frontier keeps its smallest such keys when capped.
+link position) wins.
 """
 from __future__ import annotations
 
+import math
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.urls import normalize_url
 from trawl.operators.robots import allowed
-from trawl.session import cut_lineage
+from trawl.session import checkpoint_dir, cut_lineage, materialize
 
 BLOCKED = "blocked by robots rules"
 
-# Fixed value of the reference (default frontier capacity).
-DEFAULT_CAPACITY = 10_000
+# Creation time of jobs that come without one, and the clock's step for a level.
+EPOCH, LEVEL_SECONDS = "2024-01-01 00:00:00", 60
 
 DISCOVERED_COLS = ["normalized_url", "url", "state", "depth", "job_id", "origin_url",
-                   "discovered_from_url", "parent_page_id", "pos", "page_id", "error_message"]
+                   "discovered_from_url", "parent_page_id", "pos", "page_id", "error_message", "fetched_at"]
 
 
 @dataclass
@@ -73,10 +80,8 @@ def prepare_archive(docs: DataFrame, fetched: DataFrame | None = None) -> DataFr
 
 
 def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
-          capacity: int | None = None, stop_after: int | None = None,
-          rules: DataFrame | None = None) -> CrawlResult:
-    """Multi-origin, depth-bounded BFS with global dedup; the frontier is
-    bounded only where a capacity is given.
+          stop_after: int | None = None, rules: DataFrame | None = None) -> CrawlResult:
+    """Multi-origin, depth-bounded BFS with global dedup.
 
     rules:   robots rules (host, path, allow, rank) from `robots.parse_rules`;
     a URL that they block is processed without being fetched: it is not
@@ -84,7 +89,7 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
 
     archive: (normalized_url, page_id, indexed) from `prepare_archive`.
     edges:   (src_url, pos, dst_url, stored_url) with normalized src/dst.
-    jobs:    (job_id, origin_url, max_depth).
+    jobs:    (job_id, origin_url, max_depth[, created_at]).
     stop_after: fetch no level deeper than this; the next admitted level is
     left `queued` (a paused crawl, input of C12-C14).
     """
@@ -98,49 +103,47 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
         .filter(F.col("dst_url").isNotNull())
         .repartition(parts, "normalized_url"))
 
+    created = F.col("created_at") if "created_at" in jobs.columns else F.lit(EPOCH)
     seeds = (jobs.select(F.col("job_id").cast("long").alias("job_id"), "origin_url",
-                         F.col("max_depth").cast("int").alias("max_depth"))
+                         F.col("max_depth").cast("int").alias("max_depth"), created.cast("timestamp_ntz").alias("created_at"))
              .withColumn("normalized_url", normalize_url(F.col("origin_url"))))
     valid = seeds.filter(F.col("normalized_url").isNotNull())
     # C2 at depth 0: the first job (smallest id) owns a shared origin
     first = (valid.groupBy("normalized_url")
-             .agg(F.min(F.struct("job_id", "origin_url", "max_depth")).alias("w"))
-             .select("normalized_url", F.col("w.job_id").alias("job_id"),
-                     F.col("w.origin_url").alias("origin_url"), F.col("w.max_depth").alias("max_depth"),
+             .agg(F.min(F.struct("job_id", "origin_url", "max_depth", "created_at")).alias("w"))
+             .select("normalized_url", "w.job_id", "w.origin_url", "w.max_depth", "w.created_at",
                      F.col("w.origin_url").alias("url"), F.lit(0).alias("depth"),
                      F.lit(None).cast("string").alias("discovered_from_url"),
                      F.lit(None).cast("long").alias("parent_page_id"), F.lit(None).cast("long").alias("pos")))
     if rules is not None:
         rules = cut_lineage(rules)
-    level = _admit(first, [], capacity, arch, parts, rules)
+    seen = SeenTable(spark, parts)
     done: list[DataFrame] = []
     metrics = []
-    depth = 0
+    depth, cands = 0, first
     while True:
-        kept, dropped, n_new, n_kept = level
-        metrics.append({"depth": depth, "admitted": n_new, "frontier": n_kept, "dropped": n_new - n_kept})
-        if stop_after is not None and depth > stop_after:
-            kept = kept.withColumns({
-                "page_id": F.lit(None).cast("long"), "indexed": F.lit(False),
-                "state": F.lit("queued"), "error_message": F.lit(None).cast("string")})
-        done.append(kept)
-        if dropped is not None:
-            done.append(dropped)
-        if n_kept == 0 or (stop_after is not None and depth > stop_after):
+        level = _admit(cands, seen if depth else None, arch, parts, rules)
+        n_new = level.count()
+        metrics.append({"depth": depth, "admitted": n_new})
+        paused = stop_after is not None and depth > stop_after
+        done.append(level.withColumns({
+            "page_id": F.lit(None).cast("long"), "indexed": F.lit(False), "state": F.lit("queued"),
+            "error_message": F.lit(None).cast("string"), "fetched_at": F.lit(None).cast("timestamp_ntz")}) if paused else level)
+        if n_new == 0 or paused:
             break
-        expand = kept.filter(F.col("indexed") & (F.col("depth") < F.col("max_depth")))
-        cand = (expand.select("normalized_url", "job_id", "origin_url", "max_depth", "depth",
+        seen.add(level)
+        expand = level.filter(F.col("indexed") & (F.col("depth") < F.col("max_depth")))
+        cand = (expand.select("normalized_url", "job_id", "origin_url", "max_depth", "created_at", "depth",
                               F.col("page_id").alias("parent_page_id"))
                 .join(out_edges, "normalized_url")
                 .select(F.col("dst_url").alias("normalized_url"),
                         F.struct("job_id", "parent_page_id", "pos",
-                                 F.col("stored_url").alias("url"), "origin_url", "max_depth",
+                                 F.col("stored_url").alias("url"), "origin_url", "max_depth", "created_at",
                                  F.col("normalized_url").alias("discovered_from_url"),
                                  (F.col("depth") + 1).alias("depth")).alias("c")))
-        best = (cand.groupBy("normalized_url").agg(F.min("c").alias("c"))
-                .select("normalized_url", "c.*"))
-        level = _admit(best, done, capacity, arch, parts, rules)
+        cands = cand.groupBy("normalized_url").agg(F.min("c").alias("c")).select("normalized_url", "c.*")
         depth += 1
+    seen.drop()
 
     discovered = done[0]
     for d in done[1:]:
@@ -149,35 +152,47 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
     page_disc = (discovered.filter(F.col("state") == "processed")
                  .filter(F.col("page_id").isNotNull())
                  .select("page_id", "job_id", "origin_url", "depth").dropDuplicates())
-    status = (seeds.select("job_id", "origin_url", "max_depth",
+    status = (seeds.select("job_id", "origin_url", "max_depth", "created_at",
                            F.when(F.col("normalized_url").isNull(), "failed")
                            .otherwise("completed").alias("status")))
     return CrawlResult(discovered, page_disc, metrics, status)
 
 
-def _admit(cands: DataFrame, seen: list[DataFrame], capacity, arch: DataFrame, parts: int,
-           rules: DataFrame | None = None):
-    """C2 + C3 + C11 for one level: drop URLs seen at any earlier level, look
-    the rest up in the archive (fetch outcome), write the level once, and cap
-    it to the frontier capacity (the rest is `skipped`)."""
-    new = cands
-    for lvl in seen:
-        new = new.join(lvl.select("normalized_url"), "normalized_url", "left_anti")
+class SeenTable:
+    """The URLs of all levels so far, bucketed by URL and appended level by level. It is
+    a table of the session's catalog over files in the shared checkpoint folder."""
+
+    def __init__(self, spark: SparkSession, buckets: int):
+        self.spark, self.buckets = spark, buckets
+        self.name = f"trawl_seen_{uuid.uuid4().hex[:12]}"
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/{self.name}"
+
+    def add(self, level: DataFrame) -> None:
+        """`level` is dealt by URL already, so a task writes the file of one bucket."""
+        (level.select("normalized_url").write.mode("append").format("parquet").option("path", self.path)
+         .bucketBy(self.buckets, "normalized_url").sortBy("normalized_url").saveAsTable(self.name))
+
+    def unseen(self, cands: DataFrame) -> DataFrame:
+        return cands.join(self.spark.table(self.name), "normalized_url", "left_anti")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def _admit(cands: DataFrame, seen: SeenTable | None, arch: DataFrame, parts: int,
+           rules: DataFrame | None = None) -> DataFrame:
+    """C2 + C11 for one level: drop URLs seen at any earlier level, look the rest up
+    in the archive (fetch outcome), write the level once."""
+    new = cands if seen is None else seen.unseen(cands)
     if rules is not None:
         # the robots test reads the level twice
         new = allowed(cut_lineage(new), rules)
-    level = cut_lineage(_fetch(new, arch).repartition(parts, "normalized_url"))
-    n_new = level.count()
-    if capacity is None or n_new <= capacity:
-        return level, None, n_new, n_new
-    order = [F.col("job_id"), F.col("parent_page_id").asc_nulls_first(), F.col("pos").asc_nulls_first(),
-             F.col("normalized_url")]
-    kept = cut_lineage(level.orderBy(*order).limit(int(capacity)).repartition(parts, "normalized_url"))
-    dropped = cut_lineage(
-        level.join(kept.select("normalized_url"), "normalized_url", "left_anti")
-        .withColumns({"state": F.lit("skipped"), "page_id": F.lit(None).cast("long"),
-                      "indexed": F.lit(False), "error_message": F.lit(None).cast("string")}))
-    return kept, dropped, n_new, int(capacity)
+    return cut_lineage(_fetch(new, arch).repartition(parts, "normalized_url"))
+
+
+def _fetched_at() -> Column:
+    seconds = F.col("depth") * LEVEL_SECONDS + F.pmod(F.coalesce("pos", F.lit(0).cast("long")), F.lit(LEVEL_SECONDS))
+    return F.col("created_at") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def _fetch(frontier: DataFrame, arch: DataFrame) -> DataFrame:
@@ -189,6 +204,7 @@ def _fetch(frontier: DataFrame, arch: DataFrame) -> DataFrame:
     return (f.withColumns({
         "state": F.when(ok & missing, "failed").otherwise("processed"),
         "error_message": F.when(~ok, F.lit(BLOCKED)).when(missing, F.lit("not in archive")),
+        "fetched_at": _fetched_at(),
         "page_id": F.when(ok, F.col("page_id")),
         "indexed": ok & F.coalesce(F.col("indexed"), F.lit(False))}).drop("allowed"))
 
@@ -204,40 +220,22 @@ def frontier_of(discovered: DataFrame, jobs: DataFrame | None = None) -> DataFra
     return q.withColumn("seq", F.struct("depth", "job_id", "parent_page_id", "pos"))
 
 
-def dequeue(frontier: DataFrame, n: int) -> DataFrame:
-    """C4: the n oldest frontier items (FIFO by the queue order)."""
-    return frontier.orderBy(F.col("depth"), F.col("job_id"), F.col("parent_page_id").asc_nulls_first(),
-                            F.col("pos").asc_nulls_first(), F.col("normalized_url")).limit(n)
-
-
-def clear_job(frontier: DataFrame, job_id: int) -> DataFrame:
-    """Drop a job's frontier rows."""
-    return frontier.filter(F.col("job_id") != F.lit(job_id))
-
-
-def frontier_stats(frontier: DataFrame, capacity: int = DEFAULT_CAPACITY) -> DataFrame:
-    """C14: size and saturation."""
-    return frontier.agg(F.count(F.lit(1)).alias("size")).select(
-        "size", F.lit(capacity).cast("long").alias("capacity"),
-        (F.col("size") >= capacity).alias("saturated"))
-
-
 def lineage_paths(discovered: DataFrame, max_depth: int) -> DataFrame:
-    """Origin-to-page path of every processed URL, by iterative self-join
-    on discovered_from_url (one join per level, at most max_depth).
+    """Origin-to-page path of every URL, by path doubling: each row holds the path
+    from some ancestor on and the URL before it; a round puts the ancestor's own path
+    in front, so paths of `max_depth` links need log2 of that many rounds.
 
-    A finished path has no next URL; its join key is its own URL behind a
+    A finished path has no URL before it; its join key is its own URL behind a
     control character, which no URL holds, so finished rows match nothing and
     are spread over the tasks instead of sharing a null key."""
-    base = discovered.select("normalized_url", "job_id", "depth", "discovered_from_url")
-    cur = base.select("normalized_url", "job_id", "depth",
-                      F.col("discovered_from_url").alias("at"), F.col("normalized_url").alias("path"))
-    parents = base.select(F.col("normalized_url").alias("key"),
-                          F.col("discovered_from_url").alias("next_at"))
-    for _ in range(max_depth):
+    cur = discovered.select("normalized_url", "job_id", "depth", F.col("discovered_from_url").alias("at"),
+                            F.col("normalized_url").alias("path"))
+    for _ in range(math.ceil(math.log2(max_depth + 1))):
+        cur = materialize(cur, "lineage")
+        before = cur.select(F.col("normalized_url").alias("key"), F.col("at").alias("next_at"), F.col("path").alias("front"))
         key = F.coalesce("at", F.concat(F.lit("\x01"), "normalized_url"))
-        cur = (cur.withColumn("key", key).join(parents, "key", "left")
+        front = F.coalesce("front", "at")   # a URL that is no row stands for itself
+        cur = (cur.withColumn("key", key).join(before, "key", "left")
                .select("normalized_url", "job_id", "depth", F.col("next_at").alias("at"),
-                       F.when(F.col("at").isNotNull(), F.concat_ws(" > ", F.col("at"), F.col("path")))
-                       .otherwise(F.col("path")).alias("path")))
+                       F.when(F.col("at").isNotNull(), F.concat_ws(" > ", front, F.col("path"))).otherwise(F.col("path")).alias("path")))
     return cur.drop("at")

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.operators.crawl import DEFAULT_CAPACITY
-
+# Fixed value of the reference (default frontier capacity).
+DEFAULT_CAPACITY = 10_000
 ACTIVE_STATES = ("queued", "running")
 RECENT_ERRORS_DEFAULT, RECENT_ERRORS_STATUS = 10, 5
 
@@ -50,8 +50,8 @@ def active_jobs(jobs_with_status: DataFrame) -> DataFrame:
 
 
 def job_list(jobs_with_status: DataFrame) -> DataFrame:
-    """Newest first (jobs are created in job_id order)."""
-    return jobs_with_status.orderBy(F.desc("job_id"))
+    """Newest first."""
+    return jobs_with_status.orderBy(F.desc("created_at"), F.desc("job_id"))
 
 
 def job_summary(jobs_with_status: DataFrame, discovered: DataFrame) -> DataFrame:
@@ -64,15 +64,18 @@ def url_state_stats(discovered: DataFrame) -> DataFrame:
     return discovered.groupBy("state").agg(F.count(F.lit(1)).alias("count"))
 
 
+def frontier_count(discovered: DataFrame) -> DataFrame:
+    """How many URLs wait."""
+    return discovered.agg(F.count_if(F.col("state") == "queued").alias("count"))
+
+
 def recent_errors(discovered: DataFrame, limit: int = RECENT_ERRORS_DEFAULT) -> DataFrame:
-    """Failed URLs, most recently fetched first. Fetch order is the crawl
-    order (depth, job, parent, position), so "recent" is its reverse."""
+    """Failed URLs, most recently fetched first."""
     return (discovered.filter(F.col("state") == "failed")
-            .orderBy(F.desc("depth"), F.desc("job_id"), F.desc_nulls_last("parent_page_id"),
-                     F.desc_nulls_last("pos"), F.desc("normalized_url"))
+            .orderBy(F.desc("fetched_at"), F.desc("normalized_url"))
             .limit(limit)
             .select("normalized_url", "error_message", F.lit(None).cast("int").alias("http_status"),
-                    "depth", "job_id"))
+                    "fetched_at", "depth", "job_id"))
 
 
 def status_row(jobs_with_status: DataFrame, discovered: DataFrame,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from trawl.functions.html import js_trim
 from trawl.functions.urls import url_parts
 from trawl.operators._util import broadcast_if_small
+from trawl.session import cut_lineage
 
 DEFAULT_AGENT_TOKEN = "trawl"
 
@@ -46,18 +47,20 @@ def parse_rules(robots: DataFrame, agent_token: str = DEFAULT_AGENT_TOKEN) -> Da
 def allowed(urls: DataFrame, rules: DataFrame, url_col: str = "normalized_url") -> DataFrame:
     """Adds `allowed` to every row of `urls`.
 
-    Rules are joined on host (broadcast when their counted size allows, so a
-    hot host never concentrates URL rows in one task) with a prefix test; the
-    best-ranked matching rule decides."""
+    A path is tried only at the lengths that its host's rules have: those prefixes
+    meet the rules by equality, never paths times rules. The best-ranked rule
+    decides, once for each distinct (host, path)."""
     parts = url_parts(F.col(url_col))
     u = urls.withColumn("_p", parts).withColumn("_host", F.col("_p.host")).withColumn("_path", F.col("_p.path"))
     u = u.drop("_p")
-    r, _ = broadcast_if_small(rules.select(F.col("host").alias("_host"), "path", "allow", "rank"))
-    # decide once per distinct (host, path); the partial aggregate keeps a
-    # hot host spread over many tasks
-    m = (u.select("_host", "_path").distinct().join(r, "_host")
-         .filter(F.col("_path").startswith(F.col("path")))
-         .groupBy("_host", "_path").agg(F.min_by("allow", "rank").alias("_allow")))
+    r = cut_lineage(rules.select(F.col("host").alias("_host"), "path", "allow", "rank"))
+    lengths, _ = broadcast_if_small(r.groupBy("_host").agg(F.collect_set(F.length("path")).alias("_lengths")))
+    first, _ = broadcast_if_small(r.groupBy("_host", F.col("path").alias("_prefix")).agg(
+        F.min(F.struct("rank", "allow")).alias("_rule")))
+    tried = u.select("_host", "_path").distinct().join(lengths, "_host").select("_host", "_path", F.explode(F.transform(
+        F.filter("_lengths", lambda n: n <= F.length("_path")), lambda n: F.substring(F.col("_path"), F.lit(1), n))).alias("_prefix"))
+    m = (tried.join(first, ["_host", "_prefix"])
+         .groupBy("_host", "_path").agg(F.min("_rule")["allow"].alias("_allow")))
     return (u.join(m, ["_host", "_path"], "left")
             .withColumn("allowed", F.coalesce(F.col("_allow"), F.lit(True)))
             .drop("_host", "_path", "_allow"))

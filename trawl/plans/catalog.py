@@ -182,9 +182,7 @@ QUERIES: dict[str, Query] = {
 from trawl.operators import crawl as C  # noqa: E402
 from trawl.plans import derived  # noqa: E402
 
-BOUNDED_CAPACITY = 100
-BACK_PRESSURE_CAPACITY = 64
-DEQUEUE_N = 10
+BOUNDED_CAPACITY = 100   # that the status row reports against
 
 
 def q_crawl_bfs(spark, sf):
@@ -205,11 +203,6 @@ def q_crawl_lineage(spark, sf):
         "normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "path")
 
 
-def q_crawl_back_pressure(spark, sf):
-    r = derived.run_crawl(spark, sf, capacity=BACK_PRESSURE_CAPACITY)
-    return r.discovered.select("normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "state")
-
-
 def q_frontier_admit(spark, sf):
     r = derived.run_crawl(spark, sf, depth=1)
     return (r.discovered.filter(F.col("depth") == 1)
@@ -217,17 +210,6 @@ def q_frontier_admit(spark, sf):
                     "discovered_from_url", "parent_page_id", "pos"))
 
 
-def q_frontier_bounded(spark, sf):
-    r = derived.run_crawl(spark, sf, depth=1, capacity=BOUNDED_CAPACITY)
-    return r.discovered.select("normalized_url", "job_id", F.col("depth").cast("long").alias("depth"), "state")
-
-
-def q_frontier_dequeue(spark, sf):
-    r = derived.run_crawl(spark, sf, depth=1)
-    return C.dequeue(r.discovered, DEQUEUE_N).select("normalized_url", "job_id",
-                                                     F.col("depth").cast("long").alias("depth"))
-
-
 def _paused(spark, sf):
     """A crawl paused after fetching level 1: level 2 is admitted, not fetched."""
     return derived.run_crawl(spark, sf, depth=2, stop_after=1)
@@ -240,9 +222,9 @@ def q_frontier_pending(spark, sf):
                        "discovered_from_url")
 
 
-def q_frontier_stats(spark, sf):
-    r = _paused(spark, sf)
-    return C.frontier_stats(C.frontier_of(r.discovered))
+def q_frontier_count(spark, sf):
+    """J6."""
+    return R.frontier_count(_paused(spark, sf).discovered)
 
 
 QUERIES.update({
@@ -251,6 +233,7 @@ QUERIES.update({
     "crawl_lineage": q_crawl_lineage,
     "frontier_admit": q_frontier_admit,
     "frontier_pending": q_frontier_pending,
+    "frontier_count": q_frontier_count,
 })
 
 
@@ -278,6 +261,13 @@ def q_search_batch(spark, sf):
                                top_k=search.CLI_TOP_K)
 
 
+def q_search_stop_words(spark, sf):
+    """Q14: of the titles as queries, every second one replaced by stop words, which find nothing."""
+    d, r = _crawled(spark, sf)
+    qs = batch_queries(spark, sf).withColumn("query", F.when(F.col("query_id") % 2 == 0, "the Of  and").otherwise(F.col("query")))
+    return batch.batch_search(index.inverted_index(d), d, r.page_discoveries, qs, top_k=1)
+
+
 def _relevance(spark, sf, sort_by="relevance", page=1, limit=None):
     d, r = _crawled(spark, sf)
     post = index.postings_for_terms(d, search.tokenize_py(QUERY_RELEVANCE))
@@ -374,7 +364,8 @@ def q_job_counters(spark, sf):
 def q_job_list(spark, sf):
     r = derived.run_crawl(spark, sf, depth=2, stop_after=1)
     return R.job_list(_status_jobs(spark, sf, r)).select(
-        "job_id", "origin_url", F.col("max_depth").cast("long").alias("max_depth"), "status")
+        "job_id", "origin_url", F.col("max_depth").cast("long").alias("max_depth"), "status",
+        F.col("created_at").cast("string").alias("created_at"))
 
 
 def q_jobs_active(spark, sf):
@@ -397,7 +388,8 @@ def q_url_state_stats(spark, sf):
 def q_recent_errors(spark, sf):
     r = _real(spark, sf)
     return R.recent_errors(r.discovered, R.RECENT_ERRORS_STATUS).select(
-        "normalized_url", "error_message", F.col("depth").cast("long").alias("depth"), "job_id")
+        "normalized_url", "error_message", F.col("fetched_at").cast("string").alias("fetched_at"),
+        F.col("depth").cast("long").alias("depth"), "job_id")
 
 
 def q_status_row(spark, sf):
@@ -478,8 +470,7 @@ def q_export_lookup(spark, sf):
         "term", "url", "origin_url", "depth", "frequency")
 
 
-# ------------------------------------------------------- robots, fetch plan
-from trawl.operators import fetch_plan as FP  # noqa: E402
+# ------------------------------------------------------------------ robots
 from trawl.operators import robots as RB  # noqa: E402
 
 
@@ -492,16 +483,6 @@ def q_robots_allowed(spark, sf):
     return RB.allowed(urls, RB.parse_rules(derived.robots(spark, sf))).select("page_id", "normalized_url", "allowed")
 
 
-def q_fetch_plan(spark, sf):
-    r = derived.run_crawl(spark, sf)
-    from trawl.functions.urls import hostname
-    u = (r.discovered.filter(F.col("state") == "processed")
-         .select("normalized_url", "depth", "job_id", "parent_page_id", "pos",
-                 hostname(F.col("normalized_url")).alias("host")))
-    plan = FP.fetch_plan(u, ["depth", "job_id", "parent_page_id", "pos", "normalized_url"])
-    return plan.select("normalized_url", "host", "global_rank", "host_rank", "start_ms")
-
-
 # --------------------------------------------------------------- streaming
 def _stream_dirs(spark, name):
     base = checkpoint_dir(spark)
@@ -565,6 +546,7 @@ def q_stream_counts(spark, sf):
 QUERIES.update({
     "search_triples": q_search_triples,
     "search_batch": q_search_batch,
+    "search_stop_words": q_search_stop_words,
     "search_relevance": q_search_relevance,
     "search_relevance_terms": q_search_relevance_terms,
     "search_by_frequency": q_search_by_frequency,

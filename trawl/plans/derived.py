@@ -6,7 +6,8 @@
   table: target page_id = first 15 hex digits of md5(page_id || '|' || href)
   modulo the page count (page ids are 0..n-1);
 * crawl jobs: one job per host, whose origin is the host's lowest page_id
-  page; job_id = that page_id; all with max_depth = CRAWL_DEPTH.
+  page; job_id = that page_id; all with max_depth = CRAWL_DEPTH, created at a
+  second of one day that follows from the id.
 
 All three grow with the table; the crawl runs over all of it.
 """
@@ -84,13 +85,11 @@ class Corpus:
             F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("string").alias("content_type"))
         return C.prepare_archive(self.docs(), fetched.filter(F.col("normalized_url").isNotNull()))
 
-    def crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None, stop_after=None,
-              rules: DataFrame | None = None) -> C.CrawlResult:
-        return C.crawl(self.archive(), self.closure_edges(), self.jobs(depth), capacity=capacity,
-                       stop_after=stop_after, rules=rules)
+    def crawl(self, depth: int = CRAWL_DEPTH, stop_after=None, rules: DataFrame | None = None) -> C.CrawlResult:
+        return C.crawl(self.archive(), self.closure_edges(), self.jobs(depth), stop_after=stop_after, rules=rules)
 
-    def real_crawl(self, depth: int = CRAWL_DEPTH, capacity: int | None = None) -> C.CrawlResult:
-        return C.crawl(C.prepare_archive(self.docs()), self.real_edges(), self.jobs(depth), capacity=capacity)
+    def real_crawl(self, depth: int = CRAWL_DEPTH) -> C.CrawlResult:
+        return C.crawl(C.prepare_archive(self.docs()), self.real_edges(), self.jobs(depth))
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,17 +101,17 @@ def jobs(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> DataFrame:
     first = p.filter(F.col("host").isNotNull()).groupBy("host").agg(F.min_by("url", "page_id").alias("origin_url"),
                                                                       F.min("page_id").alias("job_id"))
     return first.select(F.col("job_id").cast("long").alias("job_id"), "origin_url",
-                        F.lit(depth).cast("int").alias("max_depth"))
+                        F.lit(depth).cast("int").alias("max_depth"),
+                        (F.lit(C.EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+                            secs=((F.col("job_id") * 7919) % 86400).cast("decimal(18,6)"))).alias("created_at"))
 
 
-def run_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH, capacity: int | None = None,
-              stop_after=None) -> C.CrawlResult:
-    return Corpus(spark, sf).crawl(depth, capacity, stop_after)
+def run_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH, stop_after=None) -> C.CrawlResult:
+    return Corpus(spark, sf).crawl(depth, stop_after)
 
 
-def run_real_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH,
-                   capacity: int | None = None) -> C.CrawlResult:
-    return Corpus(spark, sf).real_crawl(depth, capacity)
+def run_real_crawl(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> C.CrawlResult:
+    return Corpus(spark, sf).real_crawl(depth)
 
 
 def page_lang(html: str = "html"):

@@ -191,21 +191,14 @@ def _crawl_ctes(k: int, edges: str = "edges", more: list[tuple[str, str]] | None
     return ctes
 
 
-def _bounded_ctes(cap: int) -> list[tuple[str, str]]:
-    """k = 1 crawl with a frontier of `cap` URLs at each level."""
-    ctes = _crawl_base_ctes()
-    ctes.append(("l0", f"SELECT s.*, row_number() OVER (ORDER BY job_id, normalized_url) <= {cap} AS kept FROM seeds s"))
-    ctes.append(("c1", "SELECT e.dst_url AS normalized_url, min({'job_id': l0.job_id, 'pid': e.src_page_id, "
-                       "'pos': e.pos, 'src': e.src_url}) AS w FROM l0 JOIN edges e ON e.src_url = l0.normalized_url "
-                       "WHERE l0.kept GROUP BY e.dst_url"))
-    ctes.append(("n1", "SELECT * FROM c1 WHERE normalized_url NOT IN (SELECT normalized_url FROM l0)"))
-    ctes.append(("l1", f"SELECT normalized_url, w, row_number() OVER (ORDER BY w.job_id, w.pid, w.pos, normalized_url) "
-                       f"<= {cap} AS kept FROM n1"))
-    ctes.append(("bounded", "SELECT normalized_url, job_id, CAST(0 AS BIGINT) AS depth, "
-                            "CASE WHEN kept THEN 'processed' ELSE 'skipped' END AS state FROM l0 "
-                            "UNION ALL SELECT normalized_url, w.job_id, CAST(1 AS BIGINT), "
-                            "CASE WHEN kept THEN 'processed' ELSE 'skipped' END FROM l1"))
-    return ctes
+def _shallow_ctes() -> list[tuple[str, str]]:
+    """k = 1 crawl."""
+    return _crawl_base_ctes() + [
+        ("c1", "SELECT e.dst_url AS normalized_url, min({'job_id': s.job_id, 'pid': e.src_page_id, 'pos': e.pos, 'src': e.src_url}) AS w "
+               "FROM seeds s JOIN edges e ON e.src_url = s.normalized_url GROUP BY e.dst_url"),
+        ("shallow", "SELECT normalized_url, job_id, CAST(0 AS BIGINT) AS depth, 'processed' AS state FROM seeds "
+                    "UNION ALL SELECT normalized_url, w.job_id, CAST(1 AS BIGINT), 'processed' FROM c1 "
+                    "WHERE normalized_url NOT IN (SELECT normalized_url FROM seeds)")]
 
 
 def build_crawl(q: dict[str, str]) -> None:
@@ -224,22 +217,11 @@ def build_crawl(q: dict[str, str]) -> None:
     c1 = _crawl_ctes(1)
     q["frontier_admit"] = P.with_ctes(c1, "SELECT normalized_url, url, job_id, depth, discovered_from_url, "
                                           "parent_page_id, pos FROM disc WHERE depth = 1")
-    q["frontier_bounded"] = P.with_ctes(_bounded_ctes(catalog_bounded_cap()),
-                                        "SELECT normalized_url, job_id, depth, state FROM bounded")
-    q["frontier_dequeue"] = P.with_ctes(c1, "SELECT normalized_url, job_id, depth FROM disc ORDER BY depth, job_id, "
-                                            "parent_page_id NULLS FIRST, pos NULLS FIRST, normalized_url "
-                                            f"LIMIT {catalog.DEQUEUE_N}")
     c2 = _crawl_ctes(2)
     q["frontier_pending"] = P.with_ctes(
         c2, "SELECT d.normalized_url, d.url, d.job_id, j.origin_url, d.depth, d.discovered_from_url "
             "FROM disc d JOIN jobs j USING (job_id) WHERE d.depth = 2")
-    q["frontier_stats"] = P.with_ctes(
-        c2, f"SELECT CAST(count(*) AS BIGINT) AS size, CAST(10000 AS BIGINT) AS capacity, "
-            f"count(*) >= 10000 AS saturated FROM disc WHERE depth = 2")
-
-
-def catalog_bounded_cap() -> int:
-    return catalog.BOUNDED_CAPACITY
+    q["frontier_count"] = P.with_ctes(c2, "SELECT CAST(count(*) AS BIGINT) AS count FROM disc WHERE depth = 2")
 
 
 # ------------------------------------------------------- search over a crawl
@@ -302,6 +284,7 @@ def build_more(q: dict[str, str]) -> None:
     c.append(("br", "SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, page_id, "
                     "origin_url, depth) AS BIGINT) AS rank FROM bt"))
     q["search_batch"] = P.with_ctes(c, f"SELECT * FROM br WHERE rank <= {20}")
+    q["search_stop_words"] = P.with_ctes(c, "SELECT * FROM br WHERE rank <= 1 AND query_id % 2 = 1")
 
     # Q9-Q13
     rc = _relevance_ctes()
@@ -383,21 +366,22 @@ def build_more(q: dict[str, str]) -> None:
         real, f"SELECT j.job_id, j.origin_url, CAST({derived.CRAWL_DEPTH} AS BIGINT) AS max_depth, "
               f"'completed' AS status, rc.* EXCLUDE (job_id) FROM jobs j JOIN rc USING (job_id)")
     q["recent_errors"] = P.with_ctes(
-        real, "SELECT normalized_url, error_message, depth, job_id FROM rdisc WHERE state = 'failed' "
-              "ORDER BY depth DESC, job_id DESC, parent_page_id DESC NULLS LAST, pos DESC NULLS LAST, "
-              "normalized_url DESC LIMIT 5")
+        real, "SELECT normalized_url, error_message, strftime(TIMESTAMP '2024-01-01' + to_seconds(job_id * 7919 % 86400 "
+              "+ depth * 60 + coalesce(pos, 0) % 60), '%Y-%m-%d %H:%M:%S') AS fetched_at, depth, job_id FROM rdisc "
+              "WHERE state = 'failed' ORDER BY fetched_at DESC, normalized_url DESC LIMIT 5")
 
     # J2/J3 over the paused crawl (level 2 admitted, not fetched)
     c2 = _crawl_ctes(2) + [("js", "SELECT j.job_id, j.origin_url, CAST(2 AS BIGINT) AS max_depth, "
                                   "CASE WHEN count_if(d.depth = 2) > 0 THEN 'running' ELSE 'completed' END AS status "
                                   "FROM jobs j LEFT JOIN disc d USING (job_id) GROUP BY ALL")]
-    q["job_list"] = P.with_ctes(c2, "SELECT * FROM js")
+    q["job_list"] = P.with_ctes(c2, "SELECT *, strftime(TIMESTAMP '2024-01-01' + to_seconds(job_id * 7919 % 86400), "
+                                    "'%Y-%m-%d %H:%M:%S') AS created_at FROM js")
     q["jobs_active"] = P.with_ctes(c2, "SELECT job_id, origin_url, status FROM js WHERE status IN ('queued', 'running')")
 
     # J5/J8 over the whole depth-1 crawl; J8 reports against a capacity
     cap = catalog.BOUNDED_CAPACITY
-    b = _bounded_ctes(1 << 60)
-    q["url_state_stats"] = P.with_ctes(b, "SELECT state, CAST(count(*) AS BIGINT) AS count FROM bounded GROUP BY state")
+    b = _shallow_ctes()
+    q["url_state_stats"] = P.with_ctes(b, "SELECT state, CAST(count(*) AS BIGINT) AS count FROM shallow GROUP BY state")
     q["status_row"] = P.with_ctes(
         b, "SELECT CAST(count_if(b.state = 'processed') AS BIGINT) AS processed_count, "
            "CAST(count_if(b.state = 'failed') AS BIGINT) AS error_count, "
@@ -406,7 +390,7 @@ def build_more(q: dict[str, str]) -> None:
            "CAST(0 AS BIGINT) AS active_jobs, CAST(count_if(b.state = 'queued') AS BIGINT) AS queue_depth, "
            f"CAST({cap} AS BIGINT) AS max_queue_depth, count_if(b.state = 'queued') >= {cap} AS queue_saturated, "
            "CAST(count_if(b.state = 'skipped') AS BIGINT) AS dropped_urls "
-           "FROM bounded b LEFT JOIN docs d USING (normalized_url)")
+           "FROM shallow b LEFT JOIN docs d USING (normalized_url)")
 
     # Purge the first job
     pc = _crawl_ctes(derived.CRAWL_DEPTH) + _postings_ctes() + [
@@ -479,16 +463,6 @@ def build_more(q: dict[str, str]) -> None:
         "CASE WHEN b.node IS NULL THEN d.page_id END AS page_id, b.node IS NOT NULL AS blocked "
         "FROM disc d LEFT JOIN blk b ON b.node = d.normalized_url")
 
-    # C10
-    fh =P.url_facts("normalized_url")["host"]
-    order = "depth, job_id, parent_page_id NULLS FIRST, pos NULLS FIRST, normalized_url"
-    q["fetch_plan"] = P.with_ctes(
-        _crawl_ctes(derived.CRAWL_DEPTH) + [
-            ("fp", f"SELECT normalized_url, {fh} AS host, CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) "
-                   f"AS global_rank, CAST(row_number() OVER (PARTITION BY {fh} ORDER BY {order}) - 1 AS BIGINT) "
-                   f"AS host_rank FROM disc WHERE state = 'processed'")],
-        "SELECT *, greatest(host_rank * 1000, CAST(floor(global_rank / 20) AS BIGINT) * 1000) AS start_ms FROM fp")
-
     # ST1-ST6: first fetch of each URL wins
     sc = _docs_first_ctes()
     q["stream_index"] = P.with_ctes(sc + _postings_ctes(), "SELECT page_id, field, term, frequency, letter FROM post")
