@@ -508,3 +508,21 @@ def test_empty_tables(spark, no_docs):
     assert decontamination.contaminated(no_docs, items).count() == 0
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.chat_digest(chat.format_chat(rows)).count() == 0
+
+
+def test_samples_are_bounded_in_rows(spark, monkeypatch):
+    """An id with thousands of rows, labelled or not, is one row of a sample."""
+    rows = [(1, f"word{i} one", "en", "a", i) for i in range(3000)] + [(2, f"pool{i}", "en", "b", i) for i in range(3000)]
+    rows += [(i, f"text {i} fine words", "en", "a", 5) for i in range(3, 60)] + [(1, None, None, None, None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1, 1)] + [(i, i % 2, i % 2) for i in range(3, 30)] * 2, "doc_id long, quality int, toxic int")
+    for n in (1, 5, 1000):
+        got = toxicity.labelled_sample(docs, labels, "toxic", n).collect()
+        assert len(got) == len({r["doc_id"] for r in got}) <= n
+    sizes = []
+    monkeypatch.setattr(quality_classifier, "co_train", lambda x, y, pool, aside, y_aside: sizes.append((len(y) + len(y_aside), len(pool[0]))) or real(x, y, pool, aside, y_aside))
+    assert quality_classifier.classify(docs, labels, labelled=10, pool=20).count() == len(rows)
+    assert sizes == [(10, 20)]
+
+
+real = quality_classifier.co_train

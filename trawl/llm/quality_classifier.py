@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import batch_of, held_out, stored
 from trawl.llm.logistic import Logistic
-from trawl.llm.toxicity import labelled_sample
+from trawl.llm.toxicity import labelled_sample, one_row_each
 
 LABELLED = 10_000       # labelled rows that are used, at most
 POOL = 10_000           # unlabelled rows that get pseudo-labels, at most
@@ -115,16 +115,17 @@ def classify(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool:
     score is the labels' share (0.5 without any). No rows give no rows; other
     columns are ignored."""
     meta = [F.col(c).cast(kind).alias(c) for c, kind in _VIEW]
-    picked = labelled_sample(docs.select("doc_id", "text"), labels, "quality", labelled).select("doc_id", "y").groupBy("doc_id").agg(F.max("y").alias("y"))
+    picked = labelled_sample(docs.select("doc_id", "text"), labels, "quality", labelled).select("doc_id", "y")
     others = (docs.join(labels.select(F.col("doc_id").cast("long").alias("known")).distinct(),
                         F.col("doc_id").cast("long") == F.col("known"), "left_anti")
               .where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-              .select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("int").alias("y"))
+              .select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("y", F.lit(None).cast("int"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool))
-    # Ids are bounded by the two parameters, so they are broadcast and no text is shuffled.
+    # Ids are bounded by the two parameters, so they are broadcast, and each has one row of the sample.
     ids = stored(picked.union(others), "quality-ids").withColumnRenamed("doc_id", "id")
-    sample = docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("id")).select(
-        F.col("id"), "y", F.col("text").cast("string").alias("text"), *meta)
+    view = ["text", *(c for c, _ in _VIEW)]
+    sample = one_row_each(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), *meta)
+                          .join(F.broadcast(ids), "id"), view).select("id", "y", *view)
 
     def features(batches):
         schema = [("id", pa.int64()), ("y", pa.int32()), ("t", pa.list_(pa.float64())), ("m", pa.list_(pa.float64()))]

@@ -202,14 +202,22 @@ def misspelled(text: str | None, terms: dict[str, float]) -> str:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """(doc_id, text, y) of at most `sample` labelled rows outside the held-out
-    ones, those of the least hash. The ids are bounded by the parameter, so they
-    are broadcast and no text is shuffled."""
+    """(doc_id, text, y) of at most `sample` labelled ids outside the held-out ones,
+    those of the least hash, with one row each: of several rows of an id, the text of
+    the least hash. The ids are bounded by the parameter, so they are broadcast, and a
+    task sends on one row of an id at most."""
     ids = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
            .orderBy(F.xxhash64("id"), "id").limit(sample))
-    return (docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("id"))
-            .select(F.col("id").alias("doc_id"), F.col("text").cast("string").alias("text"), "y"))
+    return one_row_each(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+                        .join(F.broadcast(ids), "id"), ["text"]).withColumnRenamed("id", "doc_id")
+
+
+def one_row_each(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(id, *columns, y) of the row of each id whose columns have the least hash."""
+    own = F.struct(*columns)
+    least = F.min_by(own, F.struct(F.xxhash64(*columns), own)).alias("own")
+    return rows.groupBy("id", "y").agg(least).select("id", *[F.col(f"own.{c}").alias(c) for c in columns], "y")
 
 
 def learn_lexicon(train: DataFrame) -> dict[str, float]:
