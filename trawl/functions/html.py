@@ -21,14 +21,17 @@ TITLE_MAX_CHARS = 500
 TEXT_MAX_CHARS = 100_000
 LINK_RE = (r"(?i)<a" + JS_WS + r"[^>]*href" + JS_WS + r"*=" + JS_WS
            + r"*[\x22\x27]([^\x22\x27]*?)[\x22\x27][^>]*>")
-# What is dropped from the visible text, in order, and what each of them ends with.
+# What is dropped from the visible text, in order, with what it begins and ends with.
 BLOCKS = (
-    (r"(?i)<script[\s\S]*?</script>", r"</script>"),
-    (r"(?i)<style[\s\S]*?</style>", r"</style>"),
-    (r"(?i)<noscript[\s\S]*?</noscript>", r"</noscript>"),
-    (r"<!--[\s\S]*?-->", r"-->"),
-    (r"<[^>]+>", r">"),
+    (r"(?i)<script[\s\S]*?</script>", "(?i)<script", "</script>"),
+    (r"(?i)<style[\s\S]*?</style>", "(?i)<style", "</style>"),
+    (r"(?i)<noscript[\s\S]*?</noscript>", "(?i)<noscript", "</noscript>"),
+    (r"<!--[\s\S]*?-->", "<!--", "-->"),
+    (r"<[^>]+>", "<", ">"),
 )
+# The first title tag and what stands before the end tag after it. Neither group is
+# tried again further on: a later tag ends later, so it cannot do where the first does not.
+TITLE_RE = r"(?is)^(?>.*?<title)(?>[^>]*>)(.*?)</title>"
 # Named entities decoded, in the order they are applied (case-sensitive).
 NAMED_ENTITIES = [
     ("&amp;", "&"),
@@ -71,26 +74,14 @@ def _upto_last(text: Column, end: str) -> Column:
     return F.regexp_extract(text, f"(?is)^(.*{end})", 1)
 
 
-def _rest(text: Column, head: Column) -> Column:
-    return F.substring(text, F.length(head) + 1, F.length(text))
+def _drop_all(text: Column, pattern: str, begin: str, end: str) -> Column:
+    """A space for each match of `pattern`, which has that begin and end. The text is
+    cut only where something begins behind the last end."""
+    def cut(t):
+        return _bound(_upto_last(t, end), lambda head: F.concat(
+            F.regexp_replace(head, pattern, " "), F.substring(t, F.length(head) + 1, F.length(t))))
 
-
-def _drop_all(text: Column, pattern: str, end: str) -> Column:
-    """A space for each match of `pattern`, which ends with `end`."""
-    return _bound(text, lambda t: _bound(_upto_last(t, end), lambda head: F.concat(
-        F.regexp_replace(head, pattern, " "), _rest(t, head))))
-
-
-def _title_inner(html: Column) -> Column:
-    """What stands between the first title tag and the end tag after it; '' without
-    one. The tag must be closed before the last end tag begins, and a tag that is
-    found there at all is the one: later ones end later."""
-    def inner(before: Column) -> Column:
-        tag = F.regexp_extract(_upto_last(before, ">"), r"(?is)^(.*?<title[^>]*>)", 1)
-        return _bound(tag, lambda t: F.when(t == "", F.lit("")).otherwise(
-            F.regexp_extract(F.concat(_rest(before, t), F.lit("</title>")), r"(?is)^(.*?)</title>", 1)))
-
-    return _bound(F.regexp_extract(html, r"(?is)^(.*)</title>", 1), inner)
+    return _bound(text, lambda t: F.when(F.substring_index(t, end, -1).rlike(begin), cut(t)).otherwise(F.regexp_replace(t, pattern, " ")))
 
 
 def _utf16_char(code: Column) -> Column:
@@ -149,7 +140,7 @@ def decode_entities(c) -> Column:
 
 def extract_title(html) -> Column:
     """H1: first <title>, entities decoded, trimmed, first 500 chars; '' if absent."""
-    inner = _title_inner(F.coalesce(_col(html), F.lit("")))
+    inner = F.regexp_extract(F.coalesce(_col(html), F.lit("")), TITLE_RE, 1)
     return F.left(js_trim(decode_entities(inner)), F.lit(TITLE_MAX_CHARS))
 
 
@@ -158,7 +149,8 @@ def extract_links(html) -> Column:
 
     A tag without a link is consumed up to its end, as an empty match: an anchor that
     begins inside it could only see a part of the same attributes."""
-    upto = _upto_last(F.coalesce(_col(html), F.lit("")), ">")
+    text = F.coalesce(_col(html), F.lit(""))
+    upto = F.when(F.substring_index(text, ">", -1).rlike("(?i)href|<a"), _upto_last(text, ">")).otherwise(text)
     raw = F.regexp_extract_all(upto, F.lit(LINK_RE + "|<a" + JS_WS + "[^>]*"), 1)
     trimmed = F.transform(raw, js_trim)
     return F.array_distinct(F.filter(trimmed, lambda h: h != ""))
@@ -168,8 +160,8 @@ def strip_markup(html) -> Column:
     """H3, first part: script/style/noscript blocks, comments, then every tag,
     each replaced by a space; named entities decoded."""
     t = F.coalesce(_col(html), F.lit(""))
-    for pattern, end in BLOCKS:
-        t = _drop_all(t, pattern, end)
+    for block in BLOCKS:
+        t = _drop_all(t, *block)
     return decode_named(t)
 
 
@@ -191,7 +183,7 @@ def with_page_fields(df: DataFrame, html: str = "html", *, title: str | None = "
     if text:
         pre["_pre_text"] = strip_markup(html)
     if title:
-        pre["_pre_title"] = decode_named(_title_inner(F.coalesce(_col(html), F.lit(""))))
+        pre["_pre_title"] = decode_named(F.regexp_extract(F.coalesce(_col(html), F.lit("")), TITLE_RE, 1))
     out = df.withColumns(pre)
     post = {}
     if title:

@@ -12,6 +12,8 @@ it (a filter on a normalized URL is pushed down into the scan).
 """
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -293,11 +295,11 @@ _CANON_PATH_CHARS = r"[A-Za-z0-9\-._~!$&'()*+,;=:@%/]"
 _PATH_CHARS = (r"[^\x00-\x20\x7F\\?#\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
                r"\x{202F}\x{205F}\x{3000}\x{FEFF}]")
 _SIMPLE_QUERY = r"(\?[A-Za-z0-9*\-._]+=[A-Za-z0-9*\-._]*)?"
-# A host whose last label is a number is an IPv4 address, which has more than one form.
-_NAMED = r"(?!(?:[a-z0-9-]*\.)*(?:0x[0-9a-f]*|[0-9]+)\.?(?:[/?#:]|$))"
-SIMPLE_ABS_RE = rf"^(?i:https?)://{_NAMED}[a-z0-9.-]+(/{_PATH_CHARS}*)?{_SIMPLE_QUERY}(#.*)?$"
+# A host whose last label begins with a digit may be an IPv4 address, which has more than one form.
+_NAMED = r"(?:[a-z0-9-]+\.)*[a-z][a-z0-9-]*"
+SIMPLE_ABS_RE = rf"^(?i:https?)://{_NAMED}(/{_PATH_CHARS}*)?{_SIMPLE_QUERY}(#.*)?$"
 SIMPLE_ROOT_RE = rf"^/(?!/){_PATH_CHARS}*{_SIMPLE_QUERY}(#.*)?$"
-CANON_BASE_RE = rf"^https?://{_NAMED}[a-z0-9.-]+(/|$)"
+CANON_BASE_RE = rf"^https?://{_NAMED}(/|$)"
 
 
 def _simple_path(path: Column) -> Column:
@@ -344,7 +346,7 @@ def _with_parts(parts: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(parts), fn), 1)
 
 
-CANON_SIMPLE_RE = rf"^https?://{_NAMED}[a-z0-9.-]+(/{_CANON_PATH_CHARS}*)?(\?[^#\s]*)?$"
+CANON_SIMPLE_RE = rf"^https?://{_NAMED}(/{_CANON_PATH_CHARS}*)?(\?[^#\s]*)?$"
 
 
 def _facts(url, fn) -> Column:
@@ -403,23 +405,22 @@ def url_tokens(url) -> Column:
         .otherwise(F.array().cast("array<string>")))
 
 
+@lru_cache(maxsize=64)
+def _built(application: str, fn, *names) -> Column:
+    """fn over columns of these names. Building an expression of this size takes a
+    second or two of calls into the JVM, so one application builds it once."""
+    return fn(*[n if n is None else F.col(n) for n in names])
+
+
 def with_normalized_url(df: DataFrame, raw: str, out: str, base: str | None = None) -> DataFrame:
-    return df.withColumn(out, normalize_url(F.col(raw), None if base is None else F.col(base)))
+    return df.withColumn(out, _built(df.sparkSession.sparkContext.applicationId, normalize_url, raw, base))
 
 
 def with_url_facts(df: DataFrame, url: str, *, host: str | None = None, skip: str | None = None,
                    crawlable: str | None = None, tokens: str | None = None,
                    extension: str | None = None) -> DataFrame:
     """U3/U4/U5/T4 over column `url`, each written to the named column."""
-    cols = {}
-    if host:
-        cols[host] = hostname(url)
-    if skip:
-        cols[skip] = skip_by_extension(url)
-    if crawlable:
-        cols[crawlable] = is_crawlable(url)
-    if tokens:
-        cols[tokens] = url_tokens(url)
-    if extension:
-        cols[extension] = globals()["extension"](url)
-    return df.withColumns(cols)
+    app = df.sparkSession.sparkContext.applicationId
+    wanted = {host: hostname, skip: skip_by_extension, crawlable: is_crawlable, tokens: url_tokens,
+              extension: globals()["extension"]}
+    return df.withColumns({out: _built(app, fn, url) for out, fn in wanted.items() if out})

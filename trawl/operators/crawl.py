@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.urls import normalize_url
+from trawl.functions.urls import with_normalized_url
 from trawl.operators.robots import allowed
 from trawl.session import checkpoint_dir, cut_lineage, materialize
 
@@ -105,8 +105,8 @@ def crawl(archive: DataFrame, edges: DataFrame, jobs: DataFrame,
 
     created = F.col("created_at") if "created_at" in jobs.columns else F.lit(EPOCH)
     seeds = (jobs.select(F.col("job_id").cast("long").alias("job_id"), "origin_url",
-                         F.col("max_depth").cast("int").alias("max_depth"), created.cast("timestamp_ntz").alias("created_at"))
-             .withColumn("normalized_url", normalize_url(F.col("origin_url"))))
+                         F.col("max_depth").cast("int").alias("max_depth"), created.cast("timestamp_ntz").alias("created_at")))
+    seeds = with_normalized_url(seeds, "origin_url", "normalized_url")
     valid = seeds.filter(F.col("normalized_url").isNotNull())
     # C2 at depth 0: the first job (smallest id) owns a shared origin
     first = (valid.groupBy("normalized_url")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.urls import hostname, normalize_url, skip_by_extension
+from trawl.functions.urls import with_normalized_url, with_url_facts
 from trawl.operators import crawl as C
 from trawl.operators import extract
 from trawl.session import materialize
@@ -60,8 +60,8 @@ class Corpus:
         target = (F.conv(F.substring(F.md5(F.concat(F.col("source_id").cast("string"), F.lit("|"),
                                                     F.col("href"))), 1, EDGE_HEX_DIGITS), 16, 10)
                   .cast("long") % F.lit(n))
-        tgt = p.select(F.col("page_id").alias("dst_page_id"), F.col("url").alias("stored_url"),
-                       normalize_url(F.col("url")).alias("dst_url"))
+        tgt = with_normalized_url(p, "url", "dst_url").select(
+            F.col("page_id").alias("dst_page_id"), F.col("url").alias("stored_url"), "dst_url")
         return (raw.withColumn("dst_page_id", target).join(tgt, "dst_page_id")
                 .select("src_url", F.col("pos").cast("long").alias("pos"), "href", "dst_url", "stored_url",
                         "src_page_id", "dst_page_id"))
@@ -70,19 +70,18 @@ class Corpus:
         """The pages' own links resolved against the page URL."""
         links = self.rows.select(F.col("normalized_url").alias("src_url"),
                                  F.posexplode("links").alias("pos", "href"))
-        links = links.withColumn("dst_url", normalize_url(F.col("href"), F.col("src_url")))
+        links = with_normalized_url(links, "href", "dst_url", base="src_url")
         links = links.withColumn("stored_url", F.when(F.col("href").rlike(r"(?i)^https?://"), F.col("href"))
                                  .otherwise(F.col("dst_url")))
-        links = links.filter(F.col("dst_url").isNotNull() & ~skip_by_extension(F.col("dst_url")))
+        links = with_url_facts(links.filter(F.col("dst_url").isNotNull()), "dst_url", skip="skip").filter(~F.col("skip"))
         return links.select("src_url", F.col("pos").cast("long").alias("pos"), "href", "dst_url", "stored_url")
 
     def jobs(self, depth: int = CRAWL_DEPTH) -> DataFrame:
         return jobs(self.spark, self.sf, depth)
 
     def archive(self) -> DataFrame:
-        fetched = pages(self.spark, self.sf).select(
-            normalize_url(F.col("url")).alias("normalized_url"),
-            F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("string").alias("content_type"))
+        fetched = with_normalized_url(pages(self.spark, self.sf), "url", "normalized_url").select(
+            "normalized_url", F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("string").alias("content_type"))
         return C.prepare_archive(self.docs(), fetched.filter(F.col("normalized_url").isNotNull()))
 
     def crawl(self, depth: int = CRAWL_DEPTH, stop_after=None, rules: DataFrame | None = None) -> C.CrawlResult:
@@ -97,7 +96,7 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf: str, depth: int = CRAWL_DEPTH) -> DataFrame:
-    p = pages(spark, sf).select("page_id", "url", hostname(F.col("url")).alias("host"))
+    p = with_url_facts(pages(spark, sf).select("page_id", "url"), "url", host="host")
     first = p.filter(F.col("host").isNotNull()).groupBy("host").agg(F.min_by("url", "page_id").alias("origin_url"),
                                                                       F.min("page_id").alias("job_id"))
     return first.select(F.col("job_id").cast("long").alias("job_id"), "origin_url",
@@ -135,7 +134,7 @@ def robots(spark: SparkSession, sf: str) -> DataFrame:
     """One robots.txt per host, built from the host's first page: its language
     folder is disallowed except the first page itself; an upper-case path with
     an inline comment; a second agent group that does not apply."""
-    p = pages(spark, sf).select("page_id", "url", hostname(F.col("url")).alias("host"))
+    p = with_url_facts(pages(spark, sf).select("page_id", "url"), "url", host="host")
     first = (p.filter(F.col("host").isNotNull()).groupBy("host")
              .agg(F.min_by("url", "page_id").alias("url")))
     seg = F.regexp_extract(F.col("url"), r"^https?://[^/]+/([^/?#]+)/([^/?#]+)", 1)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl import schemas
-from trawl.functions.urls import hostname, with_normalized_url
+from trawl.functions.urls import with_normalized_url, with_url_facts
 from trawl.operators import extract, index
 from trawl.operators._util import broadcast_if_small
 from trawl.session import materialize
@@ -172,7 +172,7 @@ def run_host_counts(spark: SparkSession, source_dir: str, checkpoint: str, sink:
     """ST5: running page counts per host: a stateful streaming aggregation
     (state store, update mode); each batch's changed counts are merged into
     the parquet table at `sink` (latest count per host wins)."""
-    s = page_stream(spark, source_dir, glob=glob).select(hostname(F.col("url")).alias("host"))
+    s = with_url_facts(page_stream(spark, source_dir, glob=glob).select("url"), "url", host="host").select("host")
 
     def merge(df, batch_id):
         df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
