@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.text import SPLIT_RE, keep_token
 from trawl.functions.urls import url_token_text
+from trawl.operators._util import broadcast_if_small
 
 FIELDS = ("title", "body", "url")
 
@@ -67,32 +68,38 @@ def term_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
     return t.groupBy(key, "term").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def replace_postings(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Every page present in `new` has its postings replaced wholesale."""
-    changed = new.select("page_id").distinct()
+def replace_postings(old: DataFrame, new: DataFrame, changed: DataFrame | None = None) -> DataFrame:
+    """Every page present in `new` has its postings replaced wholesale, or every
+    page of `changed` (page_id), which may also have none left."""
+    changed = (new if changed is None else changed).select("page_id").distinct()
     return old.join(changed, "page_id", "left_anti").unionByName(new)
 
 
 def upsert_pages(existing: DataFrame, incoming: DataFrame, seq: str = "seq") -> DataFrame:
     """Upsert by normalized_url. `existing` rows come first; within
     `incoming`, `seq` orders the writes. page_id and url keep the first value;
-    title, body_text, content_length (and fetched_at when present) take the last."""
-    has_ts = "fetched_at" in existing.columns and "fetched_at" in incoming.columns
+    title, body_text, content_length (and fetched_at when present) take the last.
+
+    Which rows those are is found on narrow columns. Existing pages that nothing
+    comes for are passed on where they are; only URLs meet them, broadcast when
+    their measured size allows."""
     cols = ["page_id", "normalized_url", "url", "title", "body_text", "content_length"]
-    if has_ts:
+    if "fetched_at" in existing.columns and "fetched_at" in incoming.columns:
         cols.append("fetched_at")
-    e = existing.select(*cols, F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_seq"))
-    i = incoming.select(*cols, F.lit(1).alias("_src"), F.col(seq).cast("long").alias("_seq"))
-    u = e.unionByName(i).withColumn("_ord", F.struct("_src", "_seq", "page_id"))
-    aggs = [F.min_by("page_id", "_ord").alias("page_id"), F.min_by("url", "_ord").alias("url"),
-            F.max_by(F.struct("title", "body_text", "content_length"), "_ord").alias("_last")]
-    if has_ts:
-        aggs.append(F.max_by("fetched_at", "_ord").alias("fetched_at"))
-    out = u.groupBy("normalized_url").agg(*aggs)
-    sel = ["page_id", "normalized_url", "url", "_last.title", "_last.body_text", "_last.content_length"]
-    if has_ts:
-        sel.append("fetched_at")
-    return out.select(*sel)
+    order = F.struct(F.col(seq).cast("long").alias("s"), "page_id")
+    narrow = incoming.select("normalized_url", "page_id", "url", order.alias("o"))
+    coming = narrow.groupBy("normalized_url").agg(F.min_by(F.struct("page_id", "url"), "o").alias("new"), F.max("o").alias("last"))
+    coming, _ = broadcast_if_small(coming)
+    urls = coming.select("normalized_url")
+    old = existing.select("normalized_url", "page_id", "url").join(urls, "normalized_url").groupBy("normalized_url").agg(
+        F.min(F.struct("page_id", "url")).alias("old"))
+    first = coming.join(old, "normalized_url", "left").select(
+        "normalized_url", F.coalesce("old", "new").alias("first"), "last")
+    first, _ = broadcast_if_small(first)
+    last = (incoming.withColumn("o", order).join(first, "normalized_url").where(F.col("o") == F.col("last"))
+            .dropDuplicates(["normalized_url"])
+            .withColumns({"page_id": F.col("first.page_id"), "url": F.col("first.url")}))
+    return existing.join(urls, "normalized_url", "left_anti").select(*cols).unionByName(last.select(*cols))
 
 
 def add_discoveries(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -15,6 +15,9 @@ from trawl.functions.html import decode_entities, extract_links, extract_text, e
 from trawl.functions.text import tokenize
 from trawl.functions.urls import with_normalized_url, with_url_facts
 from trawl.operators import batch, extract, index, search
+from trawl.operators._util import broadcast_if_small
+from trawl.session import checkpoint_dir, materialize
+from trawl.sources import index_store as store
 from trawl.sources.pages import read_table
 
 # Fixed query strings of the search queries (chosen from words that occur in
@@ -305,18 +308,61 @@ def q_search_totals(spark, sf):
 def q_index_replace(spark, sf):
     """Index built from the first fetch of every URL, then the postings of
     re-fetched URLs replaced by those of their latest fetch."""
-    ext = extract.extract_pages(_pages(spark, sf))
-    first = (ext.groupBy("normalized_url")
-             .agg(F.min_by(F.struct("page_id", "url", "title", "body_text"), "page_id").alias("d"))
-             .select("normalized_url", "d.*"))
-    old = index.inverted_index(first)
+    ext = materialize(extract.extract_pages(_pages(spark, sf)), "fetches")
+    # Which fetch is the first is found on narrow columns; texts stay where they are.
+    seen = ext.groupBy("normalized_url").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n"))
+    seen, _ = broadcast_if_small(seen)
+    old = index.inverted_index(ext.join(seen.select("page_id"), "page_id", "left_semi"))
     docs = extract.dedup_by_normalized_url(ext)
-    refetched = (ext.groupBy("normalized_url").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-                 .select("normalized_url"))
+    refetched = seen.filter(F.col("n") > 1).select("normalized_url")
     new = index.inverted_index(docs.join(refetched, "normalized_url", "left_semi"))
     return index.replace_postings(old, new).select("page_id", "field", "term", "frequency", "letter")
 
 
+BUCKETS = 16
+
+
+def _fetched(seconds):
+    return F.lit(C.EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def _refetched(spark, sf):
+    """Stored pages, and what a later fetch brings: every fourth page with other texts,
+    every next one again under a new URL."""
+    base = ST.fresh_dir(checkpoint_dir(spark), "stored")
+    d = materialize(_docs_once(spark, sf).withColumn("fetched_at", _fetched(F.col("page_id"))), "fetched")
+    store.write_buckets(d, f"{base}/pages", "normalized_url", BUCKETS)
+    n = d.agg(F.max("page_id")).first()[0] + 1
+    new = F.col("page_id") % 4 == 1
+    url = F.concat(F.lit("http://later.test/p"), F.col("page_id"))
+    later = d.filter(F.col("page_id") % 4 < 2).select(
+        (F.col("page_id") + n).alias("page_id"), F.when(new, url).otherwise(F.col("normalized_url")).alias("normalized_url"),
+        F.when(new, url).otherwise(F.col("url")).alias("url"), F.concat(F.lit("Later "), "title").alias("title"),
+        F.concat(F.lit("later "), "body_text").alias("body_text"), (F.col("content_length") + 6).alias("content_length"),
+        _fetched(F.col("page_id") + 86400).alias("fetched_at"), F.col("page_id").alias("seq"))
+    return base, d, later
+
+
+def q_page_upsert_stored(spark, sf):
+    """I3 on a stored table, with times."""
+    base, _, later = _refetched(spark, sf)
+    store.upsert_stored_pages(spark, f"{base}/pages", later, BUCKETS)
+    return store.read_buckets(spark, f"{base}/pages", "normalized_url").select(
+        "page_id", "normalized_url", "url", "title", "content_length", F.col("fetched_at").cast("string").alias("fetched_at"))
+
+
+def q_index_replace_stored(spark, sf):
+    """I2 on stored postings: those of the pages that the upsert changed."""
+    base, d, later = _refetched(spark, sf)
+    store.write_buckets(index.inverted_index(d), f"{base}/postings", "page_id", BUCKETS)
+    store.upsert_stored_pages(spark, f"{base}/pages", later, BUCKETS)
+    changed = (store.read_buckets(spark, f"{base}/pages", "normalized_url")
+               .join(later.select("normalized_url"), "normalized_url", "left_semi"))
+    changed = materialize(changed, "changed")
+    store.replace_stored_postings(spark, f"{base}/postings", index.inverted_index(changed), changed, BUCKETS)
+    return store.read_buckets(spark, f"{base}/postings", "page_id").select("page_id", "field", "term", "frequency", "letter")
+
+
 def q_discovery_dedup(spark, sf):
     """I4: discoveries of a depth-1 crawl, then insert-or-ignore those of the
     full crawl."""
@@ -451,7 +497,6 @@ def q_crawl_robots(spark, sf):
 
 # ------------------------------------------------------------------ export
 from trawl.operators import export as X  # noqa: E402
-from trawl.session import checkpoint_dir  # noqa: E402
 from trawl.streaming import incremental as ST  # noqa: E402
 
 LOOKUP_TERM = "attion"
@@ -552,6 +597,8 @@ QUERIES.update({
     "search_by_frequency": q_search_by_frequency,
     "search_page2": q_search_page2,
     "index_replace": q_index_replace,
+    "index_replace_stored": q_index_replace_stored,
+    "page_upsert_stored": q_page_upsert_stored,
     "discovery_dedup": q_discovery_dedup,
     "response_accept": q_response_accept,
     "url_outcomes": q_url_outcomes,

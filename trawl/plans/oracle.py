@@ -303,6 +303,18 @@ def build_more(q: dict[str, str]) -> None:
 
     # I2 (result equals the index of the current documents), I4
     q["index_replace"] = q["inverted_index"]
+    when = "strftime(TIMESTAMP '2024-01-01' + to_seconds({}), '%Y-%m-%d %H:%M:%S')"
+    refetched = _docs_ctes()[:-1] + [
+        ("stored", _docs_ctes()[-1][1]),
+        ("docs", "SELECT page_id, normalized_url, url, 'Later ' || title AS title, 'later ' || body_text AS body_text, "
+                 f"content_length + 6 AS content_length, {when.format('page_id + 86400')} AS fetched_at FROM stored WHERE page_id % 4 = 0 "
+                 "UNION ALL SELECT page_id + (SELECT max(page_id) + 1 FROM stored), 'http://later.test/p' || page_id, "
+                 "'http://later.test/p' || page_id, 'Later ' || title, 'later ' || body_text, content_length + 6, "
+                 f"{when.format('page_id + 86400')} FROM stored WHERE page_id % 4 = 1 "
+                 f"UNION ALL SELECT page_id, normalized_url, url, title, body_text, content_length, {when.format('page_id')} "
+                 "FROM stored WHERE page_id % 4 <> 0")]
+    q["page_upsert_stored"] = P.with_ctes(refetched, "SELECT page_id, normalized_url, url, title, content_length, fetched_at FROM docs")
+    q["index_replace_stored"] = P.with_ctes(refetched + _postings_ctes(), "SELECT page_id, field, term, frequency, letter FROM post")
     q["discovery_dedup"] = P.with_ctes(
         _crawl_ctes(derived.CRAWL_DEPTH),
         "SELECT page_id, job_id, origin_url, depth FROM pdisc WHERE depth <= 1 "
