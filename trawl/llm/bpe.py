@@ -290,7 +290,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, into: str = "ids") -> DataFram
     files are made for; none are added. Null and empty texts, and texts of white
     space only, have no tokens (an empty binary). Rows are independent: repeated
     rows repeat, no rows give no rows; a column named as `into` is replaced."""
-    sent_tokenizer = Shared(docs.sparkSession, tokenizer)   # as large as its file makes it, whatever the documents
+    sent_tokenizer = Shared(docs.sparkSession, tokenizer, keep=True)   # as large as its file makes it, whatever the documents
     names, ddl = _fields(docs, into)
     sent, at = with_text(docs, names)
 

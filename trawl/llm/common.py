@@ -82,14 +82,17 @@ def token_count(text: Column) -> Column:
 
 class Shared:
     """A value sent once to each executor. It is pickled by value, so executors need
-    no copy of this package; a worker process unpickles it once, and what its tables
-    learn in one task stays for the next."""
+    no copy of this package. Each task unpickles its own, which goes with the task;
+    with `keep`, a worker process unpickles it once and what its tables learn in one
+    task stays for the next, as long as the process lives."""
 
-    def __init__(self, spark, value):
-        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    def __init__(self, spark, value, keep: bool = False):
+        self._sent, self._keep = spark.sparkContext.broadcast(cloudpickle.dumps(value)), keep
 
     @property
     def value(self):
+        if not self._keep:
+            return cloudpickle.loads(self._sent.value)
         # In a worker the broadcast is one object for all tasks of the process.
         if not hasattr(self._sent, "loaded"):
             self._sent.loaded = cloudpickle.loads(self._sent.value)
